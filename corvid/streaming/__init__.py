@@ -1,0 +1 @@
+"""Incremental (Structured Streaming) forms of the batch operators."""
