@@ -11,9 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.operators import sales, words
+from pyspark.sql import functions as F
+
+from corvid.operators import geometry, kcenter, sales, words
 from corvid.plans import oracle_sql
-from corvid.sources import document_lines, row_count, transactions
+from corvid.sources import document_lines, embedding_points, row_count, transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +25,19 @@ RAND_SEED = 42
 TOP_H = 10
 COUNTRY = "NATION_7"
 MIN_QUANTITY = 0.0
+# Geometry: centers are the farthest-first centers of the embeddings
+# (FFT_M per part, FFT_L parts); balls use BALL_RADIUS; the objective drops
+# OUTLIERS_Z points; K2 looks at the first KZ_K + KZ_Z + 1 points.
+FFT_M = 4
+FFT_L = 4
+BALL_RADIUS = 1.3
+OUTLIERS_Z = 10
+# k-center job on the embeddings.
+KZ_K = 8
+KZ_Z = 10
+KZ_L = 4
+KZ_ALPHA = 2
+GREEDY_RADIUS = 0.2
 
 
 def _words() -> dict[str, Query]:
@@ -64,10 +79,76 @@ def _sales() -> dict[str, Query]:
     }
 
 
+def _geometry() -> dict[str, Query]:
+    def pts(spark, d):
+        return embedding_points(spark, d)
+
+    def centers(spark, d):
+        fft = kcenter.fft_centers(pts(spark, d), FFT_M, FFT_L)
+        return fft.select(F.col("point_id").alias("id"), "v")
+
+    def dists(spark, d):
+        return geometry.nearest_center_distance(pts(spark, d), centers(spark, d))
+
+    def ball(op):
+        return lambda s, d: op(pts(s, d), centers(s, d), BALL_RADIUS)
+
+    return {
+        "points": pts,
+        "fft_centers": lambda s, d: kcenter.fft_centers(pts(s, d), FFT_M, FFT_L).select(
+            "part", "c", "point_id"
+        ),
+        "center_weights": lambda s, d: kcenter.center_weights(
+            pts(s, d), kcenter.fft_centers(pts(s, d), FFT_M, FFT_L), FFT_L
+        ),
+        "coreset": lambda s, d: kcenter.coreset(pts(s, d), FFT_M, FFT_L).select(
+            "part", "c", "ord", "point_id", "w"
+        ),
+        "point_distances": lambda s, d: geometry.point_distances(pts(s, d), centers(s, d)),
+        "initial_radius": lambda s, d: geometry.initial_radius(pts(s, d), KZ_K + KZ_Z + 1),
+        "ball_members": ball(geometry.ball_members),
+        "ball_weights": ball(geometry.ball_weights),
+        "heaviest_ball": ball(geometry.heaviest_ball),
+        "uncovered_after": lambda s, d: geometry.uncovered_after(
+            pts(s, d), centers(s, d), BALL_RADIUS
+        ).select("point_id"),
+        "nearest_center_distance": dists,
+        "farthest_points": lambda s, d: geometry.farthest_points(dists(s, d), OUTLIERS_Z),
+        "objective": lambda s, d: geometry.objective(dists(s, d), OUTLIERS_Z),
+    }
+
+
+def _kcenter() -> dict[str, Query]:
+    def pts(spark, d):
+        return embedding_points(spark, d)
+
+    def core(spark, d):
+        return kcenter.bounded_coreset(pts(spark, d), KZ_K + KZ_Z + 1, KZ_L)
+
+    def no_vectors(sol):
+        return sol.drop("center_v")
+
+    return {
+        "greedy_cover": lambda s, d: no_vectors(
+            kcenter.greedy_cover(core(s, d), KZ_K, GREEDY_RADIUS, KZ_ALPHA, KZ_Z)
+        ),
+        "weighted_kcenter": lambda s, d: no_vectors(kcenter.weighted_kcenter(core(s, d), KZ_K, KZ_Z, 0)),
+        "guess_trace": lambda s, d: kcenter.guess_trace(
+            kcenter.kcenter_outliers(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA)
+        ),
+        "kcenter_outliers": lambda s, d: kcenter.solution_centers(
+            kcenter.kcenter_outliers(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA)
+        ),
+        "kcenter_report": lambda s, d: kcenter.kcenter_report(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_words())
     out.update(_sales())
+    out.update(_geometry())
+    out.update(_kcenter())
     return out
 
 
@@ -75,4 +156,5 @@ def oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle_sql.words_sql())
     out.update(oracle_sql.sales_sql(COUNTRY, TOP_H, MIN_QUANTITY))
+    out.update(oracle_sql.geometry_sql(FFT_M, FFT_L, KZ_K + KZ_Z + 1, BALL_RADIUS, OUTLIERS_Z))
     return out

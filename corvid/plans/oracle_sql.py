@@ -106,3 +106,92 @@ def sales_sql(country: str, H: int, min_quantity: float) -> dict[str, str]:
         + popularity
         + f" ORDER BY popularity DESC, product DESC LIMIT {H}",
     }
+
+
+# --- geometry --------------------------------------------------------------
+
+
+def dist(a: str, b: str) -> str:
+    """Euclidean distance, squares summed left to right (same as Spark)."""
+    return (
+        f"sqrt(list_sum(list_transform(list_zip({a}, {b}),"
+        " lambda x: (x[1] - x[2]) * (x[1] - x[2]))))"
+    )
+
+
+POINTS_CTE = "pts AS (SELECT vec_id AS point_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+
+
+def fft_ctes(m: int, L: int) -> str:
+    """Farthest-first traversal per part, unrolled into ``m`` CTE steps.
+
+    Step t keeps each point's least distance to the centers so far; the next
+    center is the point of greatest such distance, least id on ties (which
+    is the part's first point when every distance is 0).
+    """
+    parts = [
+        POINTS_CTE,
+        f"ppts AS (SELECT point_id, v, CAST(((point_id % {L}) + {L}) % {L} AS INTEGER) AS part FROM pts)",
+        "k0 AS (SELECT part, min(point_id) AS cid FROM ppts GROUP BY part)",
+    ]
+    for t in range(1, m):
+        prev = "ppts" if t == 1 else f"s{t - 1}"
+        md = dist("s.v", "c.v") if t == 1 else f"least(s.md, {dist('s.v', 'c.v')})"
+        parts.append(
+            f"s{t} AS (SELECT s.part, s.point_id, s.v, {md} AS md FROM {prev} s"
+            f" JOIN k{t - 1} k ON s.part = k.part JOIN pts c ON c.point_id = k.cid)"
+        )
+        parts.append(
+            f"k{t} AS (SELECT part, point_id AS cid FROM (SELECT part, point_id, row_number() OVER"
+            f" (PARTITION BY part ORDER BY md DESC, point_id) AS rn FROM s{t}) WHERE rn = 1)"
+        )
+    union = " UNION ALL ".join(f"SELECT part, {t} AS c, cid FROM k{t}" for t in range(m))
+    parts.append(f"fft AS (SELECT part, CAST(c AS INTEGER) AS c, cid FROM ({union}))")
+    parts.append(
+        f"own AS (SELECT p.part, f.c, row_number() OVER (PARTITION BY p.point_id ORDER BY"
+        f" {dist('p.v', 'cv.v')}, f.c) AS rn FROM ppts p JOIN fft f ON p.part = f.part"
+        " JOIN pts cv ON cv.point_id = f.cid)"
+    )
+    parts.append(
+        "wts AS (SELECT f.part, f.c, f.cid AS point_id, CAST(coalesce(n, 0) AS BIGINT) AS w FROM fft f"
+        " LEFT JOIN (SELECT part, c, count(*) AS n FROM own WHERE rn = 1 GROUP BY part, c) o"
+        " ON f.part = o.part AND f.c = o.c)"
+    )
+    parts.append("cen AS (SELECT f.cid AS id, p.v FROM fft f JOIN pts p ON p.point_id = f.cid)")
+    return "WITH " + ",\n".join(parts) + "\n"
+
+
+def geometry_sql(m: int, L: int, first_m: int, radius: float, z: int) -> dict[str, str]:
+    head = fft_ctes(m, L)
+    d_pc = dist("p.v", "c.v")
+    nearest = (
+        f"SELECT point_id, center_id, d FROM (SELECT p.point_id, c.id AS center_id, {d_pc} AS d,"
+        f" row_number() OVER (PARTITION BY p.point_id ORDER BY {d_pc}, c.id) AS rn"
+        " FROM pts p, cen c) WHERE rn = 1"
+    )
+    farthest = f"SELECT point_id, d FROM ({nearest}) ORDER BY d DESC, point_id LIMIT {z + 1}"
+    members = f"SELECT c.id AS center_id, p.point_id, CAST(1 AS BIGINT) AS w FROM pts p, cen c WHERE {d_pc} <= {radius!r}"
+    weights = (
+        "SELECT i.id AS center_id, CAST(coalesce(sum(m.w), 0) AS BIGINT) AS ball_weight"
+        f" FROM (SELECT DISTINCT id FROM cen) i LEFT JOIN ({members}) m ON m.center_id = i.id GROUP BY i.id"
+    )
+    return {
+        "points": f"WITH {POINTS_CTE}\nSELECT point_id, v FROM pts",
+        "fft_centers": head + "SELECT part, c, cid AS point_id FROM fft",
+        "center_weights": head + "SELECT part, c, point_id, w FROM wts",
+        "coreset": head
+        + f"SELECT part, c, CAST(part * {m} + c AS BIGINT) AS ord, point_id, w FROM wts",
+        "point_distances": head
+        + f"SELECT p.point_id, c.id AS center_id, {d_pc} AS dist FROM pts p, cen c",
+        "initial_radius": f"WITH {POINTS_CTE}, f AS (SELECT * FROM pts ORDER BY point_id LIMIT {first_m})\n"
+        f"SELECT min({dist('a.v', 'b.v')}) / 2 AS r0 FROM f a JOIN f b ON a.point_id < b.point_id",
+        "ball_members": head + members,
+        "ball_weights": head + weights,
+        "heaviest_ball": head
+        + f"SELECT * FROM ({weights}) WHERE ball_weight > 0 ORDER BY ball_weight DESC, center_id LIMIT 1",
+        "uncovered_after": head
+        + f"SELECT p.point_id FROM pts p WHERE NOT EXISTS (SELECT 1 FROM cen c WHERE {d_pc} <= {radius!r})",
+        "nearest_center_distance": head + nearest,
+        "farthest_points": head + farthest,
+        "objective": head + f"SELECT min(d) AS objective FROM ({farthest})",
+    }
