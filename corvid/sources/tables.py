@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.functions.text import text_lines
+from corvid.session import spread
 from corvid.sources.points import checked_points
 
 # The table names the driver generates.
@@ -44,7 +45,7 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     -> ``doc_id: long, line_no: int, line: string``. A narrow projection:
     no shuffle, one output row per line.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", F.posexplode(text_lines(F.col("text"))).alias("line_no", "line"))
 
 
@@ -62,7 +63,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    lineitem = spread(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey"
+    )
 
     buyers = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         "c_custkey", F.col("n_name").alias("country")
@@ -81,7 +84,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points from ``embeddings``: ``point_id = vec_id``, ``v`` as doubles."""
-    emb = table(spark, sf_dir, "embeddings")
+    emb = spread(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id")
     return checked_points(
         emb.select(
             F.col("vec_id").alias("point_id"),
@@ -97,8 +100,8 @@ def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     the id is a 64-bit hash of the key and the coordinates; the k-center
     kernels break any remaining id tie by the coordinates themselves.
     """
-    li = table(spark, sf_dir, "lineitem")
     coords = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *coords), "l_orderkey")
     return checked_points(
         li.select(
             F.xxhash64("l_orderkey", "l_linenumber", *coords).alias("point_id"),
