@@ -37,7 +37,7 @@ KZ_K = 8
 KZ_Z = 10
 KZ_L = 4
 KZ_ALPHA = 2
-GREEDY_RADIUS = 0.2
+GREEDY_RADIUS = 0.1
 
 
 def _words() -> dict[str, Query]:
@@ -125,20 +125,19 @@ def _kcenter() -> dict[str, Query]:
     def core(spark, d):
         return kcenter.bounded_coreset(pts(spark, d), KZ_K + KZ_Z + 1, KZ_L)
 
-    def no_vectors(sol):
-        return sol.drop("center_v")
-
     return {
-        "greedy_cover": lambda s, d: no_vectors(
+        "greedy_cover": lambda s, d: kcenter.solution_rows(
             kcenter.greedy_cover(core(s, d), KZ_K, GREEDY_RADIUS, KZ_ALPHA, KZ_Z)
         ),
-        "weighted_kcenter": lambda s, d: no_vectors(kcenter.weighted_kcenter(core(s, d), KZ_K, KZ_Z, 0)),
+        "weighted_kcenter": lambda s, d: kcenter.solution_rows(
+            kcenter.weighted_kcenter(core(s, d), KZ_K, KZ_Z, 0)
+        ),
         "guess_trace": lambda s, d: kcenter.guess_trace(
             kcenter.kcenter_outliers(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA)
         ),
         "kcenter_outliers": lambda s, d: kcenter.solution_centers(
             kcenter.kcenter_outliers(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA)
-        ),
+        ).select("center_no", "point_id"),
         "kcenter_report": lambda s, d: kcenter.kcenter_report(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA),
     }
 
@@ -157,4 +156,5 @@ def oracles() -> dict[str, str]:
     out.update(oracle_sql.words_sql())
     out.update(oracle_sql.sales_sql(COUNTRY, TOP_H, MIN_QUANTITY))
     out.update(oracle_sql.geometry_sql(FFT_M, FFT_L, KZ_K + KZ_Z + 1, BALL_RADIUS, OUTLIERS_Z))
+    out.update(oracle_sql.kcenter_sql(KZ_K, KZ_Z, KZ_L, KZ_ALPHA, GREEDY_RADIUS))
     return out

@@ -249,6 +249,21 @@ def solution_centers(solution: DataFrame) -> DataFrame:
     ).select("center_no", F.col("x.center_point_id").alias("point_id"), F.col("x.center_v").alias("v"))
 
 
+def solution_rows(solution: DataFrame) -> DataFrame:
+    """One row per (guess, chosen center), vectors left out -> ``guess_no, r,
+    feasible, left_over, center_no, center_ord, center_point_id``."""
+    return solution.select(
+        "guess_no",
+        "r",
+        "feasible",
+        "left_over",
+        F.posexplode(F.arrays_zip("center_ord", "center_point_id")).alias("center_no", "x"),
+    ).select(
+        "guess_no", "r", "feasible", "left_over", "center_no",
+        F.col("x.center_ord").alias("center_ord"), F.col("x.center_point_id").alias("center_point_id"),
+    )
+
+
 def kcenter_outliers(
     points: DataFrame, k: int, z: int, L: int, alpha: float = 2, max_rows: int = MAX_SOLVE_ROWS
 ) -> DataFrame:

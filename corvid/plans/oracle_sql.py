@@ -195,3 +195,108 @@ def geometry_sql(m: int, L: int, first_m: int, radius: float, z: int) -> dict[st
         "farthest_points": head + farthest,
         "objective": head + f"SELECT min(d) AS objective FROM ({farthest})",
     }
+
+
+# --- k-center solve ----------------------------------------------------------
+
+
+def _greedy_ctes(p: str, guesses: str, k: int, alpha: float) -> list[str]:
+    """k unrolled greedy steps for every guess in ``guesses(g, r)``.
+
+    Step t: each candidate's ball weight over the uncovered rows within
+    (1+2a)*r; the heaviest positive ball wins (least ord on ties); rows
+    within (3+4a)*r of it become covered.
+    """
+    pick, drop = float(1 + 2 * alpha), float(3 + 4 * alpha)
+    out = [f"{p}u0 AS (SELECT g.g, c.ord FROM {guesses} g, core c)"]
+    for t in range(k):
+        out.append(
+            f"{p}bw{t} AS (SELECT u.g, pr.ca AS cand, sum(cp.w) AS bw FROM {p}u{t} u"
+            f" JOIN core cp ON cp.ord = u.ord JOIN pairs pr ON pr.pb = u.ord"
+            f" JOIN {guesses} gs ON gs.g = u.g WHERE pr.d <= {pick!r} * gs.r GROUP BY u.g, pr.ca)"
+        )
+        out.append(
+            f"{p}k{t} AS (SELECT g, cand FROM (SELECT g, cand, row_number() OVER"
+            f" (PARTITION BY g ORDER BY bw DESC, cand) AS rn FROM {p}bw{t} WHERE bw > 0) WHERE rn = 1)"
+        )
+        out.append(
+            f"{p}u{t + 1} AS (SELECT u.g, u.ord FROM {p}u{t} u LEFT JOIN {p}k{t} kk ON kk.g = u.g"
+            f" LEFT JOIN pairs pr ON pr.ca = kk.cand AND pr.pb = u.ord"
+            f" JOIN {guesses} gs ON gs.g = u.g WHERE kk.cand IS NULL OR pr.d > {drop!r} * gs.r)"
+        )
+    out.append(
+        f"{p}left AS (SELECT g.g, g.r, CAST(coalesce(sum(c.w), 0) AS BIGINT) AS left_over FROM {guesses} g"
+        f" LEFT JOIN {p}u{k} u ON u.g = g.g LEFT JOIN core c ON c.ord = u.ord GROUP BY g.g, g.r)"
+    )
+    steps = " UNION ALL ".join(f"SELECT g, {t} AS step, cand FROM {p}k{t}" for t in range(k))
+    out.append(f"{p}cent AS ({steps})")
+    return out
+
+
+def _solution_rows(p: str, z: int, last: str) -> str:
+    """Rows per (guess, center) up to guess ``last`` (a scalar SQL expr)."""
+    return (
+        f"SELECT CAST(l.g AS INTEGER) AS guess_no, l.r, l.left_over <= {z} AS feasible, l.left_over,"
+        " CAST(row_number() OVER (PARTITION BY l.g ORDER BY c.step) - 1 AS INTEGER) AS center_no,"
+        " c.cand AS center_ord, core.point_id AS center_point_id"
+        f" FROM {p}left l JOIN {p}cent c ON c.g = l.g JOIN core ON core.ord = c.cand"
+        f" WHERE l.g <= {last}"
+    )
+
+
+def kcenter_sql(k: int, z: int, L: int, alpha: float, greedy_r: float, max_guesses: int = 24) -> dict[str, str]:
+    """Oracles of the coreset-based solve (single coreset level).
+
+    The coreset is the unrolled traversal of ``fft_ctes`` with m = k+z+1;
+    guesses r0 * 2^g are all evaluated and the first feasible one is kept,
+    which is what the sequential doubling search returns.
+    """
+    m = k + z + 1
+    head = fft_ctes(m, L).rstrip("\n")
+    base = [
+        f"core AS (SELECT CAST(w.part * {m} + w.c AS BIGINT) AS ord, w.point_id, p.v, w.w"
+        " FROM wts w JOIN pts p ON p.point_id = w.point_id)",
+        f"pairs AS (SELECT a.ord AS ca, b.ord AS pb, {dist('a.v', 'b.v')} AS d FROM core a, core b)",
+        f"firstm AS (SELECT ord FROM core ORDER BY ord LIMIT {m})",
+        "r0 AS (SELECT min(d) / 2 AS r FROM pairs WHERE ca < pb AND ca IN (SELECT ord FROM firstm)"
+        " AND pb IN (SELECT ord FROM firstm))",
+        f"dbl AS (SELECT CAST(i AS INTEGER) AS g, (SELECT r FROM r0) * pow(2.0, i) AS r FROM range(0, {max_guesses}) t(i))",
+        f"one AS (SELECT 0 AS g, CAST({greedy_r!r} AS DOUBLE) AS r)",
+    ]
+
+    def with_ctes(extra: list[str]) -> str:
+        return head + ",\n" + ",\n".join(base + extra) + "\n"
+
+    solve0 = _greedy_ctes("a0_", "dbl", k, 0)
+    solve2 = _greedy_ctes("a2_", "dbl", k, alpha)
+    greedy = _greedy_ctes("gr_", "one", k, alpha)
+    first0 = f"(SELECT min(g) FROM a0_left WHERE left_over <= {z})"
+    first2 = f"(SELECT min(g) FROM a2_left WHERE left_over <= {z})"
+    trace2 = (
+        "SELECT min_by(r, g) AS initial_guess, max_by(r, g) AS final_guess,"
+        f" CAST(count(*) AS BIGINT) AS guesses FROM a2_left WHERE g <= {first2}"
+    )
+    centers2 = (
+        "SELECT CAST(row_number() OVER (ORDER BY c.step) - 1 AS INTEGER) AS center_no, core.point_id, core.v"
+        f" FROM a2_cent c JOIN core ON core.ord = c.cand WHERE c.g = {first2}"
+    )
+    d_pc = dist("p.v", "cc.v")
+    farthest = (
+        f"SELECT min({d_pc}) AS d, p.point_id FROM pts p, ({centers2}) cc GROUP BY p.point_id"
+        f" ORDER BY d DESC, p.point_id LIMIT {z + 1}"
+    )
+    report = (
+        "SELECT (SELECT CAST(count(*) AS BIGINT) FROM pts) AS n,"
+        f" CAST({k} AS INTEGER) AS k, CAST({z} AS INTEGER) AS z, CAST({L} AS INTEGER) AS L,"
+        " t.initial_guess, t.final_guess, t.guesses,"
+        f" (SELECT left_over FROM a2_left WHERE g = {first2}) AS left_over,"
+        f" (SELECT min(d) FROM ({farthest})) AS objective FROM ({trace2}) t"
+    )
+    return {
+        "greedy_cover": with_ctes(greedy) + _solution_rows("gr_", z, "0"),
+        "weighted_kcenter": with_ctes(solve0) + _solution_rows("a0_", z, first0),
+        "guess_trace": with_ctes(solve2) + trace2,
+        "kcenter_outliers": with_ctes(solve2)
+        + f"SELECT center_no, point_id FROM ({centers2})",
+        "kcenter_report": with_ctes(solve2) + report,
+    }

@@ -61,8 +61,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     otherwise. ``product`` is text so that ties order as text.
     """
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customer = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     lineitem = spread(
         table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey"
     )
