@@ -1,0 +1,25 @@
+import os
+import shutil
+import tempfile
+
+from conftest import fixture
+from corvid.operators import words
+from corvid.sources import read_lines
+from corvid.streaming.words import start_word_count
+
+
+def test_streaming_count_matches_batch(spark):
+    src = tempfile.mkdtemp(prefix="run-stream-src-", dir="/tmp")
+    ckpt = tempfile.mkdtemp(prefix="run-stream-ckpt-", dir="/tmp")
+    shutil.copy(fixture("dataset.txt"), os.path.join(src, "part-0.txt"))
+    with open(os.path.join(src, "part-1.txt"), "w") as f:
+        f.write("treno  extra\n\n")
+
+    q = start_word_count(spark, src, "wc_stream_test", checkpoint_location=ckpt, available_now=True)
+    q.awaitTermination(120)
+    got = {r.word: r.cnt for r in spark.sql("SELECT * FROM wc_stream_test").collect()}
+
+    batch = words.word_count(read_lines(spark, src))
+    want = {r.word: r.cnt for r in batch.collect()}
+    assert got == want
+    assert got["treno"] == 5 and got[""] == 2 and got["extra"] == 1
