@@ -35,7 +35,7 @@ EMB_K, EMB_Z, EMB_L = 8, 10, 4
 
 def plans(spark):
     lines = lambda: document_lines(spark, SF_DIR)
-    every = lambda: sales.sales_filtered(transactions(spark, SF_DIR), "all")
+    every = lambda: sales.sales_filtered(transactions(spark, SF_DIR, with_country=False), "all")
     li = lambda: lineitem_points(spark, SF_DIR)
 
     def li_objective():

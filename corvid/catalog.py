@@ -62,7 +62,7 @@ def _words() -> dict[str, Query]:
 
 def _sales() -> dict[str, Query]:
     def every(spark, d):
-        return sales.sales_filtered(transactions(spark, d), "all", MIN_QUANTITY)
+        return sales.sales_filtered(transactions(spark, d, with_country=False), "all", MIN_QUANTITY)
 
     return {
         "transactions": lambda s, d: transactions(s, d),

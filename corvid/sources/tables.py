@@ -49,7 +49,7 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.posexplode(text_lines(F.col("text"))).alias("line_no", "line"))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, with_country: bool = True) -> DataFrame:
     """S2 over the order tables: one transaction per line item.
 
     -> ``transaction_id, product, quantity, customer, country``.
@@ -58,21 +58,32 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     (nation -> customer -> orders -> lineitem) so a country filter placed on
     top reaches the nation scan and shrinks every later join; Spark picks
     broadcast for sides its size statistics prove small and sort-merge joins
-    otherwise. ``product`` is text so that ties order as text.
+    (with AQE skew splitting) otherwise. ``product`` is text so that ties
+    order as text.
+
+    ``with_country=False`` is for callers that filter on no country: the
+    customer and nation lookups only feed ``country`` (left NULL then), and
+    an inner join cannot be pruned by the optimizer, so leaving them out
+    saves a join of the whole orders table at scale. Every order's customer
+    and nation resolve in the order tables, so the rows are the same.
     """
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customer = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey")
     orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     lineitem = spread(
         table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey"
     )
-
-    buyers = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        "c_custkey", F.col("n_name").alias("country")
-    )
-    sales_orders = orders.join(buyers, orders.o_custkey == buyers.c_custkey).select(
-        "o_orderkey", F.col("o_custkey").alias("customer"), "country"
-    )
+    if with_country:
+        nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        customer = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey")
+        buyers = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+            "c_custkey", F.col("n_name").alias("country")
+        )
+        sales_orders = orders.join(buyers, orders.o_custkey == buyers.c_custkey).select(
+            "o_orderkey", F.col("o_custkey").alias("customer"), "country"
+        )
+    else:
+        sales_orders = orders.select(
+            "o_orderkey", F.col("o_custkey").alias("customer"), F.lit(None).cast("string").alias("country")
+        )
     return lineitem.join(sales_orders, lineitem.l_orderkey == sales_orders.o_orderkey).select(
         F.col("l_orderkey").cast("string").alias("transaction_id"),
         F.col("l_partkey").cast("string").alias("product"),
