@@ -16,11 +16,18 @@ def text_lines(text: Column) -> Column:
     """Lines of a text body as a text-file reader yields them.
 
     Lines end at LF, CRLF or CR; a terminator at the very end does not start
-    another line, and an empty body has no lines at all.
+    another line, and an empty body has no lines at all. Bodies without CR
+    (the common case) take a literal split on LF; only bodies with a CR pay
+    for the regular expression.
     """
-    body = F.regexp_replace(text, TRAILING_LINE_BREAK, "")
-    return F.when(text == F.lit(""), F.array().cast("array<string>")).otherwise(
-        F.split(body, LINE_BREAK, -1)
+    no_trailing_lf = F.when(
+        F.endswith(text, F.lit("\n")), F.left(text, F.length(text) - F.lit(1))
+    ).otherwise(text)
+    any_break = F.split(F.regexp_replace(text, TRAILING_LINE_BREAK, ""), LINE_BREAK, -1)
+    return (
+        F.when(text == F.lit(""), F.array().cast("array<string>"))
+        .when(F.contains(text, F.lit("\r")), any_break)
+        .otherwise(F.split(no_trailing_lf, "\n", -1))
     )
 
 

@@ -74,3 +74,22 @@ def test_partition_plan_has_map_side_combine(lines):
 def test_salted_plan_has_two_aggregation_rounds(lines):
     text = plan_text(words.word_count_salted(lines, 4), "simple")
     assert text.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("", []),
+        ("\n", [""]),
+        ("a\nb\n", ["a", "b"]),
+        ("a\n\nb", ["a", "", "b"]),
+        ("a\r\nb\r\n", ["a", "b"]),
+        ("a\rb\r", ["a", "b"]),
+        ("a\r\n\r\nb", ["a", "", "b"]),
+    ],
+)
+def test_text_lines_edges(spark, text, expected):
+    from corvid.functions import text_lines
+
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(text_lines(F.col("text")).alias("l")).first().l == expected
