@@ -55,6 +55,7 @@ def plans(spark):
         "popularity_grouped": lambda: sales.popularity_grouped(every()),
         "popularity_reduced": lambda: sales.popularity_reduced(every()),
         "coreset_lineitem": lambda: kcenter.coreset(li(), LI_K + LI_Z + 1, LI_L),
+        "coreset_lineitem_by_split": lambda: kcenter.coreset(li(), LI_K + LI_Z + 1, None),
         "kcenter_outliers_lineitem": lambda: kcenter.solution_centers(
             kcenter.kcenter_outliers(li(), LI_K, LI_Z, LI_L, 2)
         ),

@@ -77,6 +77,18 @@ def _fft_part(m: int):
     return run
 
 
+def _fft_split(m: int):
+    run_part = _fft_part(m)
+
+    def run(batches):
+        tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        if not tables:
+            return
+        yield from run_part(pa.concat_tables(tables)).to_batches()
+
+    return run
+
+
 def _coreset_level(rows: DataFrame, m: int, L: int) -> DataFrame:
     """One round-1 level over ``key, point_id, v, w`` rows."""
     parted = rows.select(F.pmod(F.col("key"), F.lit(L)).cast("int").alias("part"), "key", "point_id", "v", "w")
@@ -90,14 +102,23 @@ def _check(m: int, L: int) -> None:
         raise ValueError("L must be >= 1")
 
 
-def coreset(points: DataFrame, m: int, L: int) -> DataFrame:
+def coreset(points: DataFrame, m: int, L: int | None) -> DataFrame:
     """Per part, ``m`` farthest-first centers with their weights.
 
     -> ``part, c, ord, point_id, v, w``; ``ord = part*m + c`` is the coreset
     order (part by part, centers in the order chosen).
+
+    ``L`` parts by ``pmod(point_id, L)`` cost one shuffle of the points and
+    give the same parts on any cluster. ``L=None`` uses the input splits as
+    the parts instead (``mapInArrow``, one coreset per split): no shuffle at
+    all, and the same parts for the same files and split settings.
     """
-    _check(m, L)
     pts = with_unit_weight(points).select(F.col("point_id").alias("key"), "point_id", "v", "w")
+    if L is None:
+        _check(m, 1)
+        by_split = pts.select(F.spark_partition_id().alias("part"), "key", "point_id", "v", "w")
+        return by_split.mapInArrow(_fft_split(m), CORESET_SCHEMA)
+    _check(m, L)
     return _coreset_level(pts, m, L)
 
 
@@ -133,18 +154,19 @@ def center_weights(points: DataFrame, centers: DataFrame, L: int) -> DataFrame:
 
 
 def bounded_coreset(
-    points: DataFrame, m: int, L: int, max_rows: int = MAX_SOLVE_ROWS
+    points: DataFrame, m: int, L: int | None, max_rows: int = MAX_SOLVE_ROWS
 ) -> DataFrame:
     """Round 1, repeated on its own output until at most ``max_rows`` rows.
 
-    The row bound is known without counting (each part yields ``m`` rows),
-    so the number of levels is fixed at planning time.
+    The row bound is known without counting (each part yields ``m`` rows;
+    with ``L=None`` there is one part per input split, a number the planner
+    knows), so the number of levels is fixed at planning time.
     """
-    _check(m, L)
     if max_rows < 2 * m:
         raise ValueError(f"max_rows must be >= 2*(k+z+1) = {2 * m}")
     level = coreset(points, m, L)
-    bound = L * m
+    parts = points.rdd.getNumPartitions() if L is None else L
+    bound = parts * m
     while bound > max_rows:
         level = cut_lineage(level)
         parts = max(1, math.ceil(bound / max_rows))
@@ -265,7 +287,7 @@ def solution_rows(solution: DataFrame) -> DataFrame:
 
 
 def kcenter_outliers(
-    points: DataFrame, k: int, z: int, L: int, alpha: float = 2, max_rows: int = MAX_SOLVE_ROWS
+    points: DataFrame, k: int, z: int, L: int | None, alpha: float = 2, max_rows: int = MAX_SOLVE_ROWS
 ) -> DataFrame:
     """The two-round job -> the solution rows of ``weighted_kcenter``."""
     if k < 1 or z < 0:
@@ -275,20 +297,25 @@ def kcenter_outliers(
 
 
 def kcenter_report(
-    points: DataFrame, k: int, z: int, L: int, alpha: float = 2, max_rows: int = MAX_SOLVE_ROWS
+    points: DataFrame, k: int, z: int, L: int | None, alpha: float = 2, max_rows: int = MAX_SOLVE_ROWS
 ) -> DataFrame:
     """One row ``n, k, z, L, initial_guess, final_guess, guesses,
     left_over, objective``.
 
-    The solution (a handful of rows) is materialised once in the shared
-    checkpoint folder when there is one, so the objective pass over all
-    points and the trace read the same result.
+    Two passes over the points: the coreset, and the objective against the
+    final centers. ``n`` is the coreset's weight sum (every point is counted
+    once there). The coreset and the solution are small and are
+    materialised once in the shared checkpoint folder when there is one, so
+    every later use reads the same rows.
     """
-    solution = cut_lineage(kcenter_outliers(points, k, z, L, alpha, max_rows))
+    if k < 1 or z < 0:
+        raise ValueError("need k >= 1 and z >= 0")
+    cs = cut_lineage(bounded_coreset(points, k + z + 1, L, max_rows))
+    solution = cut_lineage(weighted_kcenter(cs, k, z, alpha, max_rows))
     centers = solution_centers(solution).select(F.col("center_no").alias("id"), "v")
     dists = geometry.nearest_center_distance(points, centers, max_centers=max(k, 1))
     obj = geometry.objective(dists, z)
-    n = points.agg(F.count(F.lit(1)).alias("n"))
+    n = cs.agg(F.sum("w").cast("long").alias("n"))
     trace = solution.agg(
         F.min_by("r", "guess_no").alias("initial_guess"),
         F.max_by("r", "guess_no").alias("final_guess"),
@@ -299,7 +326,7 @@ def kcenter_report(
         n.scalar().alias("n"),
         F.lit(k).alias("k"),
         F.lit(z).alias("z"),
-        F.lit(L).alias("L"),
+        F.lit(L).cast("int").alias("L"),
         "initial_guess",
         "final_guess",
         "guesses",

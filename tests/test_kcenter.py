@@ -135,13 +135,17 @@ def test_properties_on_uber(spark):
     pts = read_points(spark, fixture("uber-small.csv"))
     cs = kc.coreset(pts, 8, 4)
     assert cs.agg(F.sum("w")).first()[0] == 959
-    objs = []
     for z in (0, 5, 20):
         rep = kc.kcenter_report(pts, 3, z, 4).first()
         assert rep.left_over <= z
-        objs.append(rep.objective)
     sol = kc.kcenter_outliers(pts, 3, 5, 4).collect()
     assert all(len(s.center_ord) <= 3 for s in sol)
+    assert all(not s.feasible for s in sol[:-1]) and sol[-1].feasible
+    # For fixed centers the objective never grows with z.
+    centers = kc.solution_centers(kc.kcenter_outliers(pts, 3, 5, 4)).selectExpr("center_no AS id", "v")
+    dists = geo.nearest_center_distance(pts, centers).cache()
+    objs = [geo.objective(dists, z).first().objective for z in (0, 1, 5, 50, 958, 2000)]
+    assert objs == sorted(objs, reverse=True)
 
 
 def test_multi_level_coreset_is_bounded(spark):
@@ -158,3 +162,20 @@ def test_solver_refuses_unbounded_group(spark):
     pts = read_points(spark, fixture("uber-small.csv"))
     with pytest.raises(Exception, match="max_rows"):
         kc.weighted_kcenter(pts, 2, 1, 0, max_rows=100).collect()
+
+
+def test_coreset_by_input_split(spark):
+    rnd = random.Random(3)
+    pts = [(rnd.randint(0, 30), rnd.randint(0, 30)) for _ in range(90)]
+    df = points_df(spark, pts).repartition(3, "point_id")
+    split_of = {r.point_id: r.p for r in df.select("point_id", F.spark_partition_id().alias("p")).collect()}
+    m = 4
+    got = {(r.part, r.c): (r.point_id, r.w) for r in kc.coreset(df, m, None).collect()}
+    assert sum(w for _, w in got.values()) == len(pts)
+    for part in set(split_of.values()):
+        members = sorted(i for i, p in split_of.items() if p == part)
+        centers, weights = brute.fft([pts[i] for i in members], m)
+        for c in range(m):
+            assert got[(part, c)] == (members[centers[c]], weights[c])
+    rep = kc.kcenter_report(df, 2, 3, None).first()
+    assert rep.n == len(pts) and rep.left_over <= 3 and rep.L is None
