@@ -113,8 +113,12 @@ def _geometry() -> dict[str, Query]:
             pts(s, d), centers(s, d), BALL_RADIUS
         ).select("point_id"),
         "nearest_center_distance": dists,
-        "farthest_points": lambda s, d: geometry.farthest_points(dists(s, d), OUTLIERS_Z),
-        "objective": lambda s, d: geometry.objective(dists(s, d), OUTLIERS_Z),
+        "farthest_points": lambda s, d: geometry.farthest_points(
+            geometry.nearest_distance(pts(s, d), centers(s, d)), OUTLIERS_Z
+        ),
+        "objective": lambda s, d: geometry.objective(
+            geometry.nearest_distance(pts(s, d), centers(s, d)), OUTLIERS_Z
+        ),
     }
 
 

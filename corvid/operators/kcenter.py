@@ -313,7 +313,7 @@ def kcenter_report(
     cs = cut_lineage(bounded_coreset(points, k + z + 1, L, max_rows))
     solution = cut_lineage(weighted_kcenter(cs, k, z, alpha, max_rows))
     centers = solution_centers(solution).select(F.col("center_no").alias("id"), "v")
-    dists = geometry.nearest_center_distance(points, centers, max_centers=max(k, 1))
+    dists = geometry.nearest_distance(points, centers, max_centers=max(k, 1))
     obj = geometry.objective(dists, z)
     n = cs.agg(F.sum("w").cast("long").alias("n"))
     trace = solution.agg(
