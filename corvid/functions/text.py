@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Line terminators of a text file (LF, CRLF, CR) and the token
 # separator (one blank).
 LINE_BREAK = r"\r\n|\n|\r"
-TRAILING_LINE_BREAK = r"(\r\n|\n|\r)$"
+TRAILING_LINE_BREAK = r"(\r\n|\n|\r)\z"
 TOKEN_SEPARATOR = " "
 
 

@@ -17,7 +17,7 @@ lines AS (
   FROM (
     SELECT doc_id,
            CASE WHEN text = '' THEN []::VARCHAR[]
-                ELSE string_split_regex(regexp_replace(text, '(\r\n|\n|\r)$', ''), '\r\n|\n|\r')
+                ELSE string_split_regex(regexp_replace(text, '(\r\n|\n|\r)\z', ''), '\r\n|\n|\r')
            END AS ls
     FROM documents
   )
