@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.functions.text import split_on_blank
+from corvid.functions.text import split_on_blank, term_counts
 
 
 def tokens(lines: DataFrame) -> DataFrame:
@@ -36,8 +36,16 @@ def _words(lines: DataFrame) -> DataFrame:
 
 
 def doc_term_counts(lines: DataFrame) -> DataFrame:
-    """Per-document word counts -> ``doc_id, line_no, word, cnt``."""
-    return _words(lines).groupBy("doc_id", "line_no", "word").agg(F.count(F.lit(1)).alias("cnt"))
+    """Per-document word counts -> ``doc_id, line_no, word, cnt``.
+
+    A document is one row, so its counts are computed inside the row
+    (``term_counts``): the in-mapper combine, with no exchange at all. A
+    ``groupBy(doc_id, line_no, word)`` would shuffle every distinct
+    (document, word) pair across the cluster to rebuild groups that never
+    left their row.
+    """
+    tokens = lines.select("doc_id", "line_no", split_on_blank(F.col("line")).alias("t"))
+    return term_counts(tokens, "t", ["doc_id", "line_no"])
 
 
 def word_count(lines: DataFrame) -> DataFrame:

@@ -93,3 +93,19 @@ def test_text_lines_edges(spark, text, expected):
 
     df = spark.createDataFrame([(text,)], "text string")
     assert df.select(text_lines(F.col("text")).alias("l")).first().l == expected
+
+
+def test_doc_term_counts_has_no_exchange(lines):
+    df = words.doc_term_counts(lines)
+    assert "Exchange" not in plan_text(df, "simple")
+
+
+@pytest.mark.parametrize("toks", [[], [""], ["b", "a", "b", "", "b"], ["x"] * 5])
+def test_term_counts(spark, toks):
+    from collections import Counter
+
+    from corvid.functions import term_counts
+
+    df = spark.createDataFrame([(1, toks)], "k int, t array<string>")
+    got = {r.word: r.cnt for r in term_counts(df, "t", ["k"]).collect()}
+    assert got == dict(Counter(toks))
