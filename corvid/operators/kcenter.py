@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import geometry
 from corvid.operators import kcenter_kernels as kk
-from corvid.session import cut_lineage
+from corvid.session import cut_lineage, input_splits
 from corvid.sources.points import with_unit_weight
 
 CORESET_SCHEMA = "part int, c int, ord long, point_id long, v array<double>, w long"
@@ -165,7 +165,11 @@ def bounded_coreset(
     if max_rows < 2 * m:
         raise ValueError(f"max_rows must be >= 2*(k+z+1) = {2 * m}")
     level = coreset(points, m, L)
-    parts = points.rdd.getNumPartitions() if L is None else L
+    parts = L
+    if parts is None:
+        parts = input_splits(points)
+        if parts is None:
+            raise ValueError("L=None needs the number of input splits; pass L")
     bound = parts * m
     while bound > max_rows:
         level = cut_lineage(level)

@@ -75,7 +75,20 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     task's output identical, and a join key as ``keys`` lets the next join
     reuse the partitioning.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    splits = input_splits(df)
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext (Spark Connect): leave the plan alone
+        return df
+    if splits is None or splits >= target:
         return df
     return df.repartition(target, *keys)
+
+
+def input_splits(df: DataFrame) -> int | None:
+    """Number of partitions the plan of ``df`` yields (planning only, no
+    job); ``None`` where the RDD view is unavailable (Spark Connect)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:
+        return None
