@@ -179,3 +179,22 @@ def test_coreset_by_input_split(spark):
             assert got[(part, c)] == (members[centers[c]], weights[c])
     rep = kc.kcenter_report(df, 2, 3, None).first()
     assert rep.n == len(pts) and rep.left_over <= 3 and rep.L is None
+
+
+@pytest.mark.parametrize("alpha", [0, 2])
+def test_weighted_solver_matches_brute_force(spark, alpha):
+    rnd = random.Random(17 + alpha)
+    pts = [(round(rnd.uniform(0, 20), 1), round(rnd.uniform(0, 20), 1)) for _ in range(35)]
+    w = [rnd.randint(1, 5) for _ in pts]
+    k, z = 3, 6
+    df = spark.createDataFrame(
+        [(i, [float(x) for x in p], w[i]) for i, p in enumerate(pts)], "point_id long, v array<double>, w long"
+    )
+    guesses, chosen, left = brute.search(pts, w, k, z, alpha)
+    sol = kc.weighted_kcenter(df, k, z, alpha).orderBy("guess_no").collect()
+    assert [s.r for s in sol] == guesses
+    assert sol[-1].center_point_id == chosen
+    assert sol[-1].left_over == left and sol[-1].feasible
+    greedy = kc.greedy_cover(df, k, guesses[0], alpha, z).first()
+    first_chosen, first_left = brute.cover(pts, w, k, guesses[0], alpha)
+    assert greedy.center_point_id == first_chosen and greedy.left_over == first_left

@@ -68,3 +68,35 @@ def test_top_k_plan_and_pushdown(spark):
     assert "EqualTo(n_name,NATION_7)" in text  # country filter reached the nation scan
     assert "GreaterThan(l_quantity,0.0)" in text  # quantity filter reached the lineitem scan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in text
+
+
+def popularity_model(rows, country, H):
+    pairs = {(p, c) for p, q, c, s in rows if q > 0 and (country == "all" or s == country)}
+    pop = {}
+    for p, _ in pairs:
+        pop[p] = pop.get(p, 0) + 1
+    items = list(pop.items())
+    if H == 0:
+        return sorted(items)
+    items.sort(key=lambda x: x[0], reverse=True)  # product descending breaks ties
+    items.sort(key=lambda x: x[1], reverse=True)  # stable: popularity descending first
+    return items[:H]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_top_products_match_model(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    products = ["10", "9", "100", "A1", "a1", "B"]
+    rows = [
+        (rnd.choice(products), rnd.choice([-1, 0, 1, 2]), str(rnd.randint(1, 6)), rnd.choice(["X", "Y"]))
+        for _ in range(60)
+    ]
+    df = spark.createDataFrame(rows, "product string, quantity int, customer string, country string")
+    for country in ("all", "X"):
+        for H in (0, 1, 3, 10):
+            pop = sales.popularity_reduced(sales.sales_filtered(df, country))
+            assert pairs(sales.top_products(pop, H)) == popularity_model(
+                [(p, q, int(c), s) for p, q, c, s in rows], country, H
+            )
