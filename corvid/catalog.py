@@ -99,7 +99,7 @@ def _geometry() -> dict[str, Query]:
             "part", "c", "point_id"
         ),
         "center_weights": lambda s, d: kcenter.center_weights(
-            pts(s, d), kcenter.fft_centers(pts(s, d), FFT_M, FFT_L), FFT_L
+            pts(s, d), kcenter.fft_centers(pts(s, d), FFT_M, FFT_L), FFT_L, FFT_M
         ),
         "coreset": lambda s, d: kcenter.coreset(pts(s, d), FFT_M, FFT_L).select(
             "part", "c", "ord", "point_id", "w"

@@ -127,20 +127,37 @@ def fft_centers(points: DataFrame, m: int, L: int) -> DataFrame:
     return coreset(points, m, L).select("part", "c", "point_id", "v")
 
 
-def center_weights(points: DataFrame, centers: DataFrame, L: int) -> DataFrame:
+def center_weights(
+    points: DataFrame, centers: DataFrame, L: int, m: int | None = None,
+    max_centers: int = geometry.MAX_CENTERS,
+) -> DataFrame:
     """Weights of given per-part centers, relationally.
 
     ``centers``: ``part, c, point_id, v``. Each part's centers are gathered
-    into one array (m entries), joined to that part's points on ``part``,
-    and each point picks its nearest center (least distance, then least
-    ``c``). Counts are partially aggregated per task, so a center holding a
-    third of all points adds one row per task to the exchange. Centers that
-    win no point (repeated ones) keep weight 0.
+    into one array, joined to that part's points on ``part``, and each point
+    picks its nearest center (least distance, then least ``c``). Counts are
+    partially aggregated per task, so a center holding a third of all points
+    adds one row per task to the exchange. Centers that win no point
+    (repeated ones) keep weight 0.
+
+    With ``m`` (centers per part) the per-part table is asserted to hold at
+    most ``L`` rows of at most ``m`` centers; when ``L*m <= max_centers``
+    that proven bound lets it be broadcast, so the points stream through the
+    join without a shuffle. Otherwise Spark chooses (a sort-merge join on
+    ``part`` at scale).
     """
     _check(1, L)
     per_part = centers.groupBy("part").agg(
         F.collect_list(F.struct(F.col("c").cast("long").alias("id"), F.col("v"))).alias("cs")
     )
+    if m is not None:
+        ok = (F.size("cs") <= F.lit(m)) & (F.col("part") >= 0) & (F.col("part") < F.lit(L))
+        per_part = per_part.select(
+            "part",
+            F.when(F.assert_true(ok, "centers exceed m per part or parts exceed L").isNull(), F.col("cs")).alias("cs"),
+        )
+        if L * m <= max_centers:
+            per_part = F.broadcast(per_part)
     pts = with_unit_weight(points).select(
         F.pmod(F.col("point_id"), F.lit(L)).cast("int").alias("part"), "v", "w"
     )

@@ -107,8 +107,11 @@ def test_coreset_matches_brute_force_and_relational_weights(spark):
         centers, weights = brute.fft([pts[i] for i in members], m)
         for c in range(m):
             assert got[(part, c)] == (members[centers[c]], weights[c])
-    rel = kc.center_weights(df, kc.fft_centers(df, m, L), L)
-    assert {(r.part, r.c): (r.point_id, r.w) for r in rel.collect()} == got
+    for given_m in (None, m):
+        rel = kc.center_weights(df, kc.fft_centers(df, m, L), L, given_m)
+        assert {(r.part, r.c): (r.point_id, r.w) for r in rel.collect()} == got
+    with pytest.raises(Exception, match="exceed m"):
+        kc.center_weights(df, kc.fft_centers(df, m, L), L, m - 1).collect()
 
 
 def test_equal_points_first_guess_zero(spark):
