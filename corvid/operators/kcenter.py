@@ -6,7 +6,8 @@ runs a farthest-first traversal to ``m = k+z+1`` centers, weighting each
 center by the points nearest to it. ``groupBy('part').applyInArrow`` gives
 each part to one task as an Arrow table; the kernel is vectorised numpy, one
 distance pass per center. The output has at most ``L*m`` rows whatever the
-input size.
+input size. With ``L=None`` the input splits themselves are the parts
+(``mapInArrow``): no shuffle of the points at all.
 
 Round 2 (``weighted_kcenter``): the weighted coreset is solved by the
 doubling search of greedy balls. It needs all candidates together, so it
@@ -122,7 +123,7 @@ def coreset(points: DataFrame, m: int, L: int | None) -> DataFrame:
     return _coreset_level(pts, m, L)
 
 
-def fft_centers(points: DataFrame, m: int, L: int) -> DataFrame:
+def fft_centers(points: DataFrame, m: int, L: int | None) -> DataFrame:
     """The traversal alone -> ``part, c, point_id, v``."""
     return coreset(points, m, L).select("part", "c", "point_id", "v")
 
