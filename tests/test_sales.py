@@ -100,3 +100,34 @@ def test_top_products_match_model(spark, seed):
             assert pairs(sales.top_products(pop, H)) == popularity_model(
                 [(p, q, int(c), s) for p, q, c, s in rows], country, H
             )
+
+
+def _write(tmp_path, text):
+    p = tmp_path / "tx.csv"
+    p.write_text(text)
+    return str(p)
+
+
+def test_reader_fails_on_short_line_and_bad_quantity(spark, tmp_path):
+    short = _write(tmp_path, "1,P,desc,2,2010-01-01 00:00:00,1.0,7\n")
+    with pytest.raises(Exception):
+        read_transactions(spark, short).collect()
+    bad_q = tmp_path / "q"
+    bad_q.mkdir()
+    (bad_q / "tx.csv").write_text("1,P,desc,x,2010-01-01 00:00:00,1.0,7,Italy\n")
+    with pytest.raises(Exception):
+        sales.sales_filtered(read_transactions(spark, str(bad_q)), "all").collect()
+
+
+def test_reader_has_no_quoting_and_parses_customer_late(spark, tmp_path):
+    path = _write(
+        tmp_path,
+        '1,P,"quoted desc,2,2010-01-01 00:00:00,1.0,7,Italy\n'
+        "2,Q,plain ,3,2010-01-01 00:00:00,1.0,oops,Germany\n",
+    )
+    tx = read_transactions(spark, path)
+    rows = sorted((r.product, r.description) for r in tx.collect())
+    assert rows == [("P", '"quoted desc'), ("Q", "plain ")]
+    assert pairs(sales.popularity_reduced(sales.sales_filtered(tx, "Italy"))) == [("P", 1)]
+    with pytest.raises(Exception):
+        sales.popularity_reduced(sales.sales_filtered(tx, "Germany")).collect()
