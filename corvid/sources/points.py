@@ -12,17 +12,22 @@ from pyspark.sql import functions as F
 
 
 def checked_points(points: DataFrame, dim: int | None = None) -> DataFrame:
-    """Reject null/NaN coordinates and, if ``dim`` is given, other sizes.
+    """Reject null/NaN coordinates and points of another dimension.
 
     The checks are lazy ``assert_true`` projections: they cost one pass that
-    the consumer makes anyway and fail the job on the first bad row.
+    the consumer makes anyway and fail the job on the first bad row. Without
+    ``dim`` every row is held to the size of one row read by a ``limit(1)``
+    scalar subquery.
     """
     ok = (F.col("v").isNotNull()) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x))
-    if dim is not None:
-        ok = ok & (F.size("v") == F.lit(dim))
+    if dim is None:
+        expected = points.select(F.size("v")).limit(1).scalar()
+    else:
+        expected = F.lit(dim)
+    ok = ok & (F.size("v") == expected)
     return points.select(
         "point_id",
-        F.when(F.assert_true(ok, "point with a null/NaN coordinate or wrong size").isNull(), F.col("v")).alias("v"),
+        F.when(F.assert_true(ok, "point with a null/NaN coordinate or another dimension").isNull(), F.col("v")).alias("v"),
         *[c for c in points.columns if c not in ("point_id", "v")],
     )
 

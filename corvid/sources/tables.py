@@ -94,14 +94,16 @@ def transactions(spark: SparkSession, sf_dir: str, with_country: bool = True) ->
 
 
 def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points from ``embeddings``: ``point_id = vec_id``, ``v`` as doubles."""
-    emb = spread(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id")
-    return checked_points(
-        emb.select(
-            F.col("vec_id").alias("point_id"),
-            F.col("embedding").cast("array<double>").alias("v"),
-        )
+    """Points from ``embeddings``: ``point_id = vec_id``, ``v`` as doubles.
+
+    Checked on the scan itself (the dimension probe is a ``limit(1)`` read),
+    then spread if the scan has too few splits.
+    """
+    emb = table(spark, sf_dir, "embeddings")
+    raw = emb.select(
+        F.col("vec_id").alias("point_id"), F.col("embedding").cast("array<double>").alias("v")
     )
+    return spread(checked_points(raw), "point_id")
 
 
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
