@@ -29,23 +29,30 @@ TRANSACTION_SCHEMA = T.StructType(
 )
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """S1 for files: one document per line -> ``doc_id, line_no, line``.
 
     ``doc_id`` comes from ``monotonically_increasing_id`` right after the
     scan, which follows line order inside a split; inputs that need a global
     line number should bring their own id column (see ``sources.tables``).
+    ``partitions`` spreads the documents over that many partitions by
+    ``doc_id`` (the original's ``repartition(K)``, made deterministic).
     """
-    return spark.read.text(path).select(
+    df = spark.read.text(path).select(
         F.monotonically_increasing_id().alias("doc_id"),
         F.lit(0).alias("line_no"),
         F.col("value").alias("line"),
     )
+    return df.repartition(partitions, "doc_id") if partitions else df
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """Comma file -> transactions, no quoting, fail on a bad row."""
-    return (
+def read_transactions(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Comma file -> transactions, no quoting, fail on a bad row.
+
+    ``partitions`` spreads the rows by ``transaction_id`` (the original's
+    ``repartition(K)``, made deterministic).
+    """
+    df = (
         spark.read.schema(TRANSACTION_SCHEMA)
         .option("quote", "")
         .option("escape", "")
@@ -54,16 +61,22 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )
+    return df.repartition(partitions, "transaction_id") if partitions else df
 
 
-def read_points(spark: SparkSession, path: str, dim: int | None = None) -> DataFrame:
+def read_points(
+    spark: SparkSession, path: str, dim: int | None = None, partitions: int | None = None
+) -> DataFrame:
     """S3: comma file of coordinates -> ``point_id, v: array<double>``.
 
-    Any number of coordinates per line; ``dim`` (when given) is enforced per
-    row. NaN or unparsable coordinates fail the job.
+    Any number of coordinates per line, the same on every line (``dim``, if
+    given, is enforced). NaN or unparsable coordinates fail the job.
+    ``partitions`` spreads the points by ``point_id``; the k-center parts do
+    not depend on it (they follow ``point_id``).
     """
     raw = spark.read.text(path).select(
         F.monotonically_increasing_id().alias("point_id"),
         F.transform(F.split("value", ","), lambda s: F.trim(s).cast("double")).alias("v"),
     )
-    return checked_points(raw, dim)
+    pts = checked_points(raw, dim)
+    return pts.repartition(partitions, "point_id") if partitions else pts

@@ -201,3 +201,9 @@ def test_weighted_solver_matches_brute_force(spark, alpha):
     greedy = kc.greedy_cover(df, k, guesses[0], alpha, z).first()
     first_chosen, first_left = brute.cover(pts, w, k, guesses[0], alpha)
     assert greedy.center_point_id == first_chosen and greedy.left_over == first_left
+
+
+def test_reader_partitions_do_not_change_the_answer(spark):
+    a = kc.kcenter_report(read_points(spark, fixture("uber-small.csv")), 5, 10, 4).first()
+    b = kc.kcenter_report(read_points(spark, fixture("uber-small.csv"), partitions=7), 5, 10, 4).first()
+    assert a == b

@@ -109,3 +109,10 @@ def test_term_counts(spark, toks):
     df = spark.createDataFrame([(1, toks)], "k int, t array<string>")
     got = {r.word: r.cnt for r in term_counts(df, "t", ["k"]).collect()}
     assert got == dict(Counter(toks))
+
+
+def test_partitioned_reader_gives_same_counts(spark):
+    a = counts(words.word_count(read_lines(spark, fixture("dataset.txt"))))
+    df = read_lines(spark, fixture("dataset.txt"), partitions=4)
+    assert df.rdd.getNumPartitions() == 4
+    assert counts(words.word_count(df)) == a
