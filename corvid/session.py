@@ -64,17 +64,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+SPREAD_MIN_BYTES = 256 << 10
+
+
+def spread(df: DataFrame, *keys: str, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Hash-spread rows over the cluster when the scan has too few splits.
 
     A large table arrives in many more splits than the cluster has cores and
     is returned untouched. A small one stored as a single row group scans in
     one task, and everything fused into that stage (tokenising, joining)
     would run on one core; such input is repartitioned by ``keys`` to the
-    default parallelism. Hash (not round-robin) partitioning keeps a retried
-    task's output identical, and a join key as ``keys`` lets the next join
-    reuse the partitioning.
+    default parallelism. Inputs the optimizer estimates under ``min_bytes``
+    are left alone: one core handles them faster than a shuffle would. Hash
+    (not round-robin) partitioning keeps a retried task's output identical,
+    and a join key as ``keys`` lets the next join reuse the partitioning.
     """
+    size = estimated_bytes(df)
+    if size is not None and size < min_bytes:
+        return df
     splits = input_splits(df)
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
@@ -85,6 +92,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(target, *keys)
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (planning only, no job);
+    ``None`` where the JVM plan is not reachable (Spark Connect)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:
+        return None
+
+
 def input_splits(df: DataFrame) -> int | None:
     """Number of partitions the plan of ``df`` yields (planning only, no
     job); ``None`` where the RDD view is unavailable (Spark Connect)."""
