@@ -32,22 +32,44 @@ def matrix(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return X
 
 
-def dist_to(X: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Distances of every row of X to one point c."""
-    acc = np.zeros(X.shape[0])
-    for j in range(X.shape[1]):
-        diff = X[:, j] - c[j]
-        acc += diff * diff
-    return np.sqrt(acc)
+def columns(X: np.ndarray) -> np.ndarray:
+    """(d, n) copy of X: each coordinate contiguous, for the distance loops."""
+    return np.ascontiguousarray(X.T)
 
 
-def pairwise(X: np.ndarray, Y: np.ndarray) -> np.ndarray:
-    """(len X, len Y) distance matrix, same summation order as ``dist_to``."""
-    acc = np.zeros((X.shape[0], Y.shape[0]))
-    for j in range(X.shape[1]):
-        diff = X[:, j][:, None] - Y[:, j][None, :]
-        acc += diff * diff
-    return np.sqrt(acc)
+def dist_to(XT: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Distances of every point (columns of ``XT``, see ``columns``) to c.
+
+    One contiguous pass per coordinate, in place, summing in coordinate
+    order like the column expressions.
+    """
+    n = XT.shape[1]
+    acc = np.zeros(n)
+    tmp = np.empty(n)
+    for j in range(XT.shape[0]):
+        np.subtract(XT[j], c[j], out=tmp)
+        np.multiply(tmp, tmp, out=tmp)
+        acc += tmp
+    return np.sqrt(acc, out=acc)
+
+
+def pairwise(X: np.ndarray, Y: np.ndarray, block: int = 256) -> np.ndarray:
+    """(len X, len Y) distance matrix, same summation order as ``dist_to``,
+    built in row blocks so temporaries stay small."""
+    XT, YT = columns(X), columns(Y)
+    out = np.empty((X.shape[0], Y.shape[0]))
+    tmp = np.empty((min(block, X.shape[0]), Y.shape[0]))
+    for lo in range(0, X.shape[0], block):
+        hi = min(lo + block, X.shape[0])
+        acc = out[lo:hi]
+        acc[:] = 0.0
+        t = tmp[: hi - lo]
+        for j in range(XT.shape[0]):
+            np.subtract(XT[j, lo:hi, None], YT[j][None, :], out=t)
+            np.multiply(t, t, out=t)
+            acc += t
+        np.sqrt(acc, out=acc)
+    return out
 
 
 def order_rows(key: np.ndarray, X: np.ndarray) -> np.ndarray:
@@ -70,11 +92,12 @@ def farthest_first(X: np.ndarray, w: np.ndarray, m: int) -> tuple[np.ndarray, np
     distance pass per center gives both the traversal and the weights.
     """
     n = X.shape[0]
+    XT = columns(X)
     min_d = np.full(n, np.inf)
     owner = np.zeros(n, dtype=np.int64)
     centers = np.zeros(m, dtype=np.int64)
     for t in range(m):
-        d = dist_to(X, X[centers[t]])
+        d = dist_to(XT, X[centers[t]])
         closer = d < min_d
         min_d[closer] = d[closer]
         owner[closer] = t

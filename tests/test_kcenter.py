@@ -207,3 +207,19 @@ def test_reader_partitions_do_not_change_the_answer(spark):
     a = kc.kcenter_report(read_points(spark, fixture("uber-small.csv")), 5, 10, 4).first()
     b = kc.kcenter_report(read_points(spark, fixture("uber-small.csv"), partitions=7), 5, 10, 4).first()
     assert a == b
+
+
+def test_kernel_distances_match_sequential_formula():
+    import numpy as np
+
+    from corvid.operators import kcenter_kernels as kk
+
+    rng = np.random.default_rng(1)
+    X = rng.normal(size=(300, 9))
+    ref = np.zeros((300, 300))
+    for j in range(9):
+        dd = X[:, j][:, None] - X[:, j][None, :]
+        ref = ref + dd * dd
+    ref = np.sqrt(ref)
+    assert np.array_equal(kk.pairwise(X, X, block=64), ref)
+    assert np.array_equal(kk.dist_to(kk.columns(X), X[7]), ref[:, 7])
