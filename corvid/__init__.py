@@ -13,4 +13,16 @@ DataFrames (no session creation, no ``collect`` inside an operator):
 row shapes these operators expect.
 """
 
+import sys as _sys
+
+# Functions that run inside Python workers (the k-center kernels) are shipped
+# by value, so executors need neither this package installed nor it on
+# their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover
+    pass
+
 __all__ = ["functions", "operators", "plans", "sources", "streaming"]
