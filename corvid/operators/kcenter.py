@@ -241,13 +241,19 @@ def _solve_group(k: int, z: int, alpha: float, max_rows: int, radius: float | No
     return run
 
 
-def _one_group(weighted: DataFrame) -> DataFrame:
+def _one_group(weighted: DataFrame, max_rows: int):
+    """The weighted set as one group, never more than ``max_rows + 1`` rows.
+
+    The limit bounds what reaches the Python worker; the kernel then fails
+    on a group of ``max_rows + 1`` rows, so nothing is dropped silently.
+    """
     if "ord" in weighted.columns:
         ord_col = F.col("ord")
     else:
         ord_col = F.col("point_id")
     w = weighted.select(ord_col.alias("ord"), "point_id", "v", *(["w"] if "w" in weighted.columns else []))
-    return with_unit_weight(w).select(F.lit(0).alias("g"), "ord", "point_id", "v", "w").groupBy("g")
+    bounded = with_unit_weight(w).limit(max_rows + 1)
+    return bounded.select(F.lit(0).alias("g"), "ord", "point_id", "v", "w").groupBy("g")
 
 
 def weighted_kcenter(
@@ -263,7 +269,9 @@ def weighted_kcenter(
     """
     if k < 1 or z < 0:
         raise ValueError("need k >= 1 and z >= 0")
-    return _one_group(weighted).applyInArrow(_solve_group(k, z, alpha, max_rows, None), SOLUTION_SCHEMA)
+    return _one_group(weighted, max_rows).applyInArrow(
+        _solve_group(k, z, alpha, max_rows, None), SOLUTION_SCHEMA
+    )
 
 
 def greedy_cover(
@@ -273,7 +281,9 @@ def greedy_cover(
     """K7: up to ``k`` greedy balls at one guess ``radius`` -> one row."""
     if k < 1:
         raise ValueError("need k >= 1")
-    return _one_group(weighted).applyInArrow(_solve_group(k, z, alpha, max_rows, radius), SOLUTION_SCHEMA)
+    return _one_group(weighted, max_rows).applyInArrow(
+        _solve_group(k, z, alpha, max_rows, radius), SOLUTION_SCHEMA
+    )
 
 
 def guess_trace(solution: DataFrame) -> DataFrame:
