@@ -41,7 +41,7 @@ def plans(spark):
     def li_objective():
         sol = kcenter.kcenter_outliers(li(), LI_K, LI_Z, LI_L, 2)
         centers = kcenter.solution_centers(sol).selectExpr("center_no AS id", "v")
-        return geometry.objective(geometry.nearest_distance(li(), centers, LI_K), LI_Z)
+        return geometry.objective(geometry.nearest_distance(li(), centers, LI_K, eager=True), LI_Z)
 
     return {
         "word_count": lambda: words.word_count(lines()),

@@ -345,7 +345,10 @@ def kcenter_report(
     cs = cut_lineage(bounded_coreset(points, k + z + 1, L, max_rows))
     solution = cut_lineage(weighted_kcenter(cs, k, z, alpha, max_rows))
     centers = solution_centers(solution).select(F.col("center_no").alias("id"), "v")
-    dists = geometry.nearest_distance(points, centers, max_centers=max(k, 1))
+    # The solution is small and already materialised: gather its centers
+    # once as a literal, so the pass over all points neither copies the
+    # center array into every row nor re-runs the solve.
+    dists = geometry.nearest_distance(points, centers, max_centers=max(k, 1), eager=k <= geometry.MAX_LITERAL_CENTERS)
     obj = geometry.objective(dists, z)
     n = cs.agg(F.sum("w").cast("long").alias("n"))
     trace = solution.agg(
