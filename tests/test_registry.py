@@ -15,8 +15,9 @@ def con():
     return duckdb_connection(SF_SMALL)
 
 
-def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_an_oracle_and_back():
+    assert set(ORACLES) == set(QUERIES)
+    assert len(QUERIES) == 37
 
 
 def test_entry_runs(spark):
@@ -35,7 +36,3 @@ def test_query_matches_oracle(spark, con, name):
     for col in want.columns:
         assert str(got[col].dtype) == str(want[col].dtype) or got[col].dtype == object, (col, got[col].dtype, want[col].dtype)
 
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_query_without_oracle_runs(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() >= 1
