@@ -49,10 +49,14 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
 def read_transactions(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Comma file -> transactions, no quoting, fail on a bad row.
 
+    Short lines and unparsable numbers fail (``FAILFAST``). The CSV reader
+    turns empty fields into NULL, so the rules of the original line parser
+    are restated: an empty quantity or a missing country fails the job
+    (both are read on every row), and an empty product is the empty string.
     ``partitions`` spreads the rows by ``transaction_id`` (the original's
     ``repartition(K)``, made deterministic).
     """
-    df = (
+    raw = (
         spark.read.schema(TRANSACTION_SCHEMA)
         .option("quote", "")
         .option("escape", "")
@@ -61,6 +65,18 @@ def read_transactions(spark: SparkSession, path: str, partitions: int | None = N
         .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )
+    ok = F.col("quantity").isNotNull() & F.col("country").isNotNull()
+    guard = F.assert_true(ok, "transaction with an empty quantity or no country field").isNull()
+    df = raw.select(
+        "transaction_id",
+        F.coalesce(F.col("product"), F.lit("")).alias("product"),
+        "description",
+        F.when(guard, F.col("quantity")).alias("quantity"),
+        "invoice_ts",
+        "unit_price",
+        "customer",
+        F.when(guard, F.col("country")).alias("country"),
+    )
     return df.repartition(partitions, "transaction_id") if partitions else df
 
 

@@ -131,3 +131,18 @@ def test_reader_has_no_quoting_and_parses_customer_late(spark, tmp_path):
     assert pairs(sales.popularity_reduced(sales.sales_filtered(tx, "Italy"))) == [("P", 1)]
     with pytest.raises(Exception):
         sales.popularity_reduced(sales.sales_filtered(tx, "Germany")).collect()
+
+
+def test_reader_restates_empty_field_rules(spark, tmp_path):
+    row = "{t},{p},d,{q},2010-01-01 00:00:00,1.0,{c},{s}\n"
+    ok = tmp_path / "ok"
+    ok.mkdir()
+    (ok / "a.csv").write_text(row.format(t=1, p="", q=2, c=7, s="Italy") + row.format(t=2, p="P", q=1, c=7, s="Italy"))
+    got = sorted(pairs(sales.popularity_reduced(sales.sales_filtered(read_transactions(spark, str(ok)), "all"))))
+    assert got == [("", 1), ("P", 1)]
+    for bad_q, bad_s in (("", "Italy"), ("1", "")):
+        d = tmp_path / f"bad{bad_q}{bad_s}"
+        d.mkdir()
+        (d / "a.csv").write_text(row.format(t=3, p="R", q=bad_q, c=9, s=bad_s))
+        with pytest.raises(Exception, match="empty quantity or no country"):
+            sales.sales_filtered(read_transactions(spark, str(d)), "all").collect()
