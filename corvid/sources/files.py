@@ -90,9 +90,12 @@ def read_points(
     ``partitions`` spreads the points by ``point_id``; the k-center parts do
     not depend on it (they follow ``point_id``).
     """
+    # Trailing empty fields are dropped, as a plain comma split does; an
+    # empty field anywhere else fails the job (the ANSI cast rejects it).
+    fields = F.split(F.regexp_replace("value", r",+\z", ""), ",")
     raw = spark.read.text(path).select(
         F.monotonically_increasing_id().alias("point_id"),
-        F.transform(F.split("value", ","), lambda s: F.trim(s).cast("double")).alias("v"),
+        F.transform(fields, lambda s: F.trim(s).cast("double")).alias("v"),
     )
     pts = checked_points(raw, dim)
     return pts.repartition(partitions, "point_id") if partitions else pts
