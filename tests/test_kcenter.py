@@ -223,3 +223,18 @@ def test_kernel_distances_match_sequential_formula():
     ref = np.sqrt(ref)
     assert np.array_equal(kk.pairwise(X, X, block=64), ref)
     assert np.array_equal(kk.dist_to(kk.columns(X), X[7]), ref[:, 7])
+
+
+def test_argument_rules(spark):
+    df = points_df(spark, [(0, 0), (1, 1), (2, 2), (3, 3)])
+    for k, z in ((0, 1), (1, -1)):
+        with pytest.raises(ValueError):
+            kc.weighted_kcenter(df, k, z)
+        with pytest.raises(ValueError):
+            kc.kcenter_outliers(df, k, z, 2)
+    with pytest.raises(ValueError):
+        kc.coreset(df, 0, 2)
+    with pytest.raises(ValueError):
+        kc.bounded_coreset(df, 10, 2, max_rows=15)
+    with pytest.raises(ValueError):
+        geo.farthest_points(geo.nearest_distance(df, df.selectExpr("point_id AS id", "v")), -1)

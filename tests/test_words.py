@@ -116,3 +116,14 @@ def test_partitioned_reader_gives_same_counts(spark):
     df = read_lines(spark, fixture("dataset.txt"), partitions=4)
     assert df.rdd.getNumPartitions() == 4
     assert counts(words.word_count(df)) == a
+
+
+def test_argument_rules(lines):
+    from corvid.operators import sales
+
+    with pytest.raises(ValueError):
+        words.word_count_salted(lines, 0)
+    with pytest.raises(ValueError):
+        words.word_count_rand_group(lines, 0)
+    with pytest.raises(ValueError):
+        sales.top_products(lines, -1)
