@@ -22,16 +22,17 @@ def solve_unit(spark, pts, k, z, alpha=0):
     return tr, ids, left, obj
 
 
-# Expected results from FIXTURES.md (unit weights, alpha 0).
+# Expected results from FIXTURES.md (unit weights, alpha 0),
+# one row per sample file and parameter set.
 UNIT_CASES = [
-    ("testdataHW2.txt", 3, 3, 0.05, 0.05, 1, [1, 5, 9], 3, 0.141421356),
-    ("testdataHW2.txt", 3, 1, 0.05, 0.8, 5, [1, 5, 9], 1, 1.562049935),
-    ("testdataHW2.txt", 3, 0, 0.05, 1.6, 6, [1], 0, 4.242640687),
-    ("prova.txt", 3, 4, 0.05, 0.05, 1, [1, 5, 9], 4, 0.141421356),
-    ("prova.txt", 3, 2, 0.05, 0.8, 5, [1, 5, 9], 2, 1.562049935),
-    ("uber-small.csv", 2, 5, 0.003640055, 0.116481758, 6, [62, 371], 2, 0.240672662),
-    ("uber-small.csv", 5, 10, 0.0015, 0.048, 6, [334, 23, 335, 57, 120], 8, 0.117215187),
-    ("uber-small.csv", 10, 100, 0.000111803, 0.007155418, 7,
+    ("points_15.txt", 3, 3, 0.05, 0.05, 1, [1, 5, 9], 3, 0.141421356),
+    ("points_15.txt", 3, 1, 0.05, 0.8, 5, [1, 5, 9], 1, 1.562049935),
+    ("points_15.txt", 3, 0, 0.05, 1.6, 6, [1], 0, 4.242640687),
+    ("points_16.txt", 3, 4, 0.05, 0.05, 1, [1, 5, 9], 4, 0.141421356),
+    ("points_16.txt", 3, 2, 0.05, 0.8, 5, [1, 5, 9], 2, 1.562049935),
+    ("points_959.csv", 2, 5, 0.003640055, 0.116481758, 6, [62, 371], 2, 0.240672662),
+    ("points_959.csv", 5, 10, 0.0015, 0.048, 6, [334, 23, 335, 57, 120], 8, 0.117215187),
+    ("points_959.csv", 10, 100, 0.000111803, 0.007155418, 7,
      [803, 913, 87, 37, 206, 59, 322, 604, 109, 490], 100, 0.02143945),
 ]
 
@@ -50,13 +51,13 @@ def test_unit_weight_fixtures(spark, name, k, z, first, final, n_guess, centers,
 
 # Two-round results from FIXTURES.md (alpha 2, part = line mod L).
 TWO_ROUND_CASES = [
-    ("testdataHW2.txt", 3, 1, 2, 10, 15, 0.707106781, 0.707106781, 1, [(2.0, 2.0)], 0, 2.284731932),
-    ("prova.txt", 3, 2, 2, 12, 16, 0.070710678, 0.282842712, 3,
+    ("points_15.txt", 3, 1, 2, 10, 15, 0.707106781, 0.707106781, 1, [(2.0, 2.0)], 0, 2.284731932),
+    ("points_16.txt", 3, 2, 2, 12, 16, 0.070710678, 0.282842712, 3,
      [(1.1, 1.1), (10.0, 1.0), (1.0, 10.0)], 2, 1.421267040),
-    ("uber-small.csv", 5, 10, 4, 64, 959, 0.020387067, 0.020387067, 1,
+    ("points_959.csv", 5, 10, 4, 64, 959, 0.020387067, 0.020387067, 1,
      [(40.769, -73.9549), (40.6931, -74.1834), (40.9859, -74.1578), (40.7757, -73.4202), (40.779, -74.42)],
      1, 0.205401558),
-    ("uber-small.csv", 10, 20, 4, 124, 959, 0.009546989, 0.009546989, 1, [(40.7545, -73.9757)], 4, 0.070741006),
+    ("points_959.csv", 10, 20, 4, 124, 959, 0.009546989, 0.009546989, 1, [(40.7545, -73.9757)], 4, 0.070741006),
 ]
 
 
@@ -134,8 +135,8 @@ def test_too_few_points_is_an_error(spark):
         kc.weighted_kcenter(df, 2, 1, 0).collect()
 
 
-def test_properties_on_uber(spark):
-    pts = read_points(spark, fixture("uber-small.csv"))
+def test_properties_on_959_points(spark):
+    pts = read_points(spark, fixture("points_959.csv"))
     cs = kc.coreset(pts, 8, 4)
     assert cs.agg(F.sum("w")).first()[0] == 959
     for z in (0, 5, 20):
@@ -152,7 +153,7 @@ def test_properties_on_uber(spark):
 
 
 def test_multi_level_coreset_is_bounded(spark):
-    pts = read_points(spark, fixture("uber-small.csv"))
+    pts = read_points(spark, fixture("points_959.csv"))
     m, L, cap = 6, 64, 100  # 64 parts x 6 = 384 rows > 100 -> a second level
     cs = kc.bounded_coreset(pts, m, L, max_rows=cap)
     stats = cs.agg(F.count("*").alias("n"), F.sum("w").alias("w")).first()
@@ -162,7 +163,7 @@ def test_multi_level_coreset_is_bounded(spark):
 
 
 def test_solver_refuses_unbounded_group(spark):
-    pts = read_points(spark, fixture("uber-small.csv"))
+    pts = read_points(spark, fixture("points_959.csv"))
     with pytest.raises(Exception, match="max_rows"):
         kc.weighted_kcenter(pts, 2, 1, 0, max_rows=100).collect()
 
@@ -204,8 +205,8 @@ def test_weighted_solver_matches_brute_force(spark, alpha):
 
 
 def test_reader_partitions_do_not_change_the_answer(spark):
-    a = kc.kcenter_report(read_points(spark, fixture("uber-small.csv")), 5, 10, 4).first()
-    b = kc.kcenter_report(read_points(spark, fixture("uber-small.csv"), partitions=7), 5, 10, 4).first()
+    a = kc.kcenter_report(read_points(spark, fixture("points_959.csv")), 5, 10, 4).first()
+    b = kc.kcenter_report(read_points(spark, fixture("points_959.csv"), partitions=7), 5, 10, 4).first()
     assert a == b
 
 

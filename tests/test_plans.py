@@ -16,12 +16,12 @@ from corvid.sources import read_lines, read_points, read_transactions
 
 @pytest.fixture(scope="module")
 def lines(spark):
-    return read_lines(spark, fixture("dataset.txt"))
+    return read_lines(spark, fixture("words_30.txt"))
 
 
 @pytest.fixture(scope="module")
 def tx(spark):
-    return sales.sales_filtered(read_transactions(spark, fixture("sample_50.csv")), "all")
+    return sales.sales_filtered(read_transactions(spark, fixture("transactions_50.csv")), "all")
 
 
 @pytest.mark.parametrize(
@@ -57,7 +57,7 @@ def test_sales_shuffles(tx, op, expected):
 def test_distance_operators_do_not_shuffle_points(spark):
     from pyspark.sql import functions as F
 
-    pts = read_points(spark, fixture("uber-small.csv"))
+    pts = read_points(spark, fixture("points_959.csv"))
     cs = pts.limit(4).select(F.col("point_id").alias("id"), "v")
     for df in (
         geo.point_distances(pts, cs),

@@ -8,7 +8,7 @@ from corvid.sources import read_transactions, transactions
 
 @pytest.fixture(scope="module")
 def tx(spark):
-    return read_transactions(spark, fixture("sample_50.csv")).cache()
+    return read_transactions(spark, fixture("transactions_50.csv")).cache()
 
 
 def pairs(df):

@@ -11,7 +11,7 @@ from corvid.streaming.words import start_word_count
 def test_streaming_count_matches_batch(spark):
     src = tempfile.mkdtemp(prefix="run-stream-src-", dir="/tmp")
     ckpt = tempfile.mkdtemp(prefix="run-stream-ckpt-", dir="/tmp")
-    shutil.copy(fixture("dataset.txt"), os.path.join(src, "part-0.txt"))
+    shutil.copy(fixture("words_30.txt"), os.path.join(src, "part-0.txt"))
     with open(os.path.join(src, "part-1.txt"), "w") as f:
         f.write("treno  extra\n\n")
 

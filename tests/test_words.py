@@ -10,7 +10,7 @@ from corvid.sources import read_lines, row_count
 
 @pytest.fixture(scope="module")
 def lines(spark):
-    return read_lines(spark, fixture("dataset.txt")).cache()
+    return read_lines(spark, fixture("words_30.txt")).cache()
 
 
 def counts(df):
@@ -112,8 +112,8 @@ def test_term_counts(spark, toks):
 
 
 def test_partitioned_reader_gives_same_counts(spark):
-    a = counts(words.word_count(read_lines(spark, fixture("dataset.txt"))))
-    df = read_lines(spark, fixture("dataset.txt"), partitions=4)
+    a = counts(words.word_count(read_lines(spark, fixture("words_30.txt"))))
+    df = read_lines(spark, fixture("words_30.txt"), partitions=4)
     assert df.rdd.getNumPartitions() == 4
     assert counts(words.word_count(df)) == a
 
