@@ -12,6 +12,9 @@ how many shuffles they take:
 * ``word_count_salted`` / ``word_count_rand_group``: a first aggregation on
   ``(salt, word)`` with the salt in ``[0, K)`` spreads a word over K reducers,
   then a second, tiny aggregation on ``word``.
+
+``doc_term_counts`` needs no exchange at all: a document is one row, so its
+counts are built inside the row.
 """
 
 from __future__ import annotations
