@@ -32,7 +32,7 @@ NOTES = {
     "coreset_lineitem": "one exchange on part, then FlatMapGroupsInArrow (numpy traversal per part).",
     "coreset_lineitem_by_split": "MapInArrow over the input splits: no exchange for the coreset itself.",
     "kcenter_outliers_lineitem": "coreset, then the bounded solver group (single key).",
-    "objective_lineitem": "centers in a scalar subquery; points only projected, top-(z+1), min.",
+    "objective_lineitem": "solution gathered once as constants; compiled distance expressions; top-(z+1), min.",
     "kcenter_outliers_embeddings": "report row: coreset and solution read back from checkpoints.",
 }
 
