@@ -7,6 +7,21 @@ import io
 
 from pyspark.sql import DataFrame
 
+EXCHANGE_KINDS = (
+    "Exchange hashpartitioning",
+    "Exchange rangepartitioning",
+    "Exchange SinglePartition",
+    "Exchange RoundRobinPartitioning",
+)
+PYTHON_OPERATORS = (
+    "BatchEvalPython",
+    "ArrowEvalPython",
+    "FlatMapGroupsInArrow",
+    "FlatMapGroupsInPandas",
+    "MapInArrow",
+    "MapInPandas",
+)
+
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """What ``df.explain(mode)`` prints, as a string."""
@@ -18,9 +33,8 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 
 def count_exchanges(df: DataFrame) -> int:
     """Number of shuffle exchanges in the (initial) physical plan."""
-    return sum(1 for line in plan_text(df, "simple").splitlines() if "Exchange hashpartitioning" in line
-               or "Exchange rangepartitioning" in line or "Exchange SinglePartition" in line
-               or "Exchange RoundRobinPartitioning" in line)
+    lines = plan_text(df, "simple").splitlines()
+    return sum(1 for line in lines if any(kind in line for kind in EXCHANGE_KINDS))
 
 
 def has_partial_aggregate(df: DataFrame) -> bool:
@@ -30,6 +44,6 @@ def has_partial_aggregate(df: DataFrame) -> bool:
 
 
 def uses_python_udf(df: DataFrame) -> bool:
+    """True if any operator of the plan runs Python."""
     text = plan_text(df, "simple")
-    return any(tok in text for tok in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInArrow",
-                                       "FlatMapGroupsInPandas", "MapInArrow", "MapInPandas"))
+    return any(op in text for op in PYTHON_OPERATORS)
