@@ -60,3 +60,18 @@ def test_text_lines_matches_model(spark, texts):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "i int, text string")
     got = {r.i: r.l for r in df.select("i", text_lines(F.col("text")).alias("l")).collect()}
     assert [got[i] for i in range(len(texts))] == [lines_model(s) for s in texts]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["", "a", "b", "ab", "B"]), max_size=12), min_size=1, max_size=30))
+def test_term_counts_match_counter(spark, docs):
+    from collections import Counter
+
+    from corvid.functions import term_counts
+
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "k int, t array<string>")
+    got = {}
+    for r in term_counts(df, "t", ["k"]).collect():
+        got.setdefault(r.k, {})[r.word] = r.cnt
+    want = {i: dict(Counter(d)) for i, d in enumerate(docs) if d}
+    assert got == want
