@@ -74,7 +74,8 @@ def run_once(make) -> float:
 
 def main() -> None:
     scratch = tempfile.mkdtemp(prefix="run-bench-", dir="/tmp")
-    spark = local_session(cpus=CPUS, shuffle_partitions=int(CPUS) * 2, checkpoint_dir=f"{scratch}/ckpt")
+    cores = int(CPUS) if CPUS.isdigit() else (os.cpu_count() or 8)
+    spark = local_session(cpus=CPUS, shuffle_partitions=cores * 2, checkpoint_dir=f"{scratch}/ckpt")
     results = {}
     for name, make in plans(spark).items():
         run_once(make)  # warm-up
