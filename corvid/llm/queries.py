@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import url_filter
+from corvid.llm import exact_dedup, url_filter
 from corvid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,22 @@ LISTED_SITES = ["ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills"
 LISTED_DOMAINS = [f"{site}.example.{top}" for site in LISTED_SITES for top in ("com", "net", "org")]
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents")).drop("row_id")
+
+
+OP2_SQL = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+  FROM documents
+), g AS (
+  SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, sha256(norm) AS text_sha256
+  FROM d WINDOW w AS (PARTITION BY norm)
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame([(d,) for d in LISTED_DOMAINS], "key string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -56,8 +72,8 @@ FROM j
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_url_filter": op5_url_filter}
+    return {"op2_exact_dedup": op2_exact_dedup, "op5_url_filter": op5_url_filter}
 
 
 def oracles() -> dict[str, str]:
-    return {"op5_url_filter": OP5_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op5_url_filter": OP5_SQL}
