@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import exact_dedup, url_filter
+from corvid.llm import chat_format, exact_dedup, url_filter
 from corvid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,9 +71,40 @@ FROM j
 """
 
 
+# Fixed value: a conversation whose texts hold control strings of templates.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+        "conv_id long, turn long, role string, text string",
+    )
+    events = chat_format.as_events(rows.unionByName(extra))
+    return chat_format.read_back(chat_format.format_log(events))
+
+
+# formatted_chars: per turn "### ", role, ":" and line end, text, "</turn>" and
+# line end, and one character for each that is escaped.
+OP10_SQL = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       cast(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '')) AS loss_sha256,
+       cast(sum(14 + length(role) + length(text) + length(regexp_replace(role, '[^\\\\#<:\\n]', '', 'g'))
+                + length(regexp_replace(text, '[^\\\\#<]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_exact_dedup": op2_exact_dedup, "op5_url_filter": op5_url_filter}
+    return {"op2_exact_dedup": op2_exact_dedup, "op5_url_filter": op5_url_filter, "op10_chat_format": op10_chat_format}
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op5_url_filter": OP5_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op5_url_filter": OP5_SQL, "op10_chat_format": OP10_SQL}
