@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import chat_format, exact_dedup, url_filter
+from corvid.llm import chat_format, exact_dedup, packing, sentencepiece_viterbi, url_filter
 from corvid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,26 @@ LISTED_SITES = ["ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills"
 LISTED_DOMAINS = [f"{site}.example.{top}" for site in LISTED_SITES for top in ("com", "net", "org")]
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("piece_bpe_32k.model")
+    encoded = sentencepiece_viterbi.encode(table(spark, sf_dir, "documents"), path)
+    both = sentencepiece_viterbi.decode(encoded, path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents")).drop("row_id")
 
@@ -71,6 +91,11 @@ FROM j
 """
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return packing.pack(cut)
+
+
 # Fixed value: a conversation whose texts hold control strings of templates.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -103,7 +128,13 @@ FROM c GROUP BY conv_id
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_exact_dedup": op2_exact_dedup, "op5_url_filter": op5_url_filter, "op10_chat_format": op10_chat_format}
+    return {
+        "op1_sentencepiece": op1_sentencepiece,
+        "op2_exact_dedup": op2_exact_dedup,
+        "op5_url_filter": op5_url_filter,
+        "op7_packing": op7_packing,
+        "op10_chat_format": op10_chat_format,
+    }
 
 
 def oracles() -> dict[str, str]:
