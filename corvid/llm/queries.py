@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import chat_format, exact_dedup, packing, sentencepiece_viterbi, url_filter
+from corvid.llm import chat_format, exact_dedup, packing, quality, sentencepiece_viterbi, url_filter
 from corvid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,11 @@ FROM j
 """
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return packing.pack(cut)
@@ -132,6 +137,7 @@ def queries() -> dict[str, Query]:
         "op1_sentencepiece": op1_sentencepiece,
         "op2_exact_dedup": op2_exact_dedup,
         "op5_url_filter": op5_url_filter,
+        "op6_quality": op6_quality,
         "op7_packing": op7_packing,
         "op10_chat_format": op10_chat_format,
     }
