@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import chat_format, exact_dedup, packing, quality, sentencepiece_viterbi, url_filter
+from corvid.llm import chat_format, exact_dedup, near_dedup, packing, quality, sentencepiece_viterbi, url_filter
 from corvid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut)
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), percent=85)
+
+
 # Fixed value: a conversation whose texts hold control strings of templates.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -139,6 +143,7 @@ def queries() -> dict[str, Query]:
         "op5_url_filter": op5_url_filter,
         "op6_quality": op6_quality,
         "op7_packing": op7_packing,
+        "op9_near_dedup": op9_near_dedup,
         "op10_chat_format": op10_chat_format,
     }
 
