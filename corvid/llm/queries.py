@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import chat_format, exact_dedup, near_dedup, packing, quality, sentencepiece_viterbi, url_filter
+from corvid.llm import (
+    chat_format,
+    exact_dedup,
+    lpf_dedup,
+    near_dedup,
+    packing,
+    quality,
+    sentencepiece_viterbi,
+    suffix_tree,
+    url_filter,
+)
 from corvid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +70,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.cut_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame([(d,) for d in LISTED_DOMAINS], "key string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -101,6 +115,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut)
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lpf_dedup.cut_copies(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), percent=85)
 
@@ -140,9 +159,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_exact_dedup": op2_exact_dedup,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_url_filter": op5_url_filter,
         "op6_quality": op6_quality,
         "op7_packing": op7_packing,
+        "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_chat_format": op10_chat_format,
     }
