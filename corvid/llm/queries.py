@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corvid.llm import (
     chat_format,
     exact_dedup,
+    fingerprints,
     lpf_dedup,
     near_dedup,
     packing,
@@ -70,6 +71,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.cut_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -159,6 +164,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_fingerprints": op3_fingerprints,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_url_filter": op5_url_filter,
         "op6_quality": op6_quality,
