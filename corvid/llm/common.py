@@ -41,7 +41,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``staged`` that no later step reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def parts_for(total: float, per_part: float) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import staged
+from corvid.llm.common import discard, staged
 
 
 def _linked_to_least(pairs: DataFrame) -> DataFrame:
@@ -45,7 +45,8 @@ def components(edges: DataFrame) -> DataFrame:
             .filter("node <> other")
             .distinct()
         )
-        live = staged(small, "edges")
+        live, old = staged(small, "edges"), live
+        discard(old)
         now = live.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node", "other")).alias("x")).first()
         if now == before:
             break

@@ -8,8 +8,8 @@
    threshold share one node or more in expectation. A node with more than
    ``NODE`` documents branches again, ``DEPTH`` levels at most.
 3. Small nodes compare their documents' tokens exhaustively and link those
-   whose estimated similarity is over ``ESTIMATE`` (more than five standard
-   deviations below the threshold) as stars; nodes still large after the last
+   whose estimated similarity is at most ``BELOW`` under the threshold (more
+   than five standard deviations) as stars; nodes still large after the last
    level link all they hold. Components of these candidate links are clusters.
 4. Links are confirmed on full sets. Every member meets its cluster's first
    document in a join (large clusters are dealt over many tasks); clusters with
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import staged
+from corvid.llm.common import discard, staged
 from corvid.llm.components import components
 from corvid.llm.shingles import Words, mix, run_hashes, text_slices
 
@@ -45,7 +45,7 @@ HASHES = 128
 TREES = 20
 NODE = 200
 DEPTH = 3
-ESTIMATE = 0.66
+BELOW = 0.19  # candidates are estimated down to this far under the threshold
 BLOCK = 1 << 21  # set elements of a block
 _U = np.uint64
 
@@ -197,18 +197,23 @@ def _compare_nodes(leaves: DataFrame, tasks: int, estimate: float) -> DataFrame:
     return dealt.groupBy("task").applyInArrow(run, "a long, b long")
 
 
-def candidate_links(classes: DataFrame, threshold: float, node: int = NODE, depth: int = DEPTH) -> DataFrame:
-    """``classes``: ``id, tokens, keys`` -> candidate links ``a, b``."""
+def candidate_links(
+    classes: DataFrame, threshold: float, node: int = NODE, depth: int = DEPTH
+) -> tuple[DataFrame, list[DataFrame]]:
+    """``classes``: ``id, tokens, keys`` -> candidate links ``a, b``, and the
+    staged tables that they are read from."""
     tokens = classes.select("id", "tokens")
     rows = classes.select(F.explode("keys").alias("key"), "id")
-    links = None
+    links, used = None, []
     for level in range(depth):
         rows = staged(rows.distinct(), "paths")
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
         shared = staged(rows.join(sizes.filter("n > 1"), "key"), "nodes")
+        discard(rows)
+        used.append(shared)
         leaves = shared.filter(F.col("n") <= node).select("key", "id").join(tokens, "id")
         n = shared.filter(F.col("n") <= node).count()
-        found = _compare_nodes(leaves, max(1, n // 50_000 + 1), ESTIMATE)
+        found = _compare_nodes(leaves, max(1, n // 50_000 + 1), threshold - BELOW)
         large = shared.filter(F.col("n") > node)
         if level == depth - 1:
             found = found.unionByName(large.filter("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")))
@@ -216,7 +221,7 @@ def candidate_links(classes: DataFrame, threshold: float, node: int = NODE, dept
         if large.isEmpty():
             break
         rows = _branch(large.join(tokens, "id"), threshold)
-    return links
+    return links, used
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -313,9 +318,9 @@ def near_groups(
         ),
         "classes",
     )
-    clusters = components(candidate_links(classes, threshold, node, depth)).select(
-        F.col("node").alias("id"), F.col("component").alias("cluster")
-    )
+    candidates, used = candidate_links(classes, threshold, node, depth)
+    clusters = components(candidates).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    discard(*used)
     clusters = staged(
         clusters.unionByName(clusters.select(F.col("cluster").alias("id"), "cluster").distinct()), "clusters"
     )
@@ -323,6 +328,7 @@ def near_groups(
     # Rows that repeat an id and text would meet themselves; one is enough.
     sets = staged(_sets(texts.join(clusters, "id")), "sets")
     links = components(confirmed_links(sets, percent, block))
+    discard(sets, clusters)
     found = classes.select("digest", F.col("id").alias("node")).join(links, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component")
     )

@@ -142,7 +142,8 @@ def _runs(least: np.ndarray, owner: np.ndarray, wanted: np.ndarray) -> tuple[np.
 
 def _contexts(rows: DataFrame, m: Method) -> DataFrame:
     """``id, text, cand`` (repeated values: value, frequent) -> contexts. A
-    context without codes is already known to be repeated."""
+    context without codes is already known to be repeated. Further columns go
+    along unused, so that the exchange below is that of the last step."""
 
     def run(batches):
         for batch in batches:
@@ -197,7 +198,8 @@ def _contexts(rows: DataFrame, m: Method) -> DataFrame:
                     names=["key", "id", "start", "windows", "codes"],
                 )
 
-    return rows.select("id", "text", "cand").mapInArrow(run, CONTEXT)
+    rest = [c for c in rows.columns if c not in ("id", "text", "cand")]
+    return rows.select("id", "text", "cand", *rest).mapInArrow(run, CONTEXT)
 
 
 def _judged(contexts: DataFrame, m: Method, tasks: int, dtype) -> DataFrame:
@@ -235,11 +237,11 @@ def _judged(contexts: DataFrame, m: Method, tasks: int, dtype) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, m: Method, dtype, frequent: int = FREQUENT, tasks: int | None = None) -> DataFrame:
-    """``docs``: ``id, text`` (id not null) -> ``id, text, spans``: for every
-    document its runs of windows (``start, windows``) with an earlier equal."""
+    """``docs``: ``id, text`` (id not null) and further columns -> the same
+    and ``spans``: for every document its runs of windows (``start, windows``) with an earlier equal."""
     # The counts are partially aggregated; several anchors in one document
     # count as repeats only where the method looks inside documents.
-    seen = _occurrences(docs, m)
+    seen = _occurrences(docs.select("id", "text"), m)
     n = F.sum("n") if m.inside else F.count(F.lit(1))
     known = staged(seen.groupBy("value").agg(n.alias("n")).filter("n > 1"), "anchors")
     cand = seen.select("value", "id").join(known, "value").groupBy("id").agg(

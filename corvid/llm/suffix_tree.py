@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvid.llm import repeats
 from corvid.llm.shingles import Words, run_hashes, text_slices
@@ -76,11 +77,39 @@ def _kept(batch, width: int):
             yield hi - lo, int(gone.sum()), kept
 
 
-def _spans(docs: DataFrame, id_col: str, text_col: str, width: int, gram: int, frequent: int, tasks) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+def _with_spans(rows: DataFrame, width: int, gram: int, frequent: int, tasks: int | None) -> DataFrame:
+    """``id, text, rest`` with ``spans``; rows with a null id have none."""
     found = repeats.repeated_windows(rows.filter("id is not null"), _method(width, gram), np.uint32, frequent, tasks)
     none = rows.filter("id is null").withColumn("spans", F.lit(None).cast("array<struct<start:int,windows:int>>"))
-    return found.select("id", "text", "spans").unionByName(none)
+    return found.unionByName(none).select("id", "text", "spans", "rest")
+
+
+def _cut(docs: DataFrame, id_col: str, text_col: str, width: int, gram: int, frequent: int, tasks) -> DataFrame:
+    """-> ``id, n_words, n_removed, kept, kept_sha256, rest``: ``rest`` holds
+    the whole row but the text."""
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.col(text_col).alias("text"),
+        F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("rest"),
+    )
+    names = ["id", "n_words", "n_removed", "kept", "kept_sha256", "rest"]
+
+    def run(batches):
+        for batch in batches:
+            n, gone, kept, sha = [], [], [], []
+            for (a, b, c), text in zip(_kept(batch, width), batch.column(1), strict=True):
+                n.append(a), gone.append(b), sha.append(hashlib.sha256(c).hexdigest())
+                kept.append(c.decode("utf-8", "replace") if b else text.as_py())
+            columns = [
+                batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()),
+                pa.array(sha, pa.string()), batch.column(3),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    rest = next(f for f in rows.schema if f.name == "rest").dataType
+    fields = "id long, n_words long, n_removed long, kept string, kept_sha256 string"
+    schema = T.StructType.fromDDL(fields).add("rest", rest)
+    return _with_spans(rows, width, gram, frequent, tasks).mapInArrow(run, schema)
 
 
 def cut_repeats(
@@ -88,19 +117,18 @@ def cut_repeats(
     frequent: int = repeats.FREQUENT, tasks: int | None = None,
 ) -> DataFrame:
     """-> ``<id_col>, n_words, n_removed, kept`` (the words that stay, joined
-    by one space)``, kept_sha256``."""
-
-    def run(batches):
-        for batch in batches:
-            n, gone, kept, sha = [], [], [], []
-            for a, b, c in _kept(batch, width):
-                n.append(a), gone.append(b), kept.append(c.decode("utf-8", "replace"))
-                sha.append(hashlib.sha256(c).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()),
-                 pa.array(sha, pa.string())],
-                names=[id_col, "n_words", "n_removed", "kept", "kept_sha256"],
-            )
-
-    spans = _spans(docs, id_col, text_col, width, gram, frequent, tasks)
-    return spans.mapInArrow(run, f"`{id_col}` long, n_words long, n_removed long, kept string, kept_sha256 string")
+    by one space; the text itself where all do)``, kept_sha256`` (of the words
+    joined)."""
+    cut = _cut(docs.select(id_col, text_col), id_col, text_col, width, gram, frequent, tasks)
+    return cut.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept", "kept_sha256")
+
+
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the repeated words taken out of the texts, all rows and
+    columns kept; ``n_chars``, where it is a column, counts the new text."""
+    cut = _cut(docs, id_col, text_col, WIDTH, GRAM, repeats.FREQUENT, None)
+    kept = lambda c: F.col("kept") if c == text_col else F.col(f"rest.`{c}`")
+    count = F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("rest.n_chars")) if "n_chars" in docs.columns else None
+    return cut.select(
+        *[(count.cast(docs.schema[c].dataType) if c == "n_chars" else kept(c)).alias(c) for c in docs.columns]
+    )
