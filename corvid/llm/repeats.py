@@ -151,7 +151,7 @@ def _contexts(rows: DataFrame, m: Method) -> DataFrame:
             batch = batch.take(pa.array(order))
             ids = batch.column(0).to_numpy()
             cand = batch.column(2).to_pylist()
-            seen: dict[tuple, int] = {}
+            seen: dict[tuple, tuple[int, int]] = {}
             out: list[tuple] = []
             for a, b, items in m.items(batch.column(1).to_pylist()):
                 least, owner = least_grams(items, m.width, m.gram)
@@ -184,12 +184,10 @@ def _contexts(rows: DataFrame, m: Method) -> DataFrame:
                 for s, n, k, t, f in zip(at.tolist(), size.tolist(), keys.view(np.int64).tolist(), text.tolist(), begin.tolist(), strict=True):
                     codes = items.codes[s : s + n + m.width - 1].tobytes()
                     doc = int(ids[t + a])
-                    first = seen.setdefault((k, codes), doc)
-                    # Texts come by id and position: what was seen is earlier.
-                    known = first != doc
-                    if m.inside and not known:
-                        known = (k, codes, doc) in seen
-                        seen[(k, codes, doc)] = doc
+                    # Texts come by id and position, so what was seen is earlier,
+                    # but for rows that repeat an id.
+                    first = seen.setdefault((k, codes), (doc, s - f))
+                    known = first[0] != doc or (m.inside and first[1] < s - f)
                     out.append((k, doc, s - f, n, None if known else codes))
             if out:
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())

@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -182,7 +183,7 @@ def decode(encoded: DataFrame, model_path: str, out_col: str = "decoded") -> Dat
         m = model(model_path)
         for whole in batches:
             k = whole.schema.get_field_index("ids")
-            sizes = np.array([len(x) if x is not None else 0 for x in whole.column(k)]) * 4
+            sizes = pc.fill_null(pc.list_value_length(whole.column(k)), 0).to_numpy(zero_copy_only=False) * 4
             for batch in _slices(whole, sizes):
                 texts = [m.decode(x or ()) for x in batch.column(k).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
