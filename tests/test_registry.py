@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as se
 from conftest import SF_SMALL
+from corvid import catalog
 from corvid.plans.compare import compare_frames, duckdb_connection
 
-QUERIES = se.queries()
-ORACLES = se.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def con():
 def test_every_query_has_an_oracle_and_back():
     assert set(ORACLES) == set(QUERIES)
     assert len(QUERIES) == 37
+    assert QUERIES.keys() <= se.queries().keys()
+    assert ORACLES.keys() <= se.oracle_sql().keys()
 
 
 def test_entry_runs(spark):
