@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 
 from corvid.llm.common import staged
 
-LABELLED = 20_000
-POOL = 10_000
+LABELLED = 15_000
+POOL = 6_000
 FEATURES = 2048
 LEAST_DOCS = 4
 LEAST_G2 = 20.0  # log-likelihood ratio of a chosen word
@@ -119,12 +119,12 @@ class View:
 
 
 def fit(
-    rows: list[list[int]], y: np.ndarray, start: np.ndarray, steps: int = 250, l2: float = 1e-4
+    rows: list[np.ndarray], y: np.ndarray, start: np.ndarray, steps: int = 250, l2: float = 1e-4
 ) -> np.ndarray:
     """Logistic regression by Adam over all rows at once, from ``start``."""
     size = len(start)
-    at = np.concatenate([np.asarray(r, np.int64) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    at = np.concatenate(rows)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     w, m, v = start, np.zeros(size), np.zeros(size)
     for t in range(1, steps + 1):
         z = np.bincount(owner, weights=w[at], minlength=len(rows))
@@ -260,10 +260,12 @@ def train(
     ]
     meta = View({x: i for i, x in enumerate(kinds)}, [_edges(c) for c in lay.T])
     back = list(chosen)
-    t_rows = [text.row([back[i] for i in ids], list(r)) for ids, r in zip(got["ids"], rep, strict=True)]
+    t_rows = [np.array(text.row([back[i] for i in ids], r), np.int32) for ids, r in zip(got["ids"], rep, strict=True)]
     m_rows = [
-        meta.row([f"lang={a}", f"source={b}"], list(r)) for a, b, r in zip(got["lang"], got["source"], lay, strict=True)
+        np.array(meta.row([f"lang={a}", f"source={b}"], r), np.int32)
+        for a, b, r in zip(got["lang"], got["source"], lay, strict=True)
     ]
+    got = got[["y"]]
     y = got["y"].to_numpy(float)  # nan: pool
     known = np.flatnonzero(~np.isnan(y))
     held = known[np.arange(len(known)) % HELD_OUT == 0]
