@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import math
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +68,13 @@ def text_total(docs: DataFrame, text: str = "text") -> tuple[int, int]:
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("b")
     ).first()
     return row["n"], row["b"]
+
+
+def once_a_process(key: Any, make: Callable[[], Any]) -> Any:
+    """``make()``, kept as long as the Python worker lives. Tasks get this
+    package's functions by value, each with globals of its own, so what tasks
+    share (a loaded vocabulary, say) is kept in a module made for it."""
+    kept = sys.modules.setdefault("_corvid_kept", types.ModuleType("_corvid_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import parts_for, staged
+from corvid.llm.common import once_a_process, parts_for, staged
 
 END_ID = 2
 CAPACITY = 1024
@@ -93,9 +92,8 @@ class WordTokenizer:
         return [first, *[" " + w for w in rest]]
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    return once_a_process(("words", path), lambda: WordTokenizer(path))
 
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:

@@ -25,7 +25,6 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvid.llm.common import once_a_process
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 400_000
@@ -141,9 +142,8 @@ class PieceModel:
         return out[1:] if self.dummy_prefix and out.startswith(" ") else out
 
 
-@lru_cache(maxsize=2)
 def model(path: str) -> PieceModel:
-    return PieceModel(path)
+    return once_a_process(("pieces", path), lambda: PieceModel(path))
 
 
 def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:

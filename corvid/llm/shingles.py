@@ -6,10 +6,10 @@ same as a run of such characters.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
+from corvid.llm.common import once_a_process
+
 _U = np.uint64
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -26,13 +26,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-@lru_cache(maxsize=1)
 def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=_U) * _BASE)
 
 
-@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, for texts of up to ``n`` bytes."""
+    return once_a_process(("powers", n), lambda: _make_powers(n))
+
+
+def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = _U(pow(int(_BASE), -1, 1 << 64))
     one = np.ones(1, _U)
     up = np.concatenate([one, np.cumprod(np.full(n, _BASE, _U))])
