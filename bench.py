@@ -35,14 +35,9 @@ EMB_K, EMB_Z, EMB_L = 8, 10, 4
 
 def plans(spark):
     lines = lambda: document_lines(spark, SF_DIR)
-    every = lambda: sales.sales_filtered(transactions(spark, SF_DIR, with_country=False), "all")
+    every = lambda: sales.sales_filtered(transactions(spark, SF_DIR), "all")
     li = lambda: lineitem_points(spark, SF_DIR)
 
-    def li_objective():
-        sol = kcenter.kcenter_outliers(li(), LI_K, LI_Z, LI_L, 2)
-        centers = kcenter.solution_centers(sol).selectExpr("center_no AS id", "v")
-        return geometry.objective(geometry.nearest_distance(li(), centers, LI_K, eager=True), LI_Z)
-
     return {
         "word_count": lambda: words.word_count(lines()),
         "word_count_salted": lambda: words.word_count_salted(lines(), K),
@@ -55,11 +50,10 @@ def plans(spark):
         "popularity_grouped": lambda: sales.popularity_grouped(every()),
         "popularity_reduced": lambda: sales.popularity_reduced(every()),
         "coreset_lineitem": lambda: kcenter.coreset(li(), LI_K + LI_Z + 1, LI_L),
-        "coreset_lineitem_by_split": lambda: kcenter.coreset(li(), LI_K + LI_Z + 1, None),
         "kcenter_outliers_lineitem": lambda: kcenter.solution_centers(
             kcenter.kcenter_outliers(li(), LI_K, LI_Z, LI_L, 2)
         ),
-        "objective_lineitem": li_objective,
+        "objective_lineitem": lambda: kcenter.kcenter_report(li(), LI_K, LI_Z, LI_L, 2),
         "kcenter_outliers_embeddings": lambda: kcenter.kcenter_report(
             embedding_points(spark, SF_DIR), EMB_K, EMB_Z, EMB_L, 2
         ),

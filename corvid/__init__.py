@@ -25,4 +25,4 @@ try:
 except (ImportError, AttributeError, ValueError):  # pragma: no cover
     pass
 
-__all__ = ["functions", "operators", "plans", "sources", "streaming"]
+__all__ = ["functions", "operators", "plans", "sources"]

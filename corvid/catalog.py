@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import geometry, kcenter, sales, words
 from corvid.plans import oracle_sql
-from corvid.sources import document_lines, embedding_points, row_count, transactions
+from corvid.sources import document_lines, embedding_points, lineitem_points, row_count, transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +23,7 @@ SALT_K = 16
 RAND_SEED = 42
 TOP_H = 10
 COUNTRY = "NATION_7"
-MIN_QUANTITY = 0.0
+MIN_QUANTITY = 10.0
 # Geometry: centers are the farthest-first centers of the embeddings
 # (FFT_M per part, FFT_L parts); balls use BALL_RADIUS; the objective drops
 # OUTLIERS_Z points; K2 looks at the first KZ_K + KZ_Z + 1 points.
@@ -37,6 +37,12 @@ KZ_Z = 10
 KZ_L = 4
 KZ_ALPHA = 2
 GREEDY_RADIUS = 0.1
+# k-center job on lineitem: several guesses and centers. Parts of about
+# LI_PART_ROWS points, so their number follows the table.
+LI_K = 10
+LI_Z = 50
+LI_ALPHA = 0
+LI_PART_ROWS = 4000
 
 
 def _words() -> dict[str, Query]:
@@ -61,7 +67,7 @@ def _words() -> dict[str, Query]:
 
 def _sales() -> dict[str, Query]:
     def every(spark, d):
-        return sales.sales_filtered(transactions(spark, d, with_country=False), "all", MIN_QUANTITY)
+        return sales.sales_filtered(transactions(spark, d), "all", MIN_QUANTITY)
 
     return {
         "transactions": lambda s, d: transactions(s, d),
@@ -126,7 +132,10 @@ def _kcenter() -> dict[str, Query]:
         return embedding_points(spark, d)
 
     def core(spark, d):
-        return kcenter.bounded_coreset(pts(spark, d), KZ_K + KZ_Z + 1, KZ_L)
+        return kcenter.coreset(pts(spark, d), KZ_K + KZ_Z + 1, KZ_L)
+
+    def lineitem(op):
+        return lambda s, d: op(lineitem_points(s, d), LI_K, LI_Z, None, LI_ALPHA, 1, LI_PART_ROWS)
 
     return {
         "greedy_cover": lambda s, d: kcenter.solution_rows(
@@ -141,6 +150,12 @@ def _kcenter() -> dict[str, Query]:
         "kcenter_outliers": lambda s, d: kcenter.solution_centers(
             kcenter.kcenter_outliers(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA)
         ).select("center_no", "point_id"),
+        "coreset_lineitem": lambda s, d: kcenter.coreset(
+            lineitem_points(s, d), LI_K + LI_Z + 1, None, 1, LI_PART_ROWS
+        ).select("part", "c", "ord", "point_id", "v", "w"),
+        "guess_trace_lineitem": lambda s, d: kcenter.guess_trace(lineitem(kcenter.kcenter_outliers)(s, d)),
+        "kcenter_outliers_lineitem": lambda s, d: kcenter.solution_centers(lineitem(kcenter.kcenter_outliers)(s, d)),
+        "kcenter_report_lineitem": lineitem(kcenter.kcenter_report),
         "kcenter_report": lambda s, d: kcenter.kcenter_report(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA),
     }
 
@@ -160,4 +175,5 @@ def oracles() -> dict[str, str]:
     out.update(oracle_sql.sales_sql(COUNTRY, TOP_H, MIN_QUANTITY))
     out.update(oracle_sql.geometry_sql(FFT_M, FFT_L, KZ_K + KZ_Z + 1, BALL_RADIUS, OUTLIERS_Z))
     out.update(oracle_sql.kcenter_sql(KZ_K, KZ_Z, KZ_L, KZ_ALPHA, GREEDY_RADIUS))
+    out.update(oracle_sql.lineitem_sql(LI_K, LI_Z, LI_ALPHA, LI_PART_ROWS))
     return out

@@ -1,23 +1,23 @@
-"""k-center with z outliers: per-partition coresets, then a bounded solve.
-
-Round 1 (``coreset``): points are spread over ``L`` parts by
-``pmod(point_id, L)`` (the same parts on every run and cluster) and each part
-runs a farthest-first traversal to ``m = k+z+1`` centers, weighting each
-center by the points nearest to it. ``groupBy('part').applyInArrow`` gives
-each part to one task as an Arrow table; the kernel is vectorised numpy, one
-distance pass per center. The output has at most ``L*m`` rows whatever the
-input size. With ``L=None`` the input splits themselves are the parts
-(``mapInArrow``): no shuffle of the points at all.
-
-Round 2 (``weighted_kcenter``): the weighted coreset is solved by the
-doubling search of greedy balls. It needs all candidates together, so it
-runs as one group, and that group is kept under ``max_rows``: when
-``L*m`` exceeds it, ``bounded_coreset`` runs round 1 again on the coreset
-(weights add up), level by level, cutting lineage between levels, until the
-bound holds. With ``L*m <= max_rows`` there is a single level.
-
-Partition sizing: one part must fit in a task's memory, so choose ``L``
-with ``n / L`` around 1e5..1e6 points; ``suggest_parts`` computes that.
+"""k-center with z outliers: per-part coresets, then a solve over the coreset.
+
+Round 1 (``coreset``): points are dealt to ``L`` parts by ``pmod(point_id,
+L)`` (the same parts on every run and cluster, whatever the file splits and
+cores) and each part runs a farthest-first traversal to ``m = k+z+1`` centers,
+weighting each center by the points nearest to it. ``groupBy('part')
+.applyInArrow`` gives each part to one task as an Arrow table; the kernel is
+vectorised numpy, one distance pass per center. Without ``L`` the number of
+parts follows the number of points (``PART_ROWS`` each); with ``L`` a table
+whose parts would exceed ``MAX_PART_ROWS`` on average fails before any part is
+loaded. The output has ``L*m`` rows.
+
+Round 2 (``weighted_kcenter``): the doubling search over the weighted coreset.
+Guesses do not depend on each other, so they are tried in ``LANES`` groups,
+each on every ``LANES``-th guess, and the first feasible guess is the answer of
+the sequential search. A group holds the coreset (its size is the caller's
+choice of L, k and z) and distances block by block.
+
+``levels`` above 1 repeat round 1 on the coreset, which changes the answer and
+is therefore the caller's choice; ``kcenter_report`` tells it.
 """
 
 from __future__ import annotations
@@ -31,22 +31,34 @@ from pyspark.sql import functions as F
 
 from corvid.operators import geometry
 from corvid.operators import kcenter_kernels as kk
-from corvid.session import cut_lineage, input_splits
 from corvid.sources.points import with_unit_weight
 
 CORESET_SCHEMA = "part int, c int, ord long, point_id long, v array<double>, w long"
 SOLUTION_SCHEMA = (
-    "guess_no int, r double, feasible boolean, left_over long, "
+    "guess_no int, r double, feasible boolean, left_over long, total long, "
     "center_ord array<long>, center_point_id array<long>, center_v array<array<double>>"
 )
-MAX_SOLVE_ROWS = 5000
+PART_ROWS = 500_000
+MAX_PART_ROWS = 4 * PART_ROWS
+LANES = 8
 
 
-def suggest_parts(n_points: int, m: int, target_part_rows: int = 500_000) -> int:
+def suggest_parts(n_points: int, m: int, target_part_rows: int = PART_ROWS) -> int:
     """Number of parts so that each holds about ``target_part_rows`` points."""
     return max(1, math.ceil(n_points / max(target_part_rows, 2 * m)))
 
 
+def parts_column(points: DataFrame, m: int, L: int | None, part_rows: int = PART_ROWS):
+    """The number of parts as a column: ``L``, or ``suggest_parts`` of the
+    points counted by a scalar subquery. A given ``L`` is checked against that
+    count. Nothing runs before the plan does."""
+    n = points.agg(F.count(F.lit(1)).alias("n")).scalar()
+    if L is None:
+        return F.greatest(F.ceil(n / F.lit(max(part_rows, 2 * m))), F.lit(1)).cast("int")
+    ok = F.assert_true(n <= F.lit(L * MAX_PART_ROWS), f"parts of over {MAX_PART_ROWS} points: raise L").isNull()
+    return F.when(ok, F.lit(L))
+
+
 def _list_array(M: np.ndarray) -> pa.Array:
     n, d = M.shape
     offsets = pa.array(np.arange(0, n * d + 1, d, dtype=np.int32))
@@ -78,78 +90,59 @@ def _fft_part(m: int):
     return run
 
 
-def _fft_split(m: int):
-    run_part = _fft_part(m)
-
-    def run(batches):
-        tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
-        if not tables:
-            return
-        yield from run_part(pa.concat_tables(tables)).to_batches()
-
-    return run
-
-
-def _coreset_level(rows: DataFrame, m: int, L: int) -> DataFrame:
+def _coreset_level(rows: DataFrame, m: int, parts) -> DataFrame:
     """One round-1 level over ``key, point_id, v, w`` rows."""
-    parted = rows.select(F.pmod(F.col("key"), F.lit(L)).cast("int").alias("part"), "key", "point_id", "v", "w")
+    parted = rows.select(F.pmod(F.col("key"), parts).cast("int").alias("part"), "key", "point_id", "v", "w")
     return parted.groupBy("part").applyInArrow(_fft_part(m), CORESET_SCHEMA)
 
 
-def _check(m: int, L: int) -> None:
+def _check(m: int, L: int | None) -> None:
     if m < 1:
         raise ValueError("m must be >= 1")
-    if L < 1:
+    if L is not None and L < 1:
         raise ValueError("L must be >= 1")
 
 
-def coreset(points: DataFrame, m: int, L: int | None) -> DataFrame:
+def coreset(
+    points: DataFrame, m: int, L: int | None = None, levels: int = 1, part_rows: int = PART_ROWS
+) -> DataFrame:
     """Per part, ``m`` farthest-first centers with their weights.
 
     -> ``part, c, ord, point_id, v, w``; ``ord = part*m + c`` is the coreset
-    order (part by part, centers in the order chosen).
-
-    ``L`` parts by ``pmod(point_id, L)`` cost one shuffle of the points and
-    give the same parts on any cluster. ``L=None`` uses the input splits as
-    the parts instead (``mapInArrow``, one coreset per split): no shuffle at
-    all, and the same parts for the same files and split settings.
+    order (part by part, centers in the order chosen). The points are shuffled
+    once. Each further level packs ``part_rows`` coreset rows to a part.
     """
-    pts = with_unit_weight(points).select(F.col("point_id").alias("key"), "point_id", "v", "w")
-    if L is None:
-        _check(m, 1)
-        by_split = pts.select(F.spark_partition_id().alias("part"), "key", "point_id", "v", "w")
-        return by_split.mapInArrow(_fft_split(m), CORESET_SCHEMA)
     _check(m, L)
-    return _coreset_level(pts, m, L)
+    if levels < 1:
+        raise ValueError("levels must be >= 1")
+    pts = with_unit_weight(points).select(F.col("point_id").alias("key"), "point_id", "v", "w")
+    parts = parts_column(points, m, L, part_rows)
+    out = _coreset_level(pts, m, parts)
+    for _ in range(levels - 1):
+        parts = F.ceil(parts * F.lit(m) / F.lit(max(part_rows, 2 * m))).cast("int")
+        out = _coreset_level(out.select(F.col("ord").alias("key"), "point_id", "v", "w"), m, parts)
+    return out
 
 
-def fft_centers(points: DataFrame, m: int, L: int | None) -> DataFrame:
+def fft_centers(points: DataFrame, m: int, L: int | None = None) -> DataFrame:
     """The traversal alone -> ``part, c, point_id, v``."""
     return coreset(points, m, L).select("part", "c", "point_id", "v")
 
 
-def center_weights(
-    points: DataFrame, centers: DataFrame, L: int, m: int | None = None,
-    max_centers: int = geometry.MAX_CENTERS,
-) -> DataFrame:
+def center_weights(points: DataFrame, centers: DataFrame, L: int, m: int | None = None) -> DataFrame:
     """Weights of given per-part centers, relationally.
 
     ``centers``: ``part, c, point_id, v``. Each part's centers are gathered
-    into one array, joined to that part's points on ``part``, and each point
-    picks its nearest center (least distance, then least ``c``). Counts are
-    partially aggregated per task, so a center holding a third of all points
-    adds one row per task to the exchange. Centers that win no point
-    (repeated ones) keep weight 0.
-
-    With ``m`` (centers per part) the per-part table is asserted to hold at
-    most ``L`` rows of at most ``m`` centers; when ``L*m <= max_centers``
-    that proven bound lets it be broadcast, so the points stream through the
-    join without a shuffle. Otherwise Spark chooses (a sort-merge join on
-    ``part`` at scale).
+    into one array, joined to that part's points on ``part`` (Spark chooses
+    how), and each point picks its nearest center (least distance, then least
+    ``c``). Counts are partially aggregated per task, so a center holding a
+    third of all points adds one row per task to the exchange. Centers that
+    win no point (repeated ones) keep weight 0. With ``m`` (centers per part)
+    the per-part table is asserted to hold parts under ``L`` of at most ``m``.
     """
     _check(1, L)
     per_part = centers.groupBy("part").agg(
-        F.collect_list(F.struct(F.col("c").cast("long").alias("id"), F.col("v"))).alias("cs")
+        F.collect_list(F.struct(F.col("c").cast("long").alias("id"), F.col("v"), "point_id")).alias("cs")
     )
     if m is not None:
         ok = (F.size("cs") <= F.lit(m)) & (F.col("part") >= 0) & (F.col("part") < F.lit(L))
@@ -157,133 +150,89 @@ def center_weights(
             "part",
             F.when(F.assert_true(ok, "centers exceed m per part or parts exceed L").isNull(), F.col("cs")).alias("cs"),
         )
-        if L * m <= max_centers:
-            per_part = F.broadcast(per_part)
     pts = with_unit_weight(points).select(
         F.pmod(F.col("point_id"), F.lit(L)).cast("int").alias("part"), "v", "w"
     )
-    owner = pts.join(per_part, "part").select(
-        "part", "w", geometry.nearest(F.col("v"), F.col("cs"))["id"].cast("int").alias("c")
+    # A row of weight 0 for every center: from the same gathered table, whose
+    # exchange Spark reuses, so the centers' plan runs once.
+    every = per_part.select("part", F.explode("cs").alias("x")).select(
+        "part", F.col("x.id").cast("int").alias("c"), F.col("x.point_id").alias("point_id"), F.lit(0).cast("long").alias("w")
     )
-    counts = owner.groupBy("part", "c").agg(F.sum("w").cast("long").alias("n"))
-    return centers.select("part", "c", "point_id").join(counts, ["part", "c"], "left").select(
-        "part", "c", "point_id", F.coalesce("n", F.lit(0).cast("long")).alias("w")
+    near = pts.join(per_part, "part").select("part", "w", geometry.nearest(F.col("v"), F.col("cs"))["id"].cast("int").alias("c"))
+    won = near.select("part", "c", F.lit(None).cast("long").alias("point_id"), "w")
+    return (
+        won.unionByName(every)
+        .groupBy("part", "c")
+        .agg(F.max("point_id").alias("point_id"), F.sum("w").cast("long").alias("w"))
     )
 
 
-def bounded_coreset(
-    points: DataFrame, m: int, L: int | None, max_rows: int = MAX_SOLVE_ROWS
-) -> DataFrame:
-    """Round 1, repeated on its own output until at most ``max_rows`` rows.
-
-    The row bound is known without counting (each part yields ``m`` rows;
-    with ``L=None`` there is one part per input split, a number the planner
-    knows), so the number of levels is fixed at planning time.
-    """
-    if max_rows < 2 * m:
-        raise ValueError(f"max_rows must be >= 2*(k+z+1) = {2 * m}")
-    level = coreset(points, m, L)
-    parts = L
-    if parts is None:
-        parts = input_splits(points)
-        if parts is None:
-            raise ValueError("L=None needs the number of input splits; pass L")
-    bound = parts * m
-    while bound > max_rows:
-        level = cut_lineage(level)
-        parts = max(1, math.ceil(bound / max_rows))
-        rows = level.select(F.col("ord").alias("key"), "point_id", "v", "w")
-        level = _coreset_level(rows, m, parts)
-        bound = parts * m
-    return level
-
-
-def _solve_group(k: int, z: int, alpha: float, max_rows: int, radius: float | None):
+def _lane_solver(k: int, z: int, alpha: float, lanes: int, radius: float | None):
     def run(tbl: pa.Table) -> pa.Table:
-        n = tbl.num_rows
-        if n > max_rows:
-            raise ValueError(f"weighted set of {n} rows exceeds max_rows={max_rows}")
         X = kk.matrix(tbl.column("v"))
         key = tbl.column("ord").to_numpy()
         idx = kk.order_rows(key, X)
-        X = X[idx]
-        ords = key[idx]
+        X, ords = X[idx], key[idx]
         ids = tbl.column("point_id").to_numpy()[idx]
         w = tbl.column("w").to_numpy()[idx].astype(np.int64)
         if radius is None:
-            trace = kk.doubling_search(X, w, k, z, alpha)
+            trace = kk.search_lane(X, w, k, z, alpha, tbl.column("lane")[0].as_py(), lanes)
         else:
-            chosen, left = kk.greedy_cover(kk.pairwise(X, X), w, k, radius, alpha)
-            trace = [(radius, chosen, left)]
-        rows = {k_: [] for k_ in ("guess_no", "r", "feasible", "left_over", "center_ord", "center_point_id", "center_v")}
-        for g, (r, chosen, left) in enumerate(trace):
-            sel = np.asarray(chosen, dtype=np.int64)
-            rows["guess_no"].append(g)
-            rows["r"].append(r)
-            rows["feasible"].append(bool(left <= z))
-            rows["left_over"].append(left)
-            rows["center_ord"].append(ords[sel].tolist())
-            rows["center_point_id"].append(ids[sel].tolist())
-            rows["center_v"].append(X[sel].tolist())
+            trace = [(0, radius, *kk.greedy_cover(kk.Distances(X), w, k, radius, alpha))]
+        rows = [
+            (g, r, left <= z, left, int(w.sum()), ords[c].tolist(), ids[c].tolist(), X[c].tolist())
+            for g, r, c, left in trace
+        ]
         schema = pa.schema(
             [
                 ("guess_no", pa.int32()),
                 ("r", pa.float64()),
                 ("feasible", pa.bool_()),
                 ("left_over", pa.int64()),
+                ("total", pa.int64()),
                 ("center_ord", pa.list_(pa.int64())),
                 ("center_point_id", pa.list_(pa.int64())),
                 ("center_v", pa.list_(pa.list_(pa.float64()))),
             ]
         )
-        return pa.table(rows, schema=schema)
+        columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return run
 
 
-def _one_group(weighted: DataFrame, max_rows: int):
-    """The weighted set as one group, never more than ``max_rows + 1`` rows.
-
-    The limit bounds what reaches the Python worker; the kernel then fails
-    on a group of ``max_rows + 1`` rows, so nothing is dropped silently.
-    """
-    if "ord" in weighted.columns:
-        ord_col = F.col("ord")
-    else:
-        ord_col = F.col("point_id")
-    w = weighted.select(ord_col.alias("ord"), "point_id", "v", *(["w"] if "w" in weighted.columns else []))
-    bounded = with_unit_weight(w).limit(max_rows + 1)
-    return bounded.select(F.lit(0).alias("g"), "ord", "point_id", "v", "w").groupBy("g")
+def _lanes(weighted: DataFrame, lanes: int):
+    """The weighted set once per lane of guesses."""
+    order = F.col("ord") if "ord" in weighted.columns else F.col("point_id")
+    rows = with_unit_weight(weighted).select(order.alias("ord"), "point_id", "v", "w")
+    lane = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))
+    return rows.select(lane.alias("lane"), "ord", "point_id", "v", "w").groupBy("lane")
 
 
-def weighted_kcenter(
-    weighted: DataFrame, k: int, z: int, alpha: float = 0, max_rows: int = MAX_SOLVE_ROWS
-) -> DataFrame:
-    """K8: doubling search on a bounded weighted set -> one row per guess.
+def weighted_kcenter(weighted: DataFrame, k: int, z: int, alpha: float = 0, lanes: int = LANES) -> DataFrame:
+    """K8: doubling search on a weighted set -> one row per guess.
 
     ``weighted``: ``point_id, v`` plus optional ``w`` (default 1) and
     ``ord`` (order, default ``point_id``). Output rows: ``guess_no, r,
-    feasible, left_over`` and the centers chosen at that guess; the last
-    row is the first feasible guess. Fails if the set has more than
-    ``max_rows`` rows (pass a coreset, not raw data).
+    feasible, left_over, total`` (all weight) and the centers chosen at that
+    guess; the last row is the first feasible guess. The set is copied to
+    every lane: pass a coreset, not raw data.
     """
-    if k < 1 or z < 0:
-        raise ValueError("need k >= 1 and z >= 0")
-    return _one_group(weighted, max_rows).applyInArrow(
-        _solve_group(k, z, alpha, max_rows, None), SOLUTION_SCHEMA
-    )
+    if k < 1 or z < 0 or lanes < 1:
+        raise ValueError("need k >= 1, z >= 0 and lanes >= 1")
+    tried = _lanes(weighted, lanes).applyInArrow(_lane_solver(k, z, alpha, lanes, None), SOLUTION_SCHEMA)
+    # A row per guess: what later lanes tried beyond the first feasible goes.
+    rows = tried.agg(F.array_sort(F.collect_list(F.struct(*tried.columns))).alias("g"))
+    first = F.array_min(F.transform(F.filter("g", lambda x: x["feasible"]), lambda x: x["guess_no"]))
+    kept = rows.select("g", first.alias("first")).select(F.filter("g", lambda x: x["guess_no"] <= F.col("first")).alias("g"))
+    return kept.select(F.inline("g"))
 
 
-def greedy_cover(
-    weighted: DataFrame, k: int, radius: float, alpha: float = 0, z: int = 0,
-    max_rows: int = MAX_SOLVE_ROWS,
-) -> DataFrame:
+def greedy_cover(weighted: DataFrame, k: int, radius: float, alpha: float = 0, z: int = 0) -> DataFrame:
     """K7: up to ``k`` greedy balls at one guess ``radius`` -> one row."""
     if k < 1:
         raise ValueError("need k >= 1")
-    return _one_group(weighted, max_rows).applyInArrow(
-        _solve_group(k, z, alpha, max_rows, radius), SOLUTION_SCHEMA
-    )
+    return _lanes(weighted, 1).applyInArrow(_lane_solver(k, z, alpha, 1, float(radius)), SOLUTION_SCHEMA)
 
 
 def guess_trace(solution: DataFrame) -> DataFrame:
@@ -319,52 +268,50 @@ def solution_rows(solution: DataFrame) -> DataFrame:
 
 
 def kcenter_outliers(
-    points: DataFrame, k: int, z: int, L: int | None, alpha: float = 2, max_rows: int = MAX_SOLVE_ROWS
+    points: DataFrame, k: int, z: int, L: int | None = None, alpha: float = 2, levels: int = 1,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """The two-round job -> the solution rows of ``weighted_kcenter``."""
     if k < 1 or z < 0:
         raise ValueError("need k >= 1 and z >= 0")
-    cs = bounded_coreset(points, k + z + 1, L, max_rows)
-    return weighted_kcenter(cs, k, z, alpha, max_rows)
+    return weighted_kcenter(coreset(points, k + z + 1, L, levels, part_rows), k, z, alpha)
 
 
 def kcenter_report(
-    points: DataFrame, k: int, z: int, L: int | None, alpha: float = 2, max_rows: int = MAX_SOLVE_ROWS
+    points: DataFrame, k: int, z: int, L: int | None = None, alpha: float = 2, levels: int = 1,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """One row ``n, k, z, L, initial_guess, final_guess, guesses,
+    """One row ``n, k, z, L, levels, initial_guess, final_guess, guesses,
     left_over, objective``.
 
     Two passes over the points: the coreset, and the objective against the
-    final centers. ``n`` is the coreset's weight sum (every point is counted
-    once there). The coreset and the solution are small and are
-    materialised once in the shared checkpoint folder when there is one, so
-    every later use reads the same rows.
+    final centers. The solution is one row of a scalar subquery that the
+    distances and the report share, so it is found once; ``n`` is its total
+    weight (every point is counted once there).
     """
-    if k < 1 or z < 0:
-        raise ValueError("need k >= 1 and z >= 0")
-    cs = cut_lineage(bounded_coreset(points, k + z + 1, L, max_rows))
-    solution = cut_lineage(weighted_kcenter(cs, k, z, alpha, max_rows))
-    centers = solution_centers(solution).select(F.col("center_no").alias("id"), "v")
-    # The solution is small and already materialised: gather its centers
-    # once as a literal, so the pass over all points neither copies the
-    # center array into every row nor re-runs the solve.
-    dists = geometry.nearest_distance(points, centers, max_centers=max(k, 1), eager=k <= geometry.MAX_LITERAL_CENTERS)
-    obj = geometry.objective(dists, z)
-    n = cs.agg(F.sum("w").cast("long").alias("n"))
-    trace = solution.agg(
+    solution = kcenter_outliers(points, k, z, L, alpha, levels, part_rows)
+    found = solution.agg(
         F.min_by("r", "guess_no").alias("initial_guess"),
         F.max_by("r", "guess_no").alias("final_guess"),
         F.count(F.lit(1)).alias("guesses"),
         F.max_by("left_over", "guess_no").alias("left_over"),
+        F.max("total").alias("n"),
+        F.max_by("center_v", "guess_no").alias("centers"),
+    )
+    one = found.select(F.struct("*").alias("s")).scalar()
+    v = F.col("v")
+    dists = points.select("point_id", "v", one["centers"].alias("cs")).select(
+        "point_id", F.array_min(F.transform("cs", lambda c: geometry.euclidean(v, c))).alias("d")
     )
-    return trace.select(
-        n.scalar().alias("n"),
+    return geometry.objective(dists, z).select(
+        one["n"].alias("n"),
         F.lit(k).alias("k"),
         F.lit(z).alias("z"),
-        F.lit(L).cast("int").alias("L"),
-        "initial_guess",
-        "final_guess",
-        "guesses",
-        "left_over",
-        obj.scalar().alias("objective"),
+        parts_column(points, k + z + 1, L, part_rows).alias("L"),
+        F.lit(levels).alias("levels"),
+        one["initial_guess"].alias("initial_guess"),
+        one["final_guess"].alias("final_guess"),
+        one["guesses"].alias("guesses"),
+        one["left_over"].alias("left_over"),
+        "objective",
     )

@@ -108,9 +108,30 @@ def farthest_first(X: np.ndarray, w: np.ndarray, m: int) -> tuple[np.ndarray, np
     return centers, weights
 
 
-def greedy_cover(
-    D: np.ndarray, w: np.ndarray, k: int, r: float, alpha: float
-) -> tuple[list[int], int]:
+FULL_ROWS = 4096  # up to here the distances are kept between steps and guesses
+BLOCK_CELLS = 1 << 22
+
+
+class Distances:
+    """Rows of the distance matrix of one bounded set, block by block; small
+    sets keep the whole matrix (the same numbers either way)."""
+
+    def __init__(self, X: np.ndarray):
+        self.X, self.n = X, X.shape[0]
+        self.step = max(1, BLOCK_CELLS // max(1, self.n))
+        self.full = pairwise(X, X) if self.n <= FULL_ROWS else None
+
+    def blocks(self):
+        """(first row, distances of some rows to all)."""
+        for lo in range(0, self.n, self.step):
+            hi = min(lo + self.step, self.n)
+            yield lo, pairwise(self.X[lo:hi], self.X) if self.full is None else self.full[lo:hi]
+
+    def row(self, i: int) -> np.ndarray:
+        return pairwise(self.X[i : i + 1], self.X)[0] if self.full is None else self.full[i]
+
+
+def greedy_cover(D: Distances, w: np.ndarray, k: int, r: float, alpha: float) -> tuple[list[int], int]:
     """Up to k greedy balls at guess r; returns chosen rows and leftover weight.
 
     Every row is a candidate; a candidate's ball counts uncovered weight
@@ -118,54 +139,62 @@ def greedy_cover(
     everything within (3+4*alpha)*r of it is covered.
     """
     # Weights are integers; float64 sums of them stay exact below 2**53.
-    pick = (D <= (1 + 2 * alpha) * r).astype(np.float64)
-    drop = D <= (3 + 4 * alpha) * r
-    uncovered = np.ones(len(w), dtype=bool)
+    near, far = (1 + 2 * alpha) * r, (3 + 4 * alpha) * r
+    rest = w.astype(np.float64)
     chosen: list[int] = []
-    while len(chosen) < k:
-        wz = np.where(uncovered, w, 0).astype(np.float64)
-        if wz.sum() <= 0:
-            break
-        bw = pick @ wz
-        best = int(np.argmax(bw))
-        if bw[best] <= 0:
+    while len(chosen) < k and rest.sum() > 0:
+        heavy = np.concatenate([(d <= near) @ rest for _, d in D.blocks()])
+        best = int(np.argmax(heavy))
+        if heavy[best] <= 0:
             break
         chosen.append(best)
-        uncovered &= ~drop[best]
-    left = int(np.where(uncovered, w, 0).sum())
-    return chosen, left
-
-
-def doubling_search(
-    X: np.ndarray, w: np.ndarray, k: int, z: int, alpha: float, max_guesses: int = 200
-) -> list[tuple[float, list[int], int]]:
-    """Guesses r0, 2*r0, 4*r0, ... until the leftover weight is <= z.
-
-    r0 is half the least distance among the first k+z+1 rows. A zero r0 is
-    tried once; the search then restarts from half the least positive
-    distance (among those rows, else among all rows), since doubling zero
-    would never end.
+        rest = np.where(D.row(best) <= far, 0.0, rest)
+    return chosen, int(rest.sum())
+
+
+def first_radii(D: Distances, m: int) -> tuple[float, float | None]:
+    """(half the least distance among the first ``m`` rows, half the least
+    positive distance among them, else among all rows; None if all are equal)."""
+    head = pairwise(D.X[:m], D.X[:m])[np.triu_indices(m, 1)]
+    if not head.size:
+        return 0.0, None
+    some = head[head > 0]
+    if not some.size:
+        least = [float(d[d > 0].min()) for _, d in D.blocks() if (d > 0).any()]
+        return 0.0, min(least) / 2 if least else None
+    return float(head.min()) / 2, float(some.min()) / 2
+
+
+def search_lane(
+    X: np.ndarray, w: np.ndarray, k: int, z: int, alpha: float, lane: int, lanes: int
+) -> list[tuple[int, float, list[int], int]]:
+    """Every ``lanes``-th guess from ``lane`` on, to the first whose leftover
+    weight is <= z: (guess number, radius, chosen rows, leftover).
+
+    Guesses are r0, 2*r0, 4*r0, ...; a zero r0 is guess 0 alone, and guess 1
+    is half the least positive distance. Radii end with the doubles: a ball of
+    infinite radius covers everything, so some guess is feasible.
     """
     m = k + z + 1
     if k < 1 or z < 0:
         raise ValueError("need k >= 1 and z >= 0")
     if X.shape[0] < m:
         raise ValueError(f"need at least k+z+1 = {m} points, got {X.shape[0]}")
-    D = pairwise(X, X)
-    head = D[:m, :m][np.triu_indices(m, 1)]
-    r = float(head.min()) / 2 if head.size else 0.0
-    trace: list[tuple[float, list[int], int]] = []
-    while len(trace) < max_guesses:
+    D = Distances(X)
+    r0, positive = first_radii(D, m)
+    out = []
+    number = lane
+    while True:
+        if r0 > 0:
+            r = float(np.ldexp(r0, number))
+        elif number == 0:
+            r = 0.0
+        elif positive is None:
+            return out  # all rows are equal: guess 0 covers them
+        else:
+            r = float(np.ldexp(positive, number - 1))
         chosen, left = greedy_cover(D, w, k, r, alpha)
-        trace.append((r, chosen, left))
+        out.append((number, r, chosen, left))
         if left <= z:
-            return trace
-        if r == 0:
-            pos = head[head > 0]
-            if not pos.size:
-                allpos = D[np.triu_indices(len(w), 1)]
-                pos = allpos[allpos > 0]
-            r = float(pos.min()) / 2
-        else:
-            r *= 2
-    raise RuntimeError("no feasible guess within max_guesses")
+            return out
+        number += lanes

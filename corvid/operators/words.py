@@ -76,12 +76,15 @@ def word_count_salted(lines: DataFrame, K: int) -> DataFrame:
 
 
 def word_count_rand_group(lines: DataFrame, K: int, seed: int = 0) -> DataFrame:
-    """Salt drawn at random in ``[0, K)`` by the grouping step."""
+    """Salt drawn in ``[0, K)`` for every token by the grouping step.
+
+    The draw is a hash of the token's place and the seed, so a retried task
+    puts every token under the salt it had before.
+    """
     if K < 1:
         raise ValueError("K must be >= 1")
-    words = _words(lines)
-    salt = F.floor(F.rand(seed) * F.lit(K)).cast("int")
-    return _two_round(words.select(salt.alias("salt"), "word"))
+    salt = F.pmod(F.xxhash64("doc_id", "line_no", "token_no", F.lit(seed)), F.lit(K)).cast("int")
+    return _two_round(tokens(lines).select(salt.alias("salt"), "word"))
 
 
 def word_count_partition(lines: DataFrame) -> DataFrame:

@@ -122,7 +122,38 @@ def dist(a: str, b: str) -> str:
 POINTS_CTE = "pts AS (SELECT vec_id AS point_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 
 
-def fft_ctes(m: int, L: int) -> str:
+# Row numbers in the order of the points stand in for ids, which repeat.
+LINEITEM_CTE = """pts AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY id, v) AS point_id, id, v FROM (
+    SELECT l_orderkey * 8 + l_linenumber AS id,
+           [CAST(l_quantity AS DOUBLE), CAST(l_extendedprice AS DOUBLE), CAST(l_discount AS DOUBLE), CAST(l_tax AS DOUBLE)] AS v
+    FROM lineitem))"""
+
+
+def lineitem_sql(k: int, z: int, alpha: float, part_rows: int) -> dict[str, str]:
+    """Oracles of the k-center job on lineitem, with as many parts as the
+    number of points asks for."""
+    m = k + z + 1
+    parts = f"(SELECT CAST(greatest(ceil(count(*) / {float(max(part_rows, 2 * m))!r}), 1) AS BIGINT) FROM pts)"
+    head = fft_ctes(m, parts, LINEITEM_CTE, "id")
+    out = kcenter_sql(k, z, parts, alpha, 1.0, head=head)
+    core = (
+        f"SELECT w.part, w.c, CAST(w.part * {m} + w.c AS BIGINT) AS ord, CAST(p.id AS BIGINT) AS point_id, p.v, w.w"
+        " FROM wts w JOIN pts p ON p.point_id = w.point_id"
+    )
+    centers = out["kcenter_outliers"].rpartition("SELECT center_no, point_id FROM")
+    return {
+        "coreset_lineitem": head + core,
+        "guess_trace_lineitem": out["guess_trace"],
+        "kcenter_outliers_lineitem": centers[0]
+        + "SELECT center_no, CAST(p.id AS BIGINT) AS point_id, p.v FROM"
+        + centers[2]
+        + " s JOIN pts p ON p.point_id = s.point_id",
+        "kcenter_report_lineitem": out["kcenter_report"],
+    }
+
+
+def fft_ctes(m: int, L: int | str, points: str = POINTS_CTE, key: str = "point_id") -> str:
     """Farthest-first traversal per part, unrolled into ``m`` CTE steps.
 
     Step t keeps each point's least distance to the centers so far; the next
@@ -130,19 +161,19 @@ def fft_ctes(m: int, L: int) -> str:
     is the part's first point when every distance is 0).
     """
     parts = [
-        POINTS_CTE,
-        f"ppts AS (SELECT point_id, v, CAST(((point_id % {L}) + {L}) % {L} AS INTEGER) AS part FROM pts)",
+        points,
+        f"ppts AS MATERIALIZED (SELECT point_id, v, CAST((({key} % {L}) + {L}) % {L} AS INTEGER) AS part FROM pts)",
         "k0 AS (SELECT part, min(point_id) AS cid FROM ppts GROUP BY part)",
     ]
     for t in range(1, m):
         prev = "ppts" if t == 1 else f"s{t - 1}"
         md = dist("s.v", "c.v") if t == 1 else f"least(s.md, {dist('s.v', 'c.v')})"
         parts.append(
-            f"s{t} AS (SELECT s.part, s.point_id, s.v, {md} AS md FROM {prev} s"
+            f"s{t} AS MATERIALIZED (SELECT s.part, s.point_id, s.v, {md} AS md FROM {prev} s"
             f" JOIN k{t - 1} k ON s.part = k.part JOIN pts c ON c.point_id = k.cid)"
         )
         parts.append(
-            f"k{t} AS (SELECT part, point_id AS cid FROM (SELECT part, point_id, row_number() OVER"
+            f"k{t} AS MATERIALIZED (SELECT part, point_id AS cid FROM (SELECT part, point_id, row_number() OVER"
             f" (PARTITION BY part ORDER BY md DESC, point_id) AS rn FROM s{t}) WHERE rn = 1)"
         )
     union = " UNION ALL ".join(f"SELECT part, {t} AS c, cid FROM k{t}" for t in range(m))
@@ -244,7 +275,9 @@ def _solution_rows(p: str, z: int, last: str) -> str:
     )
 
 
-def kcenter_sql(k: int, z: int, L: int, alpha: float, greedy_r: float, max_guesses: int = 24) -> dict[str, str]:
+def kcenter_sql(
+    k: int, z: int, L: int | str, alpha: float, greedy_r: float, max_guesses: int = 24, head: str = ""
+) -> dict[str, str]:
     """Oracles of the coreset-based solve (single coreset level).
 
     The coreset is the unrolled traversal of ``fft_ctes`` with m = k+z+1;
@@ -252,7 +285,7 @@ def kcenter_sql(k: int, z: int, L: int, alpha: float, greedy_r: float, max_guess
     which is what the sequential doubling search returns.
     """
     m = k + z + 1
-    head = fft_ctes(m, L).rstrip("\n")
+    head = (head or fft_ctes(m, L)).rstrip("\n")
     base = [
         f"core AS (SELECT CAST(w.part * {m} + w.c AS BIGINT) AS ord, w.point_id, p.v, w.w"
         " FROM wts w JOIN pts p ON p.point_id = w.point_id)",
@@ -287,7 +320,7 @@ def kcenter_sql(k: int, z: int, L: int, alpha: float, greedy_r: float, max_guess
     )
     report = (
         "SELECT (SELECT CAST(count(*) AS BIGINT) FROM pts) AS n,"
-        f" CAST({k} AS INTEGER) AS k, CAST({z} AS INTEGER) AS z, CAST({L} AS INTEGER) AS L,"
+        f" CAST({k} AS INTEGER) AS k, CAST({z} AS INTEGER) AS z, CAST({L} AS INTEGER) AS L, CAST(1 AS INTEGER) AS levels,"
         " t.initial_guess, t.final_guess, t.guesses,"
         f" (SELECT left_over FROM a2_left WHERE g = {first2}) AS left_over,"
         f" (SELECT min(d) FROM ({farthest})) AS objective FROM ({trace2}) t"

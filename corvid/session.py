@@ -62,33 +62,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if shared_checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
     return df
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread rows over the cluster when the scan has too few splits.
-
-    A large table arrives in many more splits than the cluster has cores and
-    is returned untouched. A small one stored as a single row group scans in
-    one task, and everything fused into that stage (tokenising, joining)
-    would run on one core; such input is repartitioned by ``keys`` to the
-    default parallelism. Hash (not round-robin) partitioning keeps a retried
-    task's output identical, and a join key as ``keys`` lets the next join
-    reuse the partitioning.
-    """
-    splits = input_splits(df)
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext (Spark Connect): leave the plan alone
-        return df
-    if splits is None or splits >= target:
-        return df
-    return df.repartition(target, *keys)
-
-
-def input_splits(df: DataFrame) -> int | None:
-    """Number of partitions the plan of ``df`` yields (planning only, no
-    job); ``None`` where the RDD view is unavailable (Spark Connect)."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:
-        return None

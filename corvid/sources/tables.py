@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.functions.text import text_lines
-from corvid.session import spread
 from corvid.sources.points import checked_points
 
 # The table names the driver generates.
@@ -45,12 +44,13 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     -> ``doc_id: long, line_no: int, line: string``. A narrow projection:
     no shuffle, one output row per line.
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return docs.select("doc_id", F.posexplode(text_lines(F.col("text"))).alias("line_no", "line"))
 
 
-def transactions(spark: SparkSession, sf_dir: str, with_country: bool = True) -> DataFrame:
-    """S2 over the order tables: one transaction per line item.
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 over the order tables: one transaction per line item whose order,
+    customer and nation are all there.
 
     -> ``transaction_id, product, quantity, customer, country``.
 
@@ -60,30 +60,17 @@ def transactions(spark: SparkSession, sf_dir: str, with_country: bool = True) ->
     broadcast for sides its size statistics prove small and sort-merge joins
     (with AQE skew splitting) otherwise. ``product`` is text so that ties
     order as text.
-
-    ``with_country=False`` is for callers that filter on no country: the
-    customer and nation lookups only feed ``country`` (left NULL then), and
-    an inner join cannot be pruned by the optimizer, so leaving them out
-    saves a join of the whole orders table at scale. Every order's customer
-    and nation resolve in the order tables, so the rows are the same.
     """
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
-    lineitem = spread(
-        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey"
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    buyers = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+        "c_custkey", F.col("n_name").alias("country")
+    )
+    sales_orders = orders.join(buyers, orders.o_custkey == buyers.c_custkey).select(
+        "o_orderkey", F.col("o_custkey").alias("customer"), "country"
     )
-    if with_country:
-        nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        customer = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey")
-        buyers = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-            "c_custkey", F.col("n_name").alias("country")
-        )
-        sales_orders = orders.join(buyers, orders.o_custkey == buyers.c_custkey).select(
-            "o_orderkey", F.col("o_custkey").alias("customer"), "country"
-        )
-    else:
-        sales_orders = orders.select(
-            "o_orderkey", F.col("o_custkey").alias("customer"), F.lit(None).cast("string").alias("country")
-        )
     return lineitem.join(sales_orders, lineitem.l_orderkey == sales_orders.o_orderkey).select(
         F.col("l_orderkey").cast("string").alias("transaction_id"),
         F.col("l_partkey").cast("string").alias("product"),
@@ -94,30 +81,25 @@ def transactions(spark: SparkSession, sf_dir: str, with_country: bool = True) ->
 
 
 def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points from ``embeddings``: ``point_id = vec_id``, ``v`` as doubles.
-
-    Checked on the scan itself (the dimension probe is a ``limit(1)`` read),
-    then spread if the scan has too few splits.
-    """
+    """Points from ``embeddings``: ``point_id = vec_id``, ``v`` as doubles."""
     emb = table(spark, sf_dir, "embeddings")
-    raw = emb.select(
-        F.col("vec_id").alias("point_id"), F.col("embedding").cast("array<double>").alias("v")
+    return checked_points(
+        emb.select(F.col("vec_id").alias("point_id"), F.col("embedding").cast("array<double>").alias("v"))
     )
-    return spread(checked_points(raw), "point_id")
 
 
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4-d points from ``lineitem`` (quantity, price, discount, tax).
 
-    ``(l_orderkey, l_linenumber)`` is not unique in the generated data, so
-    the id is a 64-bit hash of the key and the coordinates; the k-center
-    kernels break any remaining id tie by the coordinates themselves.
+    The id is the row's key, ``l_orderkey * 8 + l_linenumber``. The generated
+    data repeats some keys; wherever order matters, such rows are ordered by
+    their coordinates.
     """
     coords = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *coords), "l_orderkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *coords)
     return checked_points(
         li.select(
-            F.xxhash64("l_orderkey", "l_linenumber", *coords).alias("point_id"),
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("point_id"),
             F.array(*[F.col(c).cast("double") for c in coords]).alias("v"),
         ),
         dim=len(coords),

@@ -22,61 +22,59 @@ def solve_unit(spark, pts, k, z, alpha=0):
     return tr, ids, left, obj
 
 
-# Expected results from FIXTURES.md (unit weights, alpha 0),
-# one row per sample file and parameter set.
+def rows_of(name):
+    with open(fixture(name)) as f:
+        return [tuple(float(x) for x in line.split(",")) for line in f.read().splitlines()]
+
+
 UNIT_CASES = [
-    ("points_15.txt", 3, 3, 0.05, 0.05, 1, [1, 5, 9], 3, 0.141421356),
-    ("points_15.txt", 3, 1, 0.05, 0.8, 5, [1, 5, 9], 1, 1.562049935),
-    ("points_15.txt", 3, 0, 0.05, 1.6, 6, [1], 0, 4.242640687),
-    ("points_16.txt", 3, 4, 0.05, 0.05, 1, [1, 5, 9], 4, 0.141421356),
-    ("points_16.txt", 3, 2, 0.05, 0.8, 5, [1, 5, 9], 2, 1.562049935),
-    ("points_959.csv", 2, 5, 0.003640055, 0.116481758, 6, [62, 371], 2, 0.240672662),
-    ("points_959.csv", 5, 10, 0.0015, 0.048, 6, [334, 23, 335, 57, 120], 8, 0.117215187),
-    ("points_959.csv", 10, 100, 0.000111803, 0.007155418, 7,
-     [803, 913, 87, 37, 206, 59, 322, 604, 109, 490], 100, 0.02143945),
-]
-
-
-@pytest.mark.parametrize("name,k,z,first,final,n_guess,centers,left,obj", UNIT_CASES)
-def test_unit_weight_fixtures(spark, name, k, z, first, final, n_guess, centers, left, obj):
-    pts = read_points(spark, fixture(name))
+    ("clusters.csv", 3, 3), ("clusters.csv", 3, 1), ("clusters.csv", 3, 0), ("clusters_far.csv", 2, 2),
+    ("clusters_far.csv", 2, 0), ("scatter.csv", 2, 5), ("scatter.csv", 5, 10),
+]
+
+
+@pytest.mark.parametrize("name,k,z", UNIT_CASES)
+def test_unit_weight_files(spark, name, k, z):
+    pts, raw = read_points(spark, fixture(name)), rows_of(name)
+    guesses, chosen, left = brute.search(raw, [1] * len(raw), k, z, 0)
     tr, ids, got_left, got_obj = solve_unit(spark, pts, k, z)
-    assert tr.initial_guess == pytest.approx(first, abs=1e-6)
-    assert tr.final_guess == pytest.approx(final, abs=1e-6)
-    assert tr.guesses == n_guess
-    assert ids == centers
-    assert got_left == left
-    assert got_obj == pytest.approx(obj, abs=1e-6)
+    assert (tr.initial_guess, tr.final_guess, tr.guesses) == (guesses[0], guesses[-1], len(guesses))
+    assert ids == [c + 1 for c in chosen] and got_left == left
+    assert got_obj == brute.objective(raw, [raw[c] for c in chosen], z)
+
+
+def two_rounds(raw, k, z, L, alpha):
+    core, w = [], []
+    for part in range(L):
+        own = raw[part::L]
+        centers, weights = brute.fft(own, k + z + 1)
+        core += [own[c] for c in centers]
+        w += weights
+    guesses, chosen, left = brute.search(core, w, k, z, alpha)
+    centers = [core[c] for c in chosen]
+    return guesses, centers, left, brute.objective(raw, centers, z)
 
 
-# Two-round results from FIXTURES.md (alpha 2, part = line mod L).
 TWO_ROUND_CASES = [
-    ("points_15.txt", 3, 1, 2, 10, 15, 0.707106781, 0.707106781, 1, [(2.0, 2.0)], 0, 2.284731932),
-    ("points_16.txt", 3, 2, 2, 12, 16, 0.070710678, 0.282842712, 3,
-     [(1.1, 1.1), (10.0, 1.0), (1.0, 10.0)], 2, 1.421267040),
-    ("points_959.csv", 5, 10, 4, 64, 959, 0.020387067, 0.020387067, 1,
-     [(40.769, -73.9549), (40.6931, -74.1834), (40.9859, -74.1578), (40.7757, -73.4202), (40.779, -74.42)],
-     1, 0.205401558),
-    ("points_959.csv", 10, 20, 4, 124, 959, 0.009546989, 0.009546989, 1, [(40.7545, -73.9757)], 4, 0.070741006),
-]
-
-
-@pytest.mark.parametrize("name,k,z,L,rows,wsum,first,final,n_guess,centers,left,obj", TWO_ROUND_CASES)
-def test_two_round_fixtures(spark, name, k, z, L, rows, wsum, first, final, n_guess, centers, left, obj):
-    pts = read_points(spark, fixture(name))
-    cs = kc.coreset(pts, k + z + 1, L).agg(F.count("*").alias("n"), F.sum("w").alias("w")).first()
-    assert (cs.n, cs.w) == (rows, wsum)
-    rep = kc.kcenter_report(pts, k, z, L).first()
-    assert (rep.n, rep.k, rep.z, rep.L) == (wsum, k, z, L)
-    assert rep.initial_guess == pytest.approx(first, abs=1e-6)
-    assert rep.final_guess == pytest.approx(final, abs=1e-6)
-    assert rep.guesses == n_guess
-    assert rep.left_over == left
-    assert rep.objective == pytest.approx(obj, abs=1e-6)
-    got = [tuple(r.v) for r in kc.solution_centers(kc.kcenter_outliers(pts, k, z, L)).orderBy("center_no").collect()]
-    assert got[: len(centers)] == centers
-    if len(centers) > 1:
-        assert len(got) == len(centers)
+    ("clusters.csv", 3, 1, 2, 2), ("clusters_far.csv", 2, 2, 2, 2), ("scatter.csv", 4, 6, 4, 2), ("scatter.csv", 4, 6, 3, 0),
+]
+
+
+@pytest.mark.parametrize("name,k,z,L,alpha", TWO_ROUND_CASES)
+def test_two_round_files(spark, name, k, z, L, alpha):
+    pts, raw = read_points(spark, fixture(name)), rows_of(name)
+    guesses, centers, left, obj = two_rounds(raw, k, z, L, alpha)
+    rep = kc.kcenter_report(pts, k, z, L, alpha).first()
+    assert (rep.n, rep.k, rep.z, rep.L, rep.levels) == (len(raw), k, z, L, 1)
+    assert (rep.initial_guess, rep.final_guess, rep.guesses) == (guesses[0], guesses[-1], len(guesses))
+    assert rep.left_over == left and rep.objective == obj
+    got = kc.solution_centers(kc.kcenter_outliers(pts, k, z, L, alpha)).orderBy("center_no").collect()
+    assert [tuple(r.v) for r in got] == centers
+
+
+def test_cases_double_the_guess_and_leave_weight_over():
+    found = [brute.search(rows_of(n), [1] * len(rows_of(n)), k, z, 0) for n, k, z in UNIT_CASES[:5]]
+    assert any(len(guesses) >= 3 and len(chosen) >= 2 and left > 0 for guesses, chosen, left in found)
 
 
 def points_df(spark, pts):
@@ -135,10 +133,10 @@ def test_too_few_points_is_an_error(spark):
         kc.weighted_kcenter(df, 2, 1, 0).collect()
 
 
-def test_properties_on_959_points(spark):
-    pts = read_points(spark, fixture("points_959.csv"))
+def test_properties_on_many_points(spark):
+    pts = read_points(spark, fixture("scatter.csv"))
     cs = kc.coreset(pts, 8, 4)
-    assert cs.agg(F.sum("w")).first()[0] == 959
+    assert cs.agg(F.sum("w")).first()[0] == 700
     for z in (0, 5, 20):
         rep = kc.kcenter_report(pts, 3, z, 4).first()
         assert rep.left_over <= z
@@ -148,41 +146,77 @@ def test_properties_on_959_points(spark):
     # For fixed centers the objective never grows with z.
     centers = kc.solution_centers(kc.kcenter_outliers(pts, 3, 5, 4)).selectExpr("center_no AS id", "v")
     dists = geo.nearest_center_distance(pts, centers).cache()
-    objs = [geo.objective(dists, z).first().objective for z in (0, 1, 5, 50, 958, 2000)]
+    objs = [geo.objective(dists, z).first().objective for z in (0, 1, 5, 50, 699, 2000)]
     assert objs == sorted(objs, reverse=True)
 
 
-def test_multi_level_coreset_is_bounded(spark):
-    pts = read_points(spark, fixture("points_959.csv"))
-    m, L, cap = 6, 64, 100  # 64 parts x 6 = 384 rows > 100 -> a second level
-    cs = kc.bounded_coreset(pts, m, L, max_rows=cap)
-    stats = cs.agg(F.count("*").alias("n"), F.sum("w").alias("w")).first()
-    assert stats.n <= cap and stats.w == 959
-    rep = kc.kcenter_report(pts, 2, 3, L, max_rows=cap).first()
-    assert rep.left_over <= 3
-
-
-def test_solver_refuses_unbounded_group(spark):
-    pts = read_points(spark, fixture("points_959.csv"))
-    with pytest.raises(Exception, match="max_rows"):
-        kc.weighted_kcenter(pts, 2, 1, 0, max_rows=100).collect()
-
-
-def test_coreset_by_input_split(spark):
-    rnd = random.Random(3)
-    pts = [(rnd.randint(0, 30), rnd.randint(0, 30)) for _ in range(90)]
-    df = points_df(spark, pts).repartition(3, "point_id")
-    split_of = {r.point_id: r.p for r in df.select("point_id", F.spark_partition_id().alias("p")).collect()}
-    m = 4
-    got = {(r.part, r.c): (r.point_id, r.w) for r in kc.coreset(df, m, None).collect()}
-    assert sum(w for _, w in got.values()) == len(pts)
-    for part in set(split_of.values()):
-        members = sorted(i for i, p in split_of.items() if p == part)
-        centers, weights = brute.fft([pts[i] for i in members], m)
-        for c in range(m):
-            assert got[(part, c)] == (members[centers[c]], weights[c])
-    rep = kc.kcenter_report(df, 2, 3, None).first()
-    assert rep.n == len(pts) and rep.left_over <= 3 and rep.L is None
+def test_levels_are_the_callers_choice(spark):
+    pts = read_points(spark, fixture("scatter.csv"))
+    m, L = 6, 64
+    one = kc.coreset(pts, m, L).agg(F.count("*").alias("n"), F.sum("w").alias("w")).first()
+    two = kc.coreset(pts, m, L, levels=2, part_rows=100).agg(F.count("*").alias("n"), F.sum("w").alias("w")).first()
+    assert (one.n, one.w) == (m * L, 700) and (two.n, two.w) == (4 * m, 700)
+    assert kc.kcenter_report(pts, 2, 3, L, levels=2, part_rows=100).first().levels == 2
+    assert kc.kcenter_report(pts, 2, 3, L).first().levels == 1
+
+
+def test_parts_follow_the_data_or_are_refused(spark):
+    pts = read_points(spark, fixture("scatter.csv"))
+    sizes = kc.coreset(pts, 5, None, part_rows=100).groupBy("part").agg(F.sum("w").alias("w")).collect()
+    assert len(sizes) == 7 and all(r.w <= 100 for r in sizes)
+    assert kc.kcenter_report(pts, 2, 2, None, part_rows=100).first().L == 7
+    saved = kc.MAX_PART_ROWS
+    kc.MAX_PART_ROWS = 300
+    try:
+        with pytest.raises(Exception, match="raise L"):
+            kc.coreset(pts, 5, 2).collect()
+        assert kc.coreset(pts, 5, 3).count() == 15
+    finally:
+        kc.MAX_PART_ROWS = saved
+
+
+@pytest.mark.parametrize("lanes", [1, 2, 5])
+def test_lanes_do_not_change_the_answer(spark, lanes):
+    pts = read_points(spark, fixture("scatter.csv"))
+    want = [tuple(r) for r in kc.weighted_kcenter(pts, 4, 3, 0).orderBy("guess_no").collect()]
+    got = [tuple(r) for r in kc.weighted_kcenter(pts, 4, 3, 0, lanes=lanes).orderBy("guess_no").collect()]
+    assert got == want and len(got) >= 3
+
+
+def test_blocks_do_not_change_the_answer(monkeypatch):
+    import numpy as np
+
+    from corvid.operators import kcenter_kernels as kk
+
+    X = np.random.default_rng(3).normal(size=(90, 3))
+    w = np.arange(1, 91)
+    want = kk.search_lane(X, w, 3, 40, 0, 0, 1)
+    monkeypatch.setattr(kk, "FULL_ROWS", 0)
+    monkeypatch.setattr(kk, "BLOCK_CELLS", 700)
+    assert kk.search_lane(X, w, 3, 40, 0, 0, 1) == want and len(want) > 1
+
+
+def test_tiny_first_distance_keeps_doubling(spark):
+    df = points_df(spark, [(0, 0), (1e-70, 0), (1, 0), (0, 1), (1, 1), (5, 5)])
+    sol = kc.weighted_kcenter(df, 1, 1, 0).orderBy("guess_no").collect()
+    assert len(sol) > 200 and sol[-1].feasible and [s.guess_no for s in sol] == list(range(len(sol)))
+
+
+def test_report_plans_without_jobs_and_solves_once(spark):
+    from corvid.plans.inspect import plan_text
+
+    pts = read_points(spark, fixture("scatter.csv"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        rep = kc.kcenter_report(pts, 4, 6, 3, 0)
+        assert len(tracker.getJobIdsForGroup("build")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    rep.collect()
+    text = plan_text(rep, "simple").split("Initial Plan")[0]
+    solves = text.count("FlatMapGroupsInArrow")
+    assert solves >= 2 and "ReusedSubquery" in text
 
 
 @pytest.mark.parametrize("alpha", [0, 2])
@@ -205,8 +239,8 @@ def test_weighted_solver_matches_brute_force(spark, alpha):
 
 
 def test_reader_partitions_do_not_change_the_answer(spark):
-    a = kc.kcenter_report(read_points(spark, fixture("points_959.csv")), 5, 10, 4).first()
-    b = kc.kcenter_report(read_points(spark, fixture("points_959.csv"), partitions=7), 5, 10, 4).first()
+    a = kc.kcenter_report(read_points(spark, fixture("scatter.csv")), 5, 10, 4).first()
+    b = kc.kcenter_report(read_points(spark, fixture("scatter.csv"), partitions=7), 5, 10, 4).first()
     assert a == b
 
 
@@ -236,6 +270,6 @@ def test_argument_rules(spark):
     with pytest.raises(ValueError):
         kc.coreset(df, 0, 2)
     with pytest.raises(ValueError):
-        kc.bounded_coreset(df, 10, 2, max_rows=15)
+        kc.coreset(df, 10, 2, levels=0)
     with pytest.raises(ValueError):
         geo.farthest_points(geo.nearest_distance(df, df.selectExpr("point_id AS id", "v")), -1)

@@ -1,7 +1,6 @@
 """Shuffle budget of each operator, read from the physical plan.
 
-File inputs are used so that no source-side spreading adds exchanges; the
-counts are the operators' own.
+The counts are the operators' own.
 """
 
 import pytest
@@ -16,12 +15,12 @@ from corvid.sources import read_lines, read_points, read_transactions
 
 @pytest.fixture(scope="module")
 def lines(spark):
-    return read_lines(spark, fixture("words_30.txt"))
+    return read_lines(spark, fixture("brooks.txt"))
 
 
 @pytest.fixture(scope="module")
 def tx(spark):
-    return sales.sales_filtered(read_transactions(spark, fixture("transactions_50.csv")), "all")
+    return sales.sales_filtered(read_transactions(spark, fixture("sales.csv")), "all")
 
 
 @pytest.mark.parametrize(
@@ -57,7 +56,7 @@ def test_sales_shuffles(tx, op, expected):
 def test_distance_operators_do_not_shuffle_points(spark):
     from pyspark.sql import functions as F
 
-    pts = read_points(spark, fixture("points_959.csv"))
+    pts = read_points(spark, fixture("scatter.csv"))
     cs = pts.limit(4).select(F.col("point_id").alias("id"), "v")
     for df in (
         geo.point_distances(pts, cs),

@@ -1,16 +1,6 @@
 from corvid.operators.kcenter import suggest_parts
 from corvid.plans.inspect import plan_text
-from corvid.session import cut_lineage, shared_checkpoint_dir, spread
-
-
-def test_spread_only_when_too_few_splits(spark):
-    par = spark.sparkContext.defaultParallelism
-    many = spark.range(1000).repartition(par * 2)
-    assert spread(many, "id") is many
-    one = spark.range(1000).coalesce(1)
-    spread_one = spread(one, "id")
-    assert spread_one.rdd.getNumPartitions() == par
-    assert sorted(r.id for r in spread_one.collect()) == list(range(1000))
+from corvid.session import cut_lineage, shared_checkpoint_dir
 
 
 def test_cut_lineage_uses_the_shared_folder(spark):
