@@ -75,11 +75,11 @@ def _judge(width: int):
 
 
 def _spans(docs, id_col, text_col, width, gram, frequent, tasks):
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.struct(F.col(text_col).alias("text")).alias("row"))
     method = repeats.Method(width, gram, _items(gram), True, _judge(width))
     found = repeats.repeated_windows(rows.filter("id is not null"), method, np.uint8, frequent, tasks)
     none = rows.filter("id is null").withColumn("spans", F.lit(None).cast("array<struct<start:int,windows:int>>"))
-    return found.select("id", "text", "spans").unionByName(none)
+    return found.unionByName(none).select("id", "row", "spans")
 
 
 def cut_copies(
@@ -92,7 +92,7 @@ def cut_copies(
     def run(batches):
         for batch in batches:
             cols: list[list] = [[], [], [], [], []]
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, spans in zip(repeats.text_of(batch.column(1)).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 gone = repeats.covered(len(raw), spans, width)
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))

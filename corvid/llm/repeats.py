@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,6 +103,11 @@ def anchors(items: Items, width: int, gram: int) -> tuple[np.ndarray, np.ndarray
     return np.searchsorted(items.first, at, side="right") - 1, items.grams[at]
 
 
+def text_of(row: pa.StructArray) -> pa.Array:
+    """The field ``text`` of a column of structs."""
+    return pc.struct_field(row, "text")
+
+
 def _occurrences(docs: DataFrame, m: Method) -> DataFrame:
     """-> ``value, id, n``: anchors per document."""
 
@@ -141,9 +147,8 @@ def _runs(least: np.ndarray, owner: np.ndarray, wanted: np.ndarray) -> tuple[np.
 
 
 def _contexts(rows: DataFrame, m: Method) -> DataFrame:
-    """``id, text, cand`` (repeated values: value, frequent) -> contexts. A
-    context without codes is already known to be repeated. Further columns go
-    along unused, so that the exchange below is that of the last step."""
+    """``id, row, cand`` (repeated values: value, frequent) -> contexts. A
+    context without codes is already known to be repeated."""
 
     def run(batches):
         for batch in batches:
@@ -151,9 +156,10 @@ def _contexts(rows: DataFrame, m: Method) -> DataFrame:
             batch = batch.take(pa.array(order))
             ids = batch.column(0).to_numpy()
             cand = batch.column(2).to_pylist()
+            texts = text_of(batch.column(1)).to_pylist()
             seen: dict[tuple, tuple[int, int]] = {}
             out: list[tuple] = []
-            for a, b, items in m.items(batch.column(1).to_pylist()):
+            for a, b, items in m.items(texts):
                 least, owner = least_grams(items, m.width, m.gram)
                 if not len(least):
                     continue
@@ -196,16 +202,15 @@ def _contexts(rows: DataFrame, m: Method) -> DataFrame:
                     names=["key", "id", "start", "windows", "codes"],
                 )
 
-    rest = [c for c in rows.columns if c not in ("id", "text", "cand")]
-    return rows.select("id", "text", "cand", *rest).mapInArrow(run, CONTEXT)
+    return rows.select("id", "row", "cand").mapInArrow(run, CONTEXT)
 
 
 def _judged(contexts: DataFrame, m: Method, tasks: int, dtype) -> DataFrame:
     """-> ``id, start, windows``: runs of windows that have an earlier equal."""
 
     def run(table: pa.Table) -> pa.Table:
-        done = table.filter(pa.compute.is_null(table["codes"])).select(["id", "start", "windows"])
-        live = table.filter(pa.compute.is_valid(table["codes"]))
+        done = table.filter(pc.is_null(table["codes"])).select(["id", "start", "windows"])
+        live = table.filter(pc.is_valid(table["codes"]))
         if not live.num_rows:
             return done
         key = live["key"].to_numpy()
@@ -235,11 +240,13 @@ def _judged(contexts: DataFrame, m: Method, tasks: int, dtype) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, m: Method, dtype, frequent: int = FREQUENT, tasks: int | None = None) -> DataFrame:
-    """``docs``: ``id, text`` (id not null) and further columns -> the same
-    and ``spans``: for every document its runs of windows (``start, windows``) with an earlier equal."""
+    """``docs``: ``id`` (not null) and ``row``, a struct with a field ``text``
+    -> the same and ``spans``: for every document its runs of windows
+    (``start, windows``) with an earlier equal. The texts stay inside ``row``
+    so that both joins read one exchange of the documents."""
     # The counts are partially aggregated; several anchors in one document
     # count as repeats only where the method looks inside documents.
-    seen = _occurrences(docs.select("id", "text"), m)
+    seen = _occurrences(docs.select("id", F.col("row.text").alias("text")), m)
     n = F.sum("n") if m.inside else F.count(F.lit(1))
     known = staged(seen.groupBy("value").agg(n.alias("n")).filter("n > 1"), "anchors")
     cand = seen.select("value", "id").join(known, "value").groupBy("id").agg(

@@ -23,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,8 +65,8 @@ def _method(width: int, gram: int) -> repeats.Method:
 
 
 def _kept(batch, width: int):
-    """(words, removed, kept text) of each row of ``id, text, spans``."""
-    texts, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+    """(words, removed, kept text) of each row of ``id, row, spans``."""
+    texts, spans = repeats.text_of(batch.column(1)).to_pylist(), batch.column(2).to_pylist()
     for a, b in text_slices(texts):
         w = Words(texts[a:b])
         first = np.append(w.first, len(w.hashes))
@@ -78,10 +79,10 @@ def _kept(batch, width: int):
 
 
 def _with_spans(rows: DataFrame, width: int, gram: int, frequent: int, tasks: int | None) -> DataFrame:
-    """``id, text, rest`` with ``spans``; rows with a null id have none."""
+    """``id, row`` with ``spans``; rows with a null id have none."""
     found = repeats.repeated_windows(rows.filter("id is not null"), _method(width, gram), np.uint32, frequent, tasks)
     none = rows.filter("id is null").withColumn("spans", F.lit(None).cast("array<struct<start:int,windows:int>>"))
-    return found.unionByName(none).select("id", "text", "spans", "rest")
+    return found.unionByName(none).select("id", "row", "spans")
 
 
 def _cut(docs: DataFrame, id_col: str, text_col: str, width: int, gram: int, frequent: int, tasks) -> DataFrame:
@@ -89,24 +90,25 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, width: int, gram: int, fre
     the whole row but the text."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
-        F.col(text_col).alias("text"),
-        F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("rest"),
+        F.struct(
+            F.col(text_col).alias("text"), F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("rest")
+        ).alias("row"),
     )
     names = ["id", "n_words", "n_removed", "kept", "kept_sha256", "rest"]
 
     def run(batches):
         for batch in batches:
             n, gone, kept, sha = [], [], [], []
-            for (a, b, c), text in zip(_kept(batch, width), batch.column(1), strict=True):
+            for (a, b, c), text in zip(_kept(batch, width), repeats.text_of(batch.column(1)), strict=True):
                 n.append(a), gone.append(b), sha.append(hashlib.sha256(c).hexdigest())
                 kept.append(c.decode("utf-8", "replace") if b else text.as_py())
             columns = [
                 batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()),
-                pa.array(sha, pa.string()), batch.column(3),
+                pa.array(sha, pa.string()), pc.struct_field(batch.column(1), "rest"),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rest = next(f for f in rows.schema if f.name == "rest").dataType
+    rest = rows.schema["row"].dataType["rest"].dataType
     fields = "id long, n_words long, n_removed long, kept string, kept_sha256 string"
     schema = T.StructType.fromDDL(fields).add("rest", rest)
     return _with_spans(rows, width, gram, frequent, tasks).mapInArrow(run, schema)
