@@ -6,7 +6,7 @@ malformed row, as the original programs do.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,19 +29,36 @@ TRANSACTION_SCHEMA = T.StructType(
 )
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files with their number -> ``line_id, value``.
+
+    Lines count from 0 through the files in path order, whatever the splits
+    and the cores: each block of a file counts its lines, and the counts of
+    the blocks before it (one row per block) are its offset. That is a second
+    pass over the files that reads no more than line ends.
+    """
+    block = ["__path", "__start"]
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__row"),
+        "value",
+    )
+    counts = raw.groupBy(*block).agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*block, (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"))
+    return raw.join(offsets, block).select((F.col("__row") + F.col("__shift")).alias("line_id"), "value")
+
+
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """S1 for files: one document per line -> ``doc_id, line_no, line``.
 
-    ``doc_id`` comes from ``monotonically_increasing_id`` right after the
-    scan, which follows line order inside a split; inputs that need a global
-    line number should bring their own id column (see ``sources.tables``).
-    ``partitions`` spreads the documents over that many partitions by
-    ``doc_id`` (the original's ``repartition(K)``, made deterministic).
+    ``doc_id`` is the line's number (``numbered_lines``). ``partitions``
+    deals the documents over that many partitions by ``doc_id`` (the
+    original's ``repartition(K)``, made deterministic).
     """
-    df = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("doc_id"),
-        F.lit(0).alias("line_no"),
-        F.col("value").alias("line"),
+    df = numbered_lines(spark, path).select(
+        F.col("line_id").alias("doc_id"), F.lit(0).alias("line_no"), F.col("value").alias("line")
     )
     return df.repartition(partitions, "doc_id") if partitions else df
 
@@ -87,14 +104,14 @@ def read_points(
 
     Any number of coordinates per line, the same on every line (``dim``, if
     given, is enforced). NaN or unparsable coordinates fail the job.
-    ``partitions`` spreads the points by ``point_id``; the k-center parts do
-    not depend on it (they follow ``point_id``).
+    ``point_id`` is the line's number (``numbered_lines``), so parts do not
+    depend on file splits. ``partitions`` deals the points by ``point_id``.
     """
     # Trailing empty fields are dropped, as a plain comma split does; an
     # empty field anywhere else fails the job (the ANSI cast rejects it).
     fields = F.split(F.regexp_replace("value", r",+\z", ""), ",")
-    raw = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("point_id"),
+    raw = numbered_lines(spark, path).select(
+        F.col("line_id").alias("point_id"),
         F.transform(fields, lambda s: F.trim(s).cast("double")).alias("v"),
     )
     pts = checked_points(raw, dim)

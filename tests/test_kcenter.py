@@ -244,6 +244,27 @@ def test_reader_partitions_do_not_change_the_answer(spark):
     assert a == b
 
 
+def test_file_splits_do_not_change_ids_or_answers(spark, tmp_path):
+    raw = rows_of("scatter.csv")
+    for k, at in enumerate((0, 301, 302)):
+        to = (301, 302, 700)[k]
+        (tmp_path / f"part{k}.csv").write_text("\n".join(f"{x},{y}" for x, y in raw[at:to]) + "\n")
+    whole = kc.kcenter_report(read_points(spark, fixture("scatter.csv")), 4, 6, 3, 0).first()
+    names = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "10"}
+    saved = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        pts = read_points(spark, str(tmp_path))
+        assert pts.rdd.getNumPartitions() > 5
+        assert [tuple(r.v) for r in pts.orderBy("point_id").collect()] == raw
+        assert [r.point_id for r in pts.orderBy("point_id").collect()] == list(range(700))
+        assert kc.kcenter_report(pts, 4, 6, 3, 0).first() == whole
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
 def test_kernel_distances_match_sequential_formula():
     import numpy as np
 

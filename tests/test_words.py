@@ -7,12 +7,13 @@ from conftest import fixture
 from corvid.functions import split_on_blank
 from corvid.operators import words
 from corvid.plans.inspect import has_partial_aggregate, plan_text, uses_python_udf
+from corvid.session import cut_lineage
 from corvid.sources import read_lines, row_count
 
 
 @pytest.fixture(scope="module")
 def lines(spark):
-    return read_lines(spark, fixture("brooks.txt")).cache()
+    return cut_lineage(read_lines(spark, fixture("brooks.txt")))
 
 
 def counts(df):
