@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import repeats
-from corvid.llm.shingles import span_hashes, text_slices
+from corvid.llm.shingles import gram_hashes, text_slices
 
 WIDTH = 100
 GRAM = 20
@@ -33,10 +33,8 @@ def _items(gram: int):
         for a, b in text_slices(texts, 1 << 20):
             parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts[a:b]]
             raw = b"".join(parts)
-            n = max(0, len(raw) - gram + 1)
-            at = np.arange(n)
             first = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-            yield a, b, repeats.Items(np.frombuffer(raw, np.uint8), span_hashes(raw, at, at + gram), first)
+            yield a, b, repeats.Items(np.frombuffer(raw, np.uint8), gram_hashes(raw, gram), first)
 
     return items
 
@@ -57,7 +55,7 @@ def smaller_before(position: np.ndarray) -> np.ndarray:
 def _judge(width: int):
     def judge(codes, place, key, doc, start):
         """LPF >= width, by previous and next smaller positions in suffix order."""
-        rank = repeats.sequence_ranks(codes, width)[place]
+        rank = repeats.sequence_ranks(codes, width, place)
         docs, d = np.unique(doc, return_inverse=True)
         position = (d.astype(np.int64) << 40) + start
         order = np.lexsort((position, rank))

@@ -85,10 +85,14 @@ def least_grams(items: Items, width: int, gram: int) -> tuple[np.ndarray, np.nda
     if n <= 0:
         return np.zeros(0, _U), np.zeros(0, np.int64)
     least = sliding(items.grams, width - gram + 1, np.minimum)[:n]
-    at = np.arange(n)
-    owner = np.searchsorted(items.first, at, side="right") - 1
-    inside = at + width <= items.first[np.minimum(owner + 1, len(items.first) - 1)]
-    return least, np.where(inside, owner, -1)
+    # Windows of text i start in first[i] .. first[i + 1] - width.
+    size = np.diff(items.first)
+    starts = np.maximum(size - width + 1, 0)
+    owner = np.repeat(
+        np.stack([np.arange(len(size)), np.full(len(size), -1)], axis=1).reshape(-1),
+        np.stack([starts, size - starts], axis=1).reshape(-1),
+    )
+    return least, owner[:n]
 
 
 def anchors(items: Items, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,27 +132,52 @@ def _occurrences(docs: DataFrame, m: Method) -> DataFrame:
     return docs.mapInArrow(run, "value long, id long, n int")
 
 
-CONTEXT = "key long, id long, start int, windows int, codes binary"
+CONTEXT = "task int, packed binary"
+
+
+def _packed(keys: np.ndarray, ids: np.ndarray, starts: np.ndarray, windows: np.ndarray, codes: list[bytes]) -> bytes:
+    """Contexts as one compressed string; those without codes have their
+    number of windows negated."""
+    counts = np.where([c is None for c in codes], -windows, windows).astype(np.int32)
+    parts = [keys.astype(np.int64), ids.astype(np.int64), starts.astype(np.int32), counts]
+    raw = b"".join([p.tobytes() for p in parts] + [c for c in codes if c is not None])
+    head = np.array([len(keys), len(raw)], np.int64).tobytes()
+    return head + pa.Codec("zstd").compress(raw, asbytes=True)
+
 
+def _unpacked(packed: bytes, width: int, itemsize: int) -> tuple:
+    """(keys, ids, starts, windows, codes) of a packed string, as lists."""
+    n, size = np.frombuffer(packed[:16], np.int64).tolist()
+    raw = pa.Codec("zstd").decompress(packed[16:], size, asbytes=True)
+    keys, ids = (np.frombuffer(raw, np.int64, n, 8 * n * k) for k in (0, 1))
+    starts, counts = (np.frombuffer(raw, np.int32, n, 16 * n + 4 * n * k) for k in (0, 1))
+    ends = np.cumsum(np.where(counts > 0, (counts + width - 1) * itemsize, 0)) + 24 * n
+    begin = np.concatenate([[24 * n], ends[:-1]])
+    codes = [raw[a:b] if b > a else None for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
+    return keys.tolist(), ids.tolist(), starts.tolist(), np.abs(counts).tolist(), codes
 
-def _runs(least: np.ndarray, owner: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, windows) of runs of wanted windows with one value in one text."""
-    cut = (np.diff(least) != 0) | (np.diff(owner) != 0) | (np.diff(wanted.astype(np.int8)) != 0)
+
+def _runs(least: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, windows) of runs of windows with one value in one text."""
+    cut = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
     at = np.concatenate([[0], np.flatnonzero(cut) + 1])
     size = np.diff(np.concatenate([at, [len(least)]]))
-    at, size = at[wanted[at]], size[wanted[at]]
-    if len(size) and size.max() > LONGEST_RUN:
-        pieces = -(-size // LONGEST_RUN)
-        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        end = np.repeat(at + size, pieces)
-        at = np.repeat(at, pieces) + nth * LONGEST_RUN
-        size = np.minimum(LONGEST_RUN, end - at)
-    return at, size
+    return at[owner[at] >= 0], size[owner[at] >= 0]
+
+
+def _shortened(at: np.ndarray, size: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs in pieces of at most ``most`` windows."""
+    pieces = -(-size // most)
+    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    end = np.repeat(at + size, pieces)
+    at = np.repeat(at, pieces) + nth * most
+    return at, np.minimum(most, end - at)
 
 
-def _contexts(rows: DataFrame, m: Method) -> DataFrame:
-    """``id, row, cand`` (repeated values: value, frequent) -> contexts. A
-    context without codes is already known to be repeated."""
+def _contexts(rows: DataFrame, m: Method, tasks: int) -> DataFrame:
+    """``id, row, cand`` (repeated values: value, frequent), by id -> contexts,
+    packed by the task that compares their keys. A context without codes is
+    already known to be repeated; any task can take it."""
 
     def run(batches):
         for batch in batches:
@@ -163,25 +192,26 @@ def _contexts(rows: DataFrame, m: Method) -> DataFrame:
                 least, owner = least_grams(items, m.width, m.gram)
                 if not len(least):
                     continue
-                wanted, frequent = np.zeros(len(least), bool), np.zeros(len(least), bool)
+                at, size = _runs(least, owner)
+                of, value = owner[at], least[at]
+                repeated, frequent = np.zeros(len(at), bool), np.zeros(len(at), bool)
+                edges = np.searchsorted(of, np.arange(b - a + 1))
                 for i in range(a, b):
-                    lo, hi = items.bounds(i - a)
-                    hi = min(hi - m.width + 1, len(least))
+                    lo, hi = edges[i - a], edges[i - a + 1]
                     if hi <= lo or not cand[i]:
                         continue
-                    for flag, into in ((False, wanted), (True, frequent)):
-                        values = np.array([c["value"] for c in cand[i] if c["frequent"] == flag], np.int64)
-                        into[lo:hi] = np.isin(least[lo:hi], values.view(_U))
-                usable = owner >= 0
-                at, size = _runs(least, owner, wanted & usable)
-                alone = np.flatnonzero(frequent & usable)
+                    for flag, into in ((False, repeated), (True, frequent)):
+                        known = np.array([c["value"] for c in cand[i] if c["frequent"] == flag], np.int64)
+                        into[lo:hi] = np.isin(value[lo:hi], known.view(_U))
+                alone, _ = _shortened(at[frequent], size[frequent], 1)
+                at, size = _shortened(at[repeated], size[repeated], LONGEST_RUN)
                 keys = least[at]
                 if len(alone):
-                    at, size = np.concatenate([at, alone]), np.concatenate([size, np.ones(len(alone), size.dtype)])
                     windows = np.lib.stride_tricks.sliding_window_view(items.codes, m.width)[alone]
                     whole = np.zeros(len(alone), _U)
                     for j in range(m.width):
                         whole = mix(whole * _U(0x9E3779B97F4A7C15) + windows[:, j].astype(_U))
+                    at, size = np.concatenate([at, alone]), np.concatenate([size, np.ones(len(alone), size.dtype)])
                     keys = np.concatenate([keys, whole])
                     order = np.argsort(at, kind="stable")
                     at, size, keys = at[order], size[order], keys[order]
@@ -195,48 +225,85 @@ def _contexts(rows: DataFrame, m: Method) -> DataFrame:
                     first = seen.setdefault((k, codes), (doc, s - f))
                     known = first[0] != doc or (m.inside and first[1] < s - f)
                     out.append((k, doc, s - f, n, None if known else codes))
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                    names=["key", "id", "start", "windows", "codes"],
-                )
+            if not out:
+                continue
+            key, doc, start, windows, codes = zip(*out, strict=True)
+            key, doc, start, windows = (np.array(c, np.int64) for c in (key, doc, start, windows))
+            task = (mix(key.view(_U)) % _U(tasks)).astype(np.int32)
+            order = np.argsort(task, kind="stable")
+            cuts = np.flatnonzero(np.diff(task[order])) + 1
+            groups = np.split(order, cuts)
+            packed = [_packed(key[g], doc[g], start[g], windows[g], [codes[i] for i in g]) for g in groups]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([task[g[0]] for g in groups], pa.int32()), pa.array(packed, pa.binary())],
+                names=["task", "packed"],
+            )
 
     return rows.select("id", "row", "cand").mapInArrow(run, CONTEXT)
 
 
-def _judged(contexts: DataFrame, m: Method, tasks: int, dtype) -> DataFrame:
+def _collapsed(keys: list, ids: list, starts: list, windows: list, codes: list, m: Method) -> tuple[list, list]:
+    """(contexts known to be repeats, contexts to compare), as places: of
+    equal contexts the earliest goes on, and of keys with one context none
+    that cannot repeat itself."""
+    first: dict[tuple, int] = {}
+    known, go_on = [], []
+    for i in sorted(range(len(keys)), key=lambda i: (ids[i], starts[i])):
+        if codes[i] is None:
+            known.append(i)
+            continue
+        j = first.setdefault((keys[i], codes[i]), i)
+        if j == i:
+            go_on.append(i)
+        elif ids[j] != ids[i] or (m.inside and starts[j] != starts[i]):
+            known.append(i)
+        elif not m.inside and starts[j] != starts[i]:
+            go_on.append(i)  # a repeat in one document shares the first one's fate
+    count: dict[int, int] = {}
+    for i in go_on:
+        count[keys[i]] = count.get(keys[i], 0) + 1
+
+    def repeats_itself(i: int) -> bool:
+        """Windows that are equal begin with the same items."""
+        step = len(codes[i]) // (windows[i] + m.width - 1)
+        heads = {codes[i][k * step : (k + m.gram) * step] for k in range(windows[i])}
+        return len(heads) < windows[i]
+
+    return known, [i for i in go_on if count[keys[i]] > 1 or m.inside and repeats_itself(i)]
+
+
+def _judged(contexts: DataFrame, m: Method, dtype) -> DataFrame:
     """-> ``id, start, windows``: runs of windows that have an earlier equal."""
+    schema = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
 
     def run(table: pa.Table) -> pa.Table:
-        done = table.filter(pc.is_null(table["codes"])).select(["id", "start", "windows"])
-        live = table.filter(pc.is_valid(table["codes"]))
-        if not live.num_rows:
+        lists: list[list] = [[], [], [], [], []]
+        for packed in table["packed"].to_pylist():
+            for into, more in zip(lists, _unpacked(packed, m.width, np.dtype(dtype).itemsize), strict=True):
+                into.extend(more)
+        keys, ids, starts, windows, codes = lists
+        known, live = _collapsed(keys, ids, starts, windows, codes, m)
+        done = pa.table([[ids[i] for i in known], [starts[i] for i in known], [windows[i] for i in known]], schema=schema)
+        if not live:
             return done
-        key = live["key"].to_numpy()
-        doc = live["id"].to_numpy()
-        start, n = live["start"].to_numpy().astype(np.int64), live["windows"].to_numpy().astype(np.int64)
-        codes = np.frombuffer(b"".join(live["codes"].to_pylist()), dtype)
-        size = n + m.width - 1
+        key, doc, start, n = (np.array([c[i] for i in live], np.int64) for c in (keys, ids, starts, windows))
+        items = np.frombuffer(b"".join([codes[i] for i in live]), dtype)
         # Every window of every context, and where its codes begin.
+        size = n + m.width - 1
         row = np.repeat(np.arange(len(n)), n)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         place = (np.cumsum(size) - size)[row] + nth
-        again = m.judge(codes, place, key[row], doc[row], start[row] + nth)
+        again = m.judge(items, place, key[row], doc[row], start[row] + nth)
         at = np.flatnonzero(again)
         if not len(at):
             return done
         cut = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(row[at]) != 0)])
         head = at[cut]
         length = np.diff(np.concatenate([np.flatnonzero(cut), [len(at)]]))
-        found = pa.table(
-            {"id": doc[row[head]], "start": (start[row] + nth)[head].astype(np.int32), "windows": length.astype(np.int32)},
-            schema=done.schema,
-        )
-        return pa.concat_tables([done, found])
+        found = [doc[row[head]], (start[row] + nth)[head].astype(np.int32), length.astype(np.int32)]
+        return pa.concat_tables([done, pa.table(found, schema=schema)])
 
-    dealt = contexts.withColumn("task", F.pmod(F.xxhash64("key", F.when(F.col("codes").isNull(), F.col("id"))), F.lit(tasks)))
-    return dealt.groupBy("task").applyInArrow(run, "id long, start int, windows int")
+    return contexts.groupBy("task").applyInArrow(run, "id long, start int, windows int")
 
 
 def repeated_windows(docs: DataFrame, m: Method, dtype, frequent: int = FREQUENT, tasks: int | None = None) -> DataFrame:
@@ -253,9 +320,9 @@ def repeated_windows(docs: DataFrame, m: Method, dtype, frequent: int = FREQUENT
         F.collect_list(F.struct("value", (F.col("n") > frequent).alias("frequent"))).alias("cand")
     )
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    contexts = _contexts(docs.join(cand, "id"), m)
+    contexts = _contexts(docs.join(cand, "id"), m, tasks or max(1, total // CONTEXTS + 1))
     spans = (
-        _judged(contexts, m, tasks or max(1, total // CONTEXTS + 1), dtype)
+        _judged(contexts, m, dtype)
         .groupBy("id")
         .agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
     )
@@ -273,20 +340,26 @@ def covered(n: int, spans: list[dict] | None, width: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def sequence_ranks(codes: np.ndarray, width: int) -> np.ndarray:
-    """Rank of the ``width`` codes that start at each place, in lexical order,
-    by doubling; places nearer than ``width`` to the end rank by what is left."""
-    _, rank = np.unique(codes, return_inverse=True)
-    rank = rank.astype(np.int64) + 1
-    have = 1
+def sequence_ranks(codes: np.ndarray, width: int, place: np.ndarray) -> np.ndarray:
+    """Rank in lexical order of the ``width`` codes that start at each of the
+    places: codes are packed into 64 bits, then ranks are doubled in length.
+    Every place is followed by ``width`` codes."""
+    have = min(8 // codes.itemsize, width)
+    bits = _U(8 * codes.itemsize)
+    packed = np.zeros(len(codes), _U)
+    for j in range(have):
+        packed <<= bits
+        packed[: len(codes) - j] |= codes[j:].astype(_U)
     while have < width:
         step = min(have, width - have)
-        second = np.zeros(len(rank), np.int64)
-        second[: max(0, len(rank) - step)] = rank[step:]
-        _, both = np.unique((rank << 32) | second, return_inverse=True)
-        rank = both.astype(np.int64) + 1
+        rank = np.unique(packed, return_inverse=True)[1].astype(_U)
+        if have + step == width:
+            packed = (rank[place] << _U(32)) | rank[place + step]
+            return np.unique(packed, return_inverse=True)[1]
+        packed = rank << _U(32)
+        packed[: len(rank) - step] |= rank[step:] + _U(1)
         have += step
-    return rank
+    return np.unique(packed[place], return_inverse=True)[1]
 
 
 __all__ = ["Items", "Method", "covered", "repeated_windows", "run_hashes", "sequence_ranks"]

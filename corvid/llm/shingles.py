@@ -60,6 +60,22 @@ def span_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return mix(((sums[ends] - sums[starts]) * down[starts]) ^ mix((ends - starts).astype(_U) * _BASE))
 
 
+def gram_hashes(raw: bytes, k: int) -> np.ndarray:
+    """64-bit hashes of each ``k`` consecutive bytes (``span_hashes`` of one
+    length, by slices)."""
+    n = len(raw) - k + 1
+    if n <= 0:
+        return np.zeros(0, _U)
+    up, down = _powers(1 << max(12, len(raw).bit_length()))
+    sums = np.zeros(len(raw) + 1, _U)
+    np.cumsum(_byte_values()[np.frombuffer(raw, np.uint8)] * up[: len(raw)], out=sums[1:])
+    h = (sums[k:] - sums[:-k]) * down[:n]
+    h ^= h >> _U(29)
+    h *= _MIX[0]
+    h ^= h >> _U(32)
+    return h
+
+
 def run_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of each ``k`` consecutive items (``len - k + 1`` of them)."""
     n = len(hashes) - k + 1

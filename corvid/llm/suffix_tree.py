@@ -49,7 +49,7 @@ def _items(gram: int):
 def _judge(width: int):
     def judge(codes, place, key, doc, start):
         """A window is repeated when its node holds a smaller document."""
-        node = repeats.sequence_ranks(codes, width)[place]
+        node = repeats.sequence_ranks(codes, width, place)
         order = np.lexsort((doc, key, node))
         same = (np.diff(node[order]) == 0) & (np.diff(key[order]) == 0)
         head = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(order)), 0))
