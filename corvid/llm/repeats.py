@@ -38,7 +38,7 @@ from corvid.llm.shingles import mix, run_hashes
 _U = np.uint64
 LONGEST_RUN = 4096  # windows in one context
 FREQUENT = 20_000
-CONTEXTS = 40_000  # contexts in one group task
+CONTEXTS = 12_000  # repeated anchors in one group task
 
 
 @dataclass

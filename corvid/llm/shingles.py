@@ -31,8 +31,13 @@ def _byte_values() -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, for texts of up to ``n`` bytes."""
-    return once_a_process(("powers", n), lambda: _make_powers(n))
+    """Powers of the base and of its inverse, for texts of up to ``n`` bytes
+    (or more: one pair of arrays is kept, the longest asked for)."""
+    kept = once_a_process("powers", dict)
+    if kept.get("n", -1) < n:
+        kept.clear()
+        kept.update(n=n, pair=_make_powers(n))
+    return kept["pair"]
 
 
 def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +109,7 @@ class Words:
         self.first = np.searchsorted(self.starts, self.begin)
 
 
-def text_slices(texts: list[str | None], most: int = 1 << 21):
+def text_slices(texts: list[str | None], most: int = 1 << 20):
     """(from, to) ranges of texts with about ``most`` characters (or one text)."""
     at, size = 0, 0
     for i, t in enumerate(texts):
