@@ -24,6 +24,7 @@ from corvid.sources import document_lines, embedding_points, lineitem_points, tr
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+CORES = int(CPUS) if CPUS.isdigit() else (os.cpu_count() or 8)
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 K = 16
@@ -34,9 +35,9 @@ EMB_K, EMB_Z, EMB_L = 8, 10, 4
 
 
 def plans(spark):
-    lines = lambda: document_lines(spark, SF_DIR)
+    lines = lambda: document_lines(spark, SF_DIR, CORES)
     every = lambda: sales.sales_filtered(transactions(spark, SF_DIR), "all")
-    li = lambda: lineitem_points(spark, SF_DIR)
+    li = lambda: lineitem_points(spark, SF_DIR, CORES)
 
     return {
         "word_count": lambda: words.word_count(lines()),
@@ -55,7 +56,7 @@ def plans(spark):
         ),
         "objective_lineitem": lambda: kcenter.kcenter_report(li(), LI_K, LI_Z, LI_L, 2),
         "kcenter_outliers_embeddings": lambda: kcenter.kcenter_report(
-            embedding_points(spark, SF_DIR), EMB_K, EMB_Z, EMB_L, 2
+            embedding_points(spark, SF_DIR, CORES), EMB_K, EMB_Z, EMB_L, 2
         ),
     }
 
@@ -68,13 +69,15 @@ def run_once(make) -> float:
 
 def main() -> None:
     scratch = tempfile.mkdtemp(prefix="run-bench-", dir="/tmp")
-    cores = int(CPUS) if CPUS.isdigit() else (os.cpu_count() or 8)
-    spark = local_session(cpus=CPUS, shuffle_partitions=cores * 2, checkpoint_dir=f"{scratch}/ckpt")
+    spark = local_session(cpus=CPUS, shuffle_partitions=CORES * 2, checkpoint_dir=f"{scratch}/ckpt")
     results = {}
     for name, make in plans(spark).items():
         run_once(make)  # warm-up
         results[name] = round(statistics.median(run_once(make) for _ in range(RUNS)), 3)
         print(f"# {name}: {results[name]}s", file=sys.stderr)
+    count = lambda t: spark.read.parquet(f"{SF_DIR}/{t}.parquet").count()
+    rows = {"documents": count("documents"), "lineitem": count("lineitem"), "embeddings": count("embeddings")}
+    read = {n: rows["embeddings" if "embeddings" in n else "documents" if "word" in n else "lineitem"] for n in results}
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     out = {
         "metric": "total_median_sec",
@@ -82,6 +85,7 @@ def main() -> None:
         "unit": "sec",
         "queries": results,
         "sf": float(m.group(1)) if m else None,
+        "rows_per_sec": {n: round(read[n] / sec) for n, sec in results.items()},
         "cpus": CPUS,
         "runs": RUNS,
     }

@@ -38,13 +38,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dealt(df: DataFrame, partitions: int | None, key: str) -> DataFrame:
+    """``df`` dealt over that many partitions, where the caller asks for it (a
+    table stored as one row group scans in one task). Rows do not change."""
+    return df.repartition(partitions, key) if partitions else df
+
+
+def document_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """S1 over ``documents``: each text body is a small text file.
 
     -> ``doc_id: long, line_no: int, line: string``. A narrow projection:
     no shuffle, one output row per line.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), partitions, "doc_id")
     return docs.select("doc_id", F.posexplode(text_lines(F.col("text"))).alias("line_no", "line"))
 
 
@@ -80,15 +86,15 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def embedding_points(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Points from ``embeddings``: ``point_id = vec_id``, ``v`` as doubles."""
-    emb = table(spark, sf_dir, "embeddings")
+    emb = _dealt(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), partitions, "vec_id")
     return checked_points(
         emb.select(F.col("vec_id").alias("point_id"), F.col("embedding").cast("array<double>").alias("v"))
     )
 
 
-def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_points(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """4-d points from ``lineitem`` (quantity, price, discount, tax).
 
     The id is the row's key, ``l_orderkey * 8 + l_linenumber``. The generated
@@ -96,7 +102,7 @@ def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     their coordinates.
     """
     coords = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *coords)
+    li = _dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *coords), partitions, "l_orderkey")
     return checked_points(
         li.select(
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("point_id"),
