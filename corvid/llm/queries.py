@@ -79,6 +79,27 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.cut_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+OP4_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)
+), least AS (
+  SELECT s, min(doc_id) AS keeper FROM win GROUP BY s
+), gone AS (
+  SELECT DISTINCT doc_id, i + j AS p
+  FROM (SELECT doc_id, i, unnest(range(13)) AS j FROM win JOIN least USING (s) WHERE doc_id > keeper)
+), t AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w
+)
+SELECT w.doc_id, CAST(count(t.p) AS BIGINT) AS n_words, CAST(count(gone.p) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY t.p) FILTER (gone.p IS NULL), '')) AS kept_sha256
+FROM w LEFT JOIN t ON t.doc_id = w.doc_id LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.p = t.p
+GROUP BY w.doc_id
+"""
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame([(d,) for d in LISTED_DOMAINS], "key string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -129,6 +150,31 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), percent=85)
 
 
+# Bytes as pairs of hexadecimal digits.
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), win AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s
+  FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 99)) AS i FROM d)
+), copies AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM win) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + j AS p FROM (SELECT doc_id, i, unnest(range(100)) AS j FROM copies)
+), b AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(length(h) // 2)) AS p FROM d)
+), m AS (
+  SELECT b.doc_id, b.p, x, gone.p IS NOT NULL AS gone,
+         gone.p IS NOT NULL AND lag(gone.p) OVER (PARTITION BY b.doc_id ORDER BY b.p) IS NULL AS head
+  FROM b LEFT JOIN gone ON gone.doc_id = b.doc_id AND gone.p = b.p
+)
+SELECT d.doc_id, CAST(count(m.p) AS BIGINT) AS n_bytes, CAST(count(m.p) FILTER (gone) AS BIGINT) AS n_removed,
+       CAST(count(m.p) FILTER (head) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(string_agg(x, '' ORDER BY m.p) FILTER (NOT gone), ''))) AS kept_sha256
+FROM d LEFT JOIN m USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 # Fixed value: a conversation whose texts hold control strings of templates.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -176,4 +222,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op5_url_filter": OP5_SQL, "op10_chat_format": OP10_SQL}
+    return {
+        "op2_exact_dedup": OP2_SQL,
+        "op4_substring_dedup": OP4_SQL,
+        "op5_url_filter": OP5_SQL,
+        "op8_suffix_array_dedup": OP8_SQL,
+        "op10_chat_format": OP10_SQL,
+    }
