@@ -53,43 +53,48 @@ class WordTokenizer:
 
         self.lib = Tokenizer.from_file(path)
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        self.after_space: dict[str, bytes] = {}
+        self.marks = {m: self._whole(m) for m in ".,"}
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _learn(self, words: set[str]) -> set[str]:
+        """Put the ids of words that follow a space into ``after_space``;
+        returns those that cannot stand by themselves (empty ones and such as
+        begin with white space)."""
+        loose = {w for w in words if not w or w[0].isspace()}
+        # A letter run and a mark behind it are tokens of their own.
+        marked = {w for w in words if w[-1:] in self.marks and w[:-1].isalpha()}
+        plain = list((words - loose - marked) | {w[:-1] for w in marked}.difference(self.after_space))
+        found = self.lib.encode_batch_fast([" " + w for w in plain], add_special_tokens=False)
+        self.after_space.update((w, array("I", e.ids).tobytes()) for w, e in zip(plain, found, strict=True))
+        self.after_space.update((w, self.after_space[w[:-1]] + self.marks[w[-1]]) for w in marked)
+        return loose
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        cut = [self._words(t) for t in texts]
-        cache = self.cache
-        missing = list({w for ws in cut if ws for w in ws if w not in cache})
-        extra: dict[str, bytes] = {}
-        if missing:
-            found = self.lib.encode_batch_fast(missing, add_special_tokens=False)
-            got = {w: array("I", e.ids).tobytes() for w, e in zip(missing, found, strict=True)}
-            room = max(0, CACHE_WORDS - len(cache))
-            if room >= len(got):
-                cache.update(got)
+        cut = [None if any(s in t for s in self.special) else t.split(" ") for t in texts]
+        words: set[str] = set()
+        for ws in cut:
+            if ws:
+                words.update(ws[1:])
+        known = len(self.after_space)
+        loose = self._learn(words.difference(self.after_space))
+        take = self.after_space.__getitem__
+        out = []
+        for t, ws in zip(texts, cut, strict=True):
+            if not t:
+                out.append(b"")
+            elif ws is None or not ws[0] or (loose and not loose.isdisjoint(ws[1:])):
+                out.append(self._whole(t))
             else:
-                cache.update(list(got.items())[:room])
-                extra = got
-        if not extra:
-            take = cache.__getitem__
-        else:
-            take = lambda w: cache.get(w) or extra[w]
-        return [
-            self._whole(t) if ws is None else b"".join(map(take, ws)) for t, ws in zip(texts, cut, strict=True)
-        ]
-
-    def _words(self, text: str) -> list[str] | None:
-        if not text:
-            return []
-        if any(s in text for s in self.special):
-            return None
-        first, *rest = text.split(" ")
-        if not first or any(not w or w[0].isspace() for w in rest):
-            return None
-        return [first, *[" " + w for w in rest]]
+                out.append(self._whole(ws[0]) + b"".join(map(take, ws[1:])))
+        if len(self.after_space) > CACHE_WORDS:
+            # The newest go: a dict gives them back last first.
+            for _ in range(len(self.after_space) - max(known, CACHE_WORDS)):
+                self.after_space.popitem()
+        return out
 
 
 def tokenizer(path: str) -> WordTokenizer:
