@@ -36,7 +36,7 @@ from corvid.llm.common import parts_for, shared_dir, staged
 LONGEST = 200
 TABLES = 3
 CELLS = 8  # of each table of the published fingerprint
-SWEEPS = 6
+SWEEPS = 3
 ROOM = 1.6  # cells per digest when sketching larger
 BUCKET_DIGESTS = 1_000_000
 A, EDITED, NEXT = 0, 1, 2
@@ -181,9 +181,11 @@ def peel(cells: DataFrame, salt: int, sweeps: int = SWEEPS) -> DataFrame:
     )
 
 
-def _pair_keys(table: DataFrame) -> DataFrame:
+def _pair_keys(table: DataFrame, failed: DataFrame) -> DataFrame:
     """-> ``row, pair, key, sign, n``: the digests of both sides of each pair
-    (EDITED, NEXT); ``n`` is their number."""
+    (EDITED, NEXT) in ``failed``; ``n`` is their number. The join is by row
+    alone, so the table stays as it is bucketed."""
+    wanted = failed.groupBy("row").agg(F.collect_set("pair").alias("pairs"))
     side = lambda keys, sign: F.transform(
         keys, lambda k: F.struct(k.alias("key"), F.lit(sign).cast("long").alias("sign"))
     )
@@ -193,7 +195,9 @@ def _pair_keys(table: DataFrame) -> DataFrame:
         F.concat(side(F.col("own"), 1), side(F.col(name), -1)).alias("keys"),
     )
     return (
-        table.select("row", F.explode(F.array(pair("edited", EDITED), pair("next", NEXT))).alias("p"))
+        table.join(wanted, "row")
+        .select("row", "pairs", F.explode(F.array(pair("edited", EDITED), pair("next", NEXT))).alias("p"))
+        .filter(F.array_contains("pairs", F.col("p.pair")))
         .select("row", "p.pair", "p.n", F.explode("p.keys").alias("k"))
         .select("row", "pair", "n", "k.key", "k.sign")
     )
@@ -217,7 +221,7 @@ def differences(table: DataFrame, base: DataFrame, sweeps: int = SWEEPS) -> Data
         failed = tried.filter("left > 0").select("row", "pair")
         if failed.isEmpty():
             return done.drop("left")
-        keys = _pair_keys(table).join(failed, ["row", "pair"], "left_semi")
+        keys = _pair_keys(table, failed)
         width = (F.ceil(F.col("n") * room / TABLES) + 2).cast("int")
         tried = staged(
             peel(_cells(keys.withColumn("w", width), ["row", "pair"], salt).filter(NOT_EMPTY), salt, sweeps), "peeled"
@@ -225,8 +229,7 @@ def differences(table: DataFrame, base: DataFrame, sweeps: int = SWEEPS) -> Data
         done = done.unionByName(tried.filter("left = 0"))
     failed = tried.filter("left > 0").select("row", "pair")
     exact = (
-        _pair_keys(table)
-        .join(failed, ["row", "pair"], "left_semi")
+        _pair_keys(table, failed)
         .groupBy("row", "pair", "key")
         .agg(F.sum("sign").alias("s"))
         .groupBy("row", "pair")
@@ -270,7 +273,9 @@ def fingerprint_edits(
     )
     chars = docs.agg(F.coalesce(F.sum(F.length(text_col)), F.lit(0))).first()[0]
     buckets = parts_for(chars, 40 * BUCKET_DIGESTS / 2)
-    table = bucketed(edits, "row", max(8, buckets))
+    # No fewer buckets than shuffle partitions, or joins would deal them anew.
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = bucketed(edits, "row", max(least, buckets))
     sides = F.array(
         *[F.struct(F.lit(s).alias("side"), F.col(c).alias("keys")) for s, c in ((A, "own"), (EDITED, "edited"), (NEXT, "next"))]
     )
