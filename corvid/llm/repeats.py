@@ -345,9 +345,9 @@ def sequence_ranks(codes: np.ndarray, width: int, place: np.ndarray) -> np.ndarr
     places: codes are packed into 64 bits, then ranks are doubled in length.
     Every place is followed by ``width`` codes."""
     have = min(8 // codes.itemsize, width)
-    bits = _U(8 * codes.itemsize)
-    packed = np.zeros(len(codes), _U)
-    for j in range(have):
+    bits = _U(8 * codes.itemsize % 64)
+    packed = codes.astype(_U) if have == 1 else np.zeros(len(codes), _U)
+    for j in range(have if have > 1 else 0):
         packed <<= bits
         packed[: len(codes) - j] |= codes[j:].astype(_U)
     while have < width:

@@ -8,8 +8,8 @@ level, which is the group's suffix tree, one level per doubling of the depth;
 an internal node ``WIDTH`` words deep or more is a repeat, and its least
 document keeps the words.
 
-Words compare by 32-bit codes of their 64-bit hashes within windows that agree
-in the 64-bit hash of ``GRAM`` words.
+Words compare by their whole 64-bit hashes, each of the ``WIDTH`` by itself,
+within windows that agree in the 64-bit hash of ``GRAM`` words.
 
 Defined results: null text has no words; a document shorter than a window
 stays whole; repeats within one document stay; rows that repeat an id count as
@@ -33,7 +33,6 @@ from corvid.llm.shingles import Words, run_hashes, text_slices
 
 WIDTH = 13
 GRAM = 5
-_U = np.uint64
 
 
 def _items(gram: int):
@@ -41,7 +40,7 @@ def _items(gram: int):
         for a, b in text_slices(texts):
             w = Words(texts[a:b])
             first = np.append(w.first, len(w.hashes))[: b - a + 1]
-            yield a, b, repeats.Items((w.hashes >> _U(32)).astype(np.uint32), run_hashes(w.hashes, gram), first)
+            yield a, b, repeats.Items(w.hashes, run_hashes(w.hashes, gram), first)
 
     return items
 
@@ -80,7 +79,7 @@ def _kept(batch, width: int):
 
 def _with_spans(rows: DataFrame, width: int, gram: int, frequent: int, tasks: int | None) -> DataFrame:
     """``id, row`` with ``spans``; rows with a null id have none."""
-    found = repeats.repeated_windows(rows.filter("id is not null"), _method(width, gram), np.uint32, frequent, tasks)
+    found = repeats.repeated_windows(rows.filter("id is not null"), _method(width, gram), np.uint64, frequent, tasks)
     none = rows.filter("id is null").withColumn("spans", F.lit(None).cast("array<struct<start:int,windows:int>>"))
     return found.unionByName(none).select("id", "row", "spans")
 

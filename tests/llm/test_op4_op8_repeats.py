@@ -7,6 +7,7 @@ import pytest
 
 from cases import awkward, make_docs, sample
 from corvid.llm import lpf_dedup, repeats, suffix_tree
+from corvid.llm.shingles import Words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -72,6 +73,26 @@ def test_bytes_against_brute_force(spark, frequent, tasks):
     check_bytes(lpf_dedup.cut_copies(docs, frequent=frequent, tasks=tasks), rows, 100)
 
 
+def alike_words():
+    """Two words whose 64-bit hashes share their upper 32 bits."""
+    names = [f"id{k}" for k in range(400_000)]
+    upper = Words([" ".join(names)]).hashes >> np.uint64(32)
+    order = np.argsort(upper, kind="stable")
+    at = int(np.flatnonzero(np.diff(upper[order]) == 0)[0])
+    return names[order[at]], names[order[at + 1]]
+
+
+@pytest.mark.parametrize("frequent", [repeats.FREQUENT, 1])
+def test_words_that_share_half_a_hash_are_different(spark, frequent):
+    a, b = alike_words()
+    rows = []
+    for k in range(12):  # in some of these the anchor does not hold the word
+        template = [f"t{k}x{j}" for j in range(12)]
+        rows += [(2 * k + n, " ".join([*template, w])) for n, w in enumerate((a, b))]
+    docs = make_docs(spark, [t for _, t in rows])
+    check_words(suffix_tree.cut_repeats(docs, frequent=frequent), rows, 13)
+
+
 def test_tables_sample(spark):
     rows = sample()
     docs = make_docs(spark, [t for _, t in rows], [i for i, _ in rows])
