@@ -10,12 +10,15 @@ item.
    frequent one); values that occur once cannot lie in a repeated window.
 2. Runs of windows with a repeated value become contexts, the items from the
    first window's start to the last one's end. Within a task, of contexts with
-   equal items only the earliest goes on: the others are repeats for certain.
-   So a passage that a third of all documents share is one row per task.
+   equal items only the earliest goes on to be compared: the others are repeats
+   for certain and are dealt in small lots by document, not by key. So of a passage
+   that a third of all documents share, each task that reads documents sends
+   its key's group a context or, where ids do not ascend, a few.
    Values that occur more than ``frequent`` times send every window by itself,
    keyed by all its items: a group then holds equal windows only.
 3. Contexts are grouped by key; the operator orders each group's windows and
-   tells which have an earlier equal (``judge``).
+   tells which have an earlier equal (``judge``). Of equal contexts a group
+   keeps the earliest as it unpacks them, and numbers alone of the others.
 4. Repeated windows return to their documents, which remove what they cover.
 
 Steps 2 and 4 read the documents dealt by id; Spark reuses that exchange.
@@ -39,6 +42,7 @@ _U = np.uint64
 LONGEST_RUN = 4096  # windows in one context
 FREQUENT = 20_000
 CONTEXTS = 12_000  # repeated anchors in one group task
+TOGETHER = 1_000  # contexts without codes that are dealt to one task
 
 
 @dataclass
@@ -146,15 +150,19 @@ def _packed(keys: np.ndarray, ids: np.ndarray, starts: np.ndarray, windows: np.n
 
 
 def _unpacked(packed: bytes, width: int, itemsize: int) -> tuple:
-    """(keys, ids, starts, windows, codes) of a packed string, as lists."""
+    """(keys, ids, starts, windows, codes) of the contexts with codes in a
+    packed string, as lists, and (ids, starts, windows) of the others."""
     n, size = np.frombuffer(packed[:16], np.int64).tolist()
     raw = pa.Codec("zstd").decompress(packed[16:], size, asbytes=True)
     keys, ids = (np.frombuffer(raw, np.int64, n, 8 * n * k) for k in (0, 1))
     starts, counts = (np.frombuffer(raw, np.int32, n, 16 * n + 4 * n * k) for k in (0, 1))
-    ends = np.cumsum(np.where(counts > 0, (counts + width - 1) * itemsize, 0)) + 24 * n
-    begin = np.concatenate([[24 * n], ends[:-1]])
-    codes = [raw[a:b] if b > a else None for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
-    return keys.tolist(), ids.tolist(), starts.tolist(), np.abs(counts).tolist(), codes
+    live = counts > 0
+    known = [ids[~live], starts[~live], -counts[~live]]
+    keys, ids, starts, counts = (c[live] for c in (keys, ids, starts, counts))
+    ends = np.cumsum((counts.astype(np.int64) + width - 1) * itemsize) + 24 * n
+    begin = np.concatenate([[24 * n], ends])[:-1]
+    codes = [raw[a:b] for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
+    return keys.tolist(), ids.tolist(), starts.tolist(), counts.tolist(), codes, known
 
 
 def _runs(least: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,9 +185,12 @@ def _shortened(at: np.ndarray, size: np.ndarray, most: int) -> tuple[np.ndarray,
 def _contexts(rows: DataFrame, m: Method, tasks: int) -> DataFrame:
     """``id, row, cand`` (repeated values: value, frequent), by id -> contexts,
     packed by the task that compares their keys. A context without codes is
-    already known to be repeated; any task can take it."""
+    already known to be repeated; its task follows the document and place of the
+    first of at most ``TOGETHER``, so that a key's repeats spread. What repeats in a batch is remembered for the
+    task's next ones."""
 
     def run(batches):
+        before: dict[tuple, tuple[int, int]] = {}
         for batch in batches:
             order = np.argsort(batch.column(0).to_numpy(), kind="stable")
             batch = batch.take(pa.array(order))
@@ -187,6 +198,7 @@ def _contexts(rows: DataFrame, m: Method, tasks: int) -> DataFrame:
             cand = batch.column(2).to_pylist()
             texts = text_of(batch.column(1)).to_pylist()
             seen: dict[tuple, tuple[int, int]] = {}
+            again: set[tuple] = set()
             out: list[tuple] = []
             for a, b, items in m.items(texts):
                 least, owner = least_grams(items, m.width, m.gram)
@@ -222,14 +234,25 @@ def _contexts(rows: DataFrame, m: Method, tasks: int) -> DataFrame:
                     doc = int(ids[t + a])
                     # Texts come by id and position, so what was seen is earlier,
                     # but for rows that repeat an id.
-                    first = seen.setdefault((k, codes), (doc, s - f))
+                    here = (doc, s - f)
+                    first = seen.setdefault((k, codes), here)
+                    if first is not here:
+                        again.add((k, codes))
+                    first = min(first, before.get((k, codes), first))
                     known = first[0] != doc or (m.inside and first[1] < s - f)
                     out.append((k, doc, s - f, n, None if known else codes))
+            for c in again | (before.keys() & seen.keys()):
+                before[c] = min(seen[c], before.get(c, seen[c]))
             if not out:
                 continue
             key, doc, start, windows, codes = zip(*out, strict=True)
             key, doc, start, windows = (np.array(c, np.int64) for c in (key, doc, start, windows))
-            task = (mix(key.view(_U)) % _U(tasks)).astype(np.int32)
+            known = np.array([c is None for c in codes])
+            at = np.flatnonzero(known)
+            lead = at[np.arange(len(at)) // TOGETHER * TOGETHER]
+            by = key.view(_U).copy()
+            by[at] = mix(doc[lead].view(_U)) + start[lead].view(_U)
+            task = (mix(by) % _U(tasks)).astype(np.int32)
             order = np.argsort(task, kind="stable")
             cuts = np.flatnonzero(np.diff(task[order])) + 1
             groups = np.split(order, cuts)
@@ -249,9 +272,6 @@ def _collapsed(keys: list, ids: list, starts: list, windows: list, codes: list,
     first: dict[tuple, int] = {}
     known, go_on = [], []
     for i in sorted(range(len(keys)), key=lambda i: (ids[i], starts[i])):
-        if codes[i] is None:
-            known.append(i)
-            continue
         j = first.setdefault((keys[i], codes[i]), i)
         if j == i:
             go_on.append(i)
@@ -278,12 +298,31 @@ def _judged(contexts: DataFrame, m: Method, dtype) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         lists: list[list] = [[], [], [], [], []]
-        for packed in table["packed"].to_pylist():
-            for into, more in zip(lists, _unpacked(packed, m.width, np.dtype(dtype).itemsize), strict=True):
-                into.extend(more)
+        numbers: list[list] = [[], [], []]
+        held: dict[tuple, int] = {}  # place in the lists of the earliest of equal contexts
+        for packed in table["packed"]:
+            *more, gone = _unpacked(packed.as_py(), m.width, np.dtype(dtype).itemsize)
+            for into, column in zip(numbers, gone, strict=True):
+                into.append(column)
+            late: list[tuple[int, int, int]] = []
+            for context in zip(*more, strict=True):
+                key, doc, start, n, codes = context
+                j = held.setdefault((key, codes), len(lists[0]))
+                if j < len(lists[0]) and lists[1][j] != doc:
+                    earlier = (lists[1][j], lists[2][j])
+                    late.append((max(doc, earlier[0]), start if doc > earlier[0] else earlier[1], n))
+                    if doc < earlier[0]:
+                        lists[1][j], lists[2][j] = doc, start
+                    continue
+                for into, value in zip(lists, context, strict=True):
+                    into.append(value)
+            for into, k in zip(numbers, range(3), strict=True):
+                into.append(np.array([x[k] for x in late], np.int64))
         keys, ids, starts, windows, codes = lists
         known, live = _collapsed(keys, ids, starts, windows, codes, m)
-        done = pa.table([[ids[i] for i in known], [starts[i] for i in known], [windows[i] for i in known]], schema=schema)
+        for into, column in zip(numbers, (ids, starts, windows), strict=True):
+            into.append(np.array([column[i] for i in known], np.int64))
+        done = pa.table([pa.array(np.concatenate(c).astype(f.type.to_pandas_dtype())) for c, f in zip(numbers, schema, strict=True)], schema=schema)
         if not live:
             return done
         key, doc, start, n = (np.array([c[i] for i in live], np.int64) for c in (keys, ids, starts, windows))
@@ -320,7 +359,9 @@ def repeated_windows(docs: DataFrame, m: Method, dtype, frequent: int = FREQUENT
         F.collect_list(F.struct("value", (F.col("n") > frequent).alias("frequent"))).alias("cand")
     )
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    contexts = _contexts(docs.join(cand, "id"), m, tasks or max(1, total // CONTEXTS + 1))
+    # Sorted, a task run again sends the same contexts (the join mostly sorts).
+    rows = docs.join(cand, "id").sortWithinPartitions("id")
+    contexts = _contexts(rows, m, tasks or max(1, total // CONTEXTS + 1))
     spans = (
         _judged(contexts, m, dtype)
         .groupBy("id")

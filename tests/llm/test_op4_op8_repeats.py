@@ -93,6 +93,48 @@ def test_words_that_share_half_a_hash_are_different(spark, frequent):
     check_words(suffix_tree.cut_repeats(docs, frequent=frequent), rows, 13)
 
 
+@pytest.mark.parametrize(("module", "dtype"), [(suffix_tree, np.uint64), (lpf_dedup, np.uint8)])
+def test_a_shared_passage_is_no_hot_task(spark, module, dtype, monkeypatch):
+    """Each document has one passage: its repeats spread over all tasks, and a
+    key has contexts with items from few batches only."""
+    method = module._method(13, 5) if module is suffix_tree else repeats.Method(100, 20, module._items(20), True, None)
+    passage = " ".join(f"passage{k}" for k in range(40))
+    values = next(method.items([passage]))[2]
+    cand = [{"value": int(v), "frequent": True} for v in repeats.anchors(values, method.width, method.gram)[1].view(np.int64)]
+    n = 3000
+    rows = spark.createDataFrame(
+        [(i, (passage,), cand) for i in range(n)],
+        "id long, row struct<text:string>, cand array<struct<value:long,frequent:boolean>>",
+    ).coalesce(1)
+    monkeypatch.setattr(repeats, "TOGETHER", 100, raising=False)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 500)
+    try:
+        packs = repeats._contexts(rows, method, 20).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    size = [0] * 20
+    for p in packs:
+        size[p["task"]] += int.from_bytes(p["packed"][:8], "little")
+    windows = len(values.codes) - method.width + 1
+    assert sum(size) == n * windows and max(size) < 2 * sum(size) / 20
+    keys = [k for p in packs for k in repeats._unpacked(p["packed"], method.width, np.dtype(dtype).itemsize)[0]]
+    assert len(keys) == len(set(keys)) == windows
+
+
+@pytest.mark.parametrize("batch", [1, 7])
+def test_small_batches_in_any_order(spark, batch):
+    rows = cases() + [(100 + i, t) for i, t in cases()]
+    r = random.Random(8)
+    r.shuffle(rows)
+    docs = make_docs(spark, [t for _, t in rows], [i for i, _ in rows], partitions=1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        check_words(suffix_tree.cut_repeats(docs, frequent=2, tasks=5), sorted(rows), 13)
+        check_bytes(lpf_dedup.cut_copies(docs, frequent=2, tasks=5), sorted(rows), 100)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_tables_sample(spark):
     rows = sample()
     docs = make_docs(spark, [t for _, t in rows], [i for i, _ in rows])
