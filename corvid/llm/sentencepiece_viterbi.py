@@ -6,9 +6,13 @@ there (longest first), and each relaxes the best score of that position. A
 character that no piece covers costs ``least score - 10`` and falls back to
 its UTF-8 bytes. Ties go to the earlier start, that is the longer last piece.
 
+That is the encoding of a unigram model. The scores of a BPE model are the
+ranks of its merges, not costs to be summed: there (``MergeModel``) the ids are
+those of the merges in their order, as the library's ``encode`` gives them.
+
 When no piece holds a space mark after another character (checked when the
-model is loaded), no piece spans a word start, so the best path of a text is
-the concatenation of the best paths of its words; each task then solves a
+model is loaded), no piece spans a word start, so the encoding of a text is
+the concatenation of the encodings of its words; each task then solves a
 distinct word once and keeps at most ``CACHE_WORDS`` of them. Otherwise texts
 are solved whole.
 
@@ -25,6 +29,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 400_000
 CHUNK_CHARS = 1 << 22
+SHORT = 40  # characters of words whose merges need no heap
 
 
 class PieceModel:
@@ -118,11 +124,13 @@ class PieceModel:
         out.reverse()
         return out
 
+    solve = viterbi
+
     def _packed(self, word: str) -> bytes:
         """The word's ids as 32-bit integers, solved once while it is kept."""
         found = self.cache.get(word)
         if found is None:
-            found = array("i", self.viterbi(word)).tobytes()
+            found = array("i", self.solve(word)).tobytes()
             if len(self.cache) < CACHE_WORDS:
                 self.cache[word] = found
         return found
@@ -133,7 +141,7 @@ class PieceModel:
         if not norm:
             return b""
         if not self.by_word:
-            return array("i", self.viterbi(norm)).tobytes()
+            return array("i", self.solve(norm)).tobytes()
         return b"".join(map(self._packed, re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", norm)))
 
     def decode(self, ids) -> str:
@@ -142,8 +150,113 @@ class PieceModel:
         return out[1:] if self.dummy_prefix and out.startswith(" ") else out
 
 
+class MergeModel(PieceModel):
+    """A BPE model: neighbours whose join is a piece are merged, best score
+    first and the leftmost of equals, until none are left. User-defined pieces
+    stand from the start and are not merged; pieces marked unused are taken
+    apart again."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        proto = _proto(self.lib)
+        joined = [i for i, p in enumerate(proto.pieces) if p.type in (p.NORMAL, p.USER_DEFINED, p.UNUSED)]
+        self.price = {self.pieces[i]: -self.lib.get_score(i) for i in joined}
+        self.ids = {self.pieces[i]: i for i in joined}
+        self.unused = {p.piece for p in proto.pieces if p.type == p.UNUSED}
+        own = sorted((p.piece for p in proto.pieces if p.type == p.USER_DEFINED), key=len, reverse=True)
+        self.whole = frozenset(own)
+        self.begin = re.compile("|".join([*map(re.escape, own), "."]), re.DOTALL).findall if own else list
+        self.by_word = self.by_word and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.unused)
+
+    def solve(self, text: str) -> list[int]:
+        """Ids of the normalised ``text``."""
+        if len(text) <= SHORT and not self.whole and not self.unused:
+            return self._ids(self._short(text), {})
+        return self._ids(*self._long(text))
+
+    def _short(self, text: str) -> list[str]:
+        """The merged parts, by looking through all neighbours each time."""
+        price, none = self.price, np.inf
+        parts = list(text)
+        costs = [price.get(a + b, none) for a, b in zip(parts, parts[1:])]  # noqa: B905
+        while costs and (least := min(costs)) < none:
+            i = costs.index(least)
+            parts[i] += parts.pop(i + 1)
+            del costs[i]
+            if i < len(costs):
+                costs[i] = price.get(parts[i] + parts[i + 1], none)
+            if i:
+                costs[i - 1] = price.get(parts[i - 1] + parts[i], none)
+        return parts
+
+    def _long(self, text: str) -> tuple[list[str], dict[str, tuple[str, str]]]:
+        """The merged parts, by a heap of neighbours; unused pieces, and what
+        they were made of."""
+        price, whole = self.price, self.whole
+        parts = self.begin(text)
+        n = len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple] = []
+        made: dict[str, tuple[str, str]] = {}
+
+        def offer(i: int, j: int) -> None:
+            a, b = parts[i], parts[j]
+            if whole and (a in whole or b in whole):
+                return
+            cost = price.get(a + b)
+            if cost is not None:
+                heappush(heap, (cost, i, j, len(a) + len(b)))
+                if a + b in self.unused:
+                    made[a + b] = (a, b)
+
+        for i in range(n - 1):
+            offer(i, i + 1)
+        while heap:
+            _, i, j, size = heappop(heap)
+            if not parts[i] or not parts[j] or len(parts[i]) + len(parts[j]) != size:
+                continue
+            parts[i] += parts[j]
+            parts[j] = ""
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                offer(i, k)
+            if before[i] >= 0:
+                offer(before[i], i)
+        return [p for p in parts if p], made
+
+    def _ids(self, parts: list[str], made: dict[str, tuple[str, str]]) -> list[int]:
+        out: list[int] = []
+        rest = parts[::-1]
+        while rest:
+            p = rest.pop()
+            if p in made:
+                rest.extend(reversed(made[p]))
+            elif p in self.ids:
+                out.append(self.ids[p])
+            elif self.has_bytes:
+                out.extend(self.byte_id[b] for b in p.encode())
+            elif not out or out[-1] != self.unknown_id:
+                out.append(self.unknown_id)
+        return out
+
+
+def _proto(lib):
+    from sentencepiece import sentencepiece_model_pb2
+
+    return sentencepiece_model_pb2.ModelProto.FromString(lib.serialized_model_proto())
+
+
+def _load(path: str) -> PieceModel:
+    import sentencepiece
+
+    spec = _proto(sentencepiece.SentencePieceProcessor(model_file=path)).trainer_spec
+    return MergeModel(path) if spec.model_type == spec.BPE else PieceModel(path)
+
+
 def model(path: str) -> PieceModel:
-    return once_a_process(("pieces", path), lambda: PieceModel(path))
+    """The model of a file, encoding as its type says."""
+    return once_a_process(("pieces", path), lambda: _load(path))
 
 
 def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:

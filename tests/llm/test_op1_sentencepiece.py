@@ -82,3 +82,35 @@ def test_marks_nulls_and_empty_tables(spark, path):
     assert sp.decode(sp.encode(make_docs(spark, []), path), path).count() == 0
     df = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert sp.decode(df, path).first()["decoded"] == ""
+
+
+def test_ids_of_the_shipped_model_are_its_own(spark, path):
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = [t for _, t in sample() if t] + [t for t in awkward() if t]
+    texts += ["\x00", "  a ", "▁▁a ▁", "<0x41> <s> </s> <unk>", "ab" * 3000, "日本語" * 2000, "x\ny\tz  🎉e\u0301"]
+    rows = sp.encode(make_docs(spark, texts), path).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r["ids"] == lib.encode(texts[r["doc_id"]]), r["text"][:80]
+
+
+@pytest.mark.parametrize("byte_fallback", [True, False])
+def test_merges_with_user_defined_and_unused_pieces(path, tmp_path, byte_fallback):
+    m = pb.ModelProto()
+    with open(path, "rb") as f:
+        m.ParseFromString(f.read())
+    m.trainer_spec.byte_fallback = byte_fallback
+    if not byte_fallback:
+        kept = [p for p in m.pieces if p.type != p.BYTE]
+        del m.pieces[:]
+        m.pieces.extend(kept)
+    words = [p for p in m.pieces if p.type == p.NORMAL and len(p.piece) > 3]
+    for p in words[::3]:
+        p.type = p.UNUSED
+    for p in words[1::50]:
+        p.type = p.USER_DEFINED
+    out = tmp_path / "marked.model"
+    out.write_bytes(m.SerializeToString())
+    got, lib = sp.model(str(out)), sentencepiece.SentencePieceProcessor(model_file=str(out))
+    for t in [t[:2000] for _, t in sample() if t] + [t[:2000] for t in awkward() if t] + ["日本語🎉🎉 x"]:
+        assert ids(got, t) == lib.encode(t), t[:80]
