@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from corvid.llm import (
     chat_format,
+    cutting_stock,
+    divergence,
     exact_dedup,
+    filter_audit,
     fingerprints,
     lpf_dedup,
     near_dedup,
@@ -206,6 +209,102 @@ FROM c GROUP BY conv_id
 """
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.diverging(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents
+), t AS (
+  SELECT lang, source, doc, unnest(regexp_extract_all(low, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), l AS (
+  SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY lang
+), n AS (
+  SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term
+), g AS (
+  SELECT lang, source, coalesce((SELECT sum(n) FROM n WHERE n.lang = s.lang AND n.source = s.source), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) s
+), p AS (
+  SELECT lang, source, term, coalesce(n.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(n.n, 0) + 2) // (total + 2 * v) AS p,
+         1 + 1000000000::HUGEINT * (lang_n + 2) // (lang_total + 2 * v) AS q
+  FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN n USING (lang, source, term)
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), m AS (
+  SELECT doc_id, part, CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM d
+), w AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), c AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m LEFT JOIN w USING (doc_id) GROUP BY part, mask
+), s AS (
+  SELECT part, sub, coalesce(sum(n) FILTER (mask & sub = 0), 0) AS n, coalesce(sum(good) FILTER (mask & sub = 0), 0) AS good,
+         coalesce(sum(toxic) FILTER (mask & sub = 0), 0) AS toxic
+  FROM c, (SELECT unnest(range(32)) AS sub) GROUP BY part, sub
+), f AS (
+  SELECT 1 << i AS bit, chr(65 + i) AS name FROM (SELECT unnest(range(5))::INTEGER AS i)
+), orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, list_sum(bits[1:step]) AS after
+  FROM (SELECT filter_order, bits, unnest(range(1, 6))::INTEGER AS step FROM orders)
+), facts AS (
+  SELECT part, bit, sum(CASE WHEN mask & bit <> 0 THEN n ELSE 0 END) AS fails, sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS alone
+  FROM c, f GROUP BY part, bit
+), r AS (
+  SELECT y.part, filter_order, step, bit, y.n AS kept, x.n - y.n AS removed, fails - (x.n - y.n) AS redundant,
+         alone, x.good - y.good AS good_lost, x.toxic - y.toxic AS toxic_lost
+  FROM steps JOIN s y ON y.sub = after JOIN s x ON x.sub = after - bit AND x.part = y.part JOIN facts USING (bit)
+  WHERE facts.part = y.part
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(alone AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+def op13_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutting_stock.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -218,6 +317,9 @@ def queries() -> dict[str, Query]:
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_chat_format": op10_chat_format,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_cutting_stock": op13_cutting_stock,
     }
 
 
@@ -228,4 +330,6 @@ def oracles() -> dict[str, str]:
         "op5_url_filter": OP5_SQL,
         "op8_suffix_array_dedup": OP8_SQL,
         "op10_chat_format": OP10_SQL,
+        "op11_source_divergence": OP11_SQL,
+        "op12_filter_audit": OP12_SQL,
     }
