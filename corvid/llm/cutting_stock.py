@@ -12,12 +12,13 @@ solved again.
 
 Pieces are ranked within their class (a class is dealt to buckets by hash and
 the buckets' ranks are offset, so no class is one task), and each pattern takes
-the next ranks of its classes. What rounding leaves (bounded by the number of
-classes, not by the table) is laid end to end and cut at the capacity; its last
-sequence is cut into powers of two, which need no padding.
+the next ranks of its classes. Pieces that no pattern of little room takes (what
+rounding leaves, or lengths that do not combine) are laid end to end, bucket by
+bucket, and cut at the capacity; a bucket's last sequence is cut into powers of
+two, which need no padding.
 
-Ids are not shuffled: pieces carry lengths and checksums. Only documents of the
-rounding rest are read and encoded again for the checksums of their cuts.
+Ids are not shuffled: pieces carry lengths and checksums. Only the documents
+cut that way are read and encoded again, for the checksums of their cuts.
 
 Defined results: null and empty texts are the end id alone; repeated rows are
 documents of their own (rows equal in id, length and checksum are alike); null
@@ -30,6 +31,8 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -42,10 +45,12 @@ from corvid.llm.word_ids import WordIds
 
 END_ID = 1
 CAPACITY = 2048
-WIDTH = 4
+WIDTH = 2
+SPARE = 12  # patterns leave no more room: what else is left is cut
 BUCKET_ROWS = 100_000
 ROUNDS = 6
-GAP = 0.0005  # the linear program ends this close to its bound
+GAP = 0.0005  # the linear program ends this close to its bound, or after
+STEPS = 4  # pivots per class
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -106,15 +111,44 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[floa
     return float(best[capacity]), copies
 
 
+def first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(patterns as columns, their multiples): each pattern is filled with the
+    largest classes that are left and used until one of them is out. No later
+    pattern has that class, so the matrix is triangular up to order."""
+    left, columns, times = demand.astype(float), [], []
+    open_ = np.ones(len(sizes), bool)
+    while open_.any():
+        pattern, room = np.zeros(len(sizes), np.int64), capacity
+        have = np.flatnonzero(open_)
+        while room:
+            fit = np.searchsorted(sizes[have], room, side="right")
+            if not fit:
+                break
+            take = have[fit - 1]
+            copies = room // int(sizes[take])
+            pattern[take] += copies
+            room -= copies * int(sizes[take])
+            have = have[: fit - 1]
+        uses = np.flatnonzero(pattern)
+        ratio = left[uses] / pattern[uses]
+        out = uses[int(ratio.argmin())]
+        times.append(ratio.min())
+        left = np.maximum(left - ratio.min() * pattern, 0)
+        left[out], open_[out] = 0, False
+        columns.append(pattern)
+    return np.array(columns).T.astype(float), np.array(times)
+
+
 def generate(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, float]:
     """(patterns as columns, their multiples, lower bound of the number of
     sequences) of the linear program's solution over sizes that rise."""
     m = len(sizes)
-    basis = np.diag(capacity // sizes).astype(float)
-    inverse = np.diag(1.0 / (capacity // sizes))
-    x = demand / (capacity // sizes)
-    bound = 0.0
-    for step in range(20 * m + 100):
+    basis, x = first_basis(sizes, demand, capacity)
+    inverse = np.linalg.inv(basis)
+    bound = float(sizes @ demand) / capacity
+    if x.sum() <= bound * (1 + GAP):
+        return basis.astype(np.int64), x, bound
+    for step in range(STEPS * m):
         prices = inverse.sum(axis=0)
         value, pattern = knapsack(np.maximum(prices, 0), sizes, capacity)
         bound = max(bound, float(prices.clip(0) @ demand) / max(value, 1.0))
@@ -138,50 +172,49 @@ def generate(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.n
     return basis.astype(np.int64), x, bound
 
 
-def patterns_for(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """(pattern, times) with whole times; no class is used beyond its demand."""
+def patterns_for(sizes: np.ndarray, demand: np.ndarray, capacity: int, spare: int) -> list[tuple[np.ndarray, int]]:
+    """(pattern, times) with whole times; no class is used beyond its demand
+    and no pattern leaves more than ``spare`` room."""
     left, chosen = demand.astype(np.int64).copy(), []
     for _ in range(ROUNDS):
         have = np.flatnonzero(left)
         if not len(have):
             break
         basis, x, _ = generate(sizes[have], left[have].astype(float), capacity)
-        made = False
-        fraction = x - np.floor(x)
-        for k in np.argsort(-fraction, kind="stable"):
-            pattern = np.zeros_like(left)
-            pattern[have] = basis[:, k]
-            uses = pattern > 0
-            times = int(min(np.floor(x[k] + 1e-9), (left[uses] // pattern[uses]).min()))
-            if times:
-                left -= times * pattern
-                chosen.append((pattern, times))
-                made = True
-        for k in np.argsort(-fraction, kind="stable"):
-            pattern = np.zeros_like(left)
-            pattern[have] = basis[:, k]
-            # A pattern goes once more where it leaves less room than a class is wide.
-            if fraction[k] > 0 and (pattern <= left).all() and capacity - int(pattern @ sizes) == 0:
-                left -= pattern
-                chosen.append((pattern, 1))
-                made = True
-        if not made:
+        good = np.flatnonzero(capacity - sizes[have] @ basis <= spare)
+        good = good[np.argsort(np.floor(x[good]) - x[good], kind="stable")]
+        before = len(chosen)
+        for once_more in (False, True):  # whole multiples, then what is left of them
+            for k in good.tolist():
+                pattern = np.zeros_like(left)
+                pattern[have] = basis[:, k]
+                uses = pattern > 0
+                wish = 1 if once_more else int(np.floor(x[k] + 1e-9))
+                times = min(wish, int((left[uses] // pattern[uses]).min()))
+                if times:
+                    left -= times * pattern
+                    chosen.append((pattern, times))
+        if len(chosen) == before:
             break
     return chosen
 
 
-def _plan(chosen: list[tuple[np.ndarray, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(class, first rank, last rank + 1, pieces a sequence, first sequence):
-    each pattern takes the next ranks of its classes."""
-    taken: dict[int, int] = {}
+PLAN = "kind int, low long, high long, each long, sequence long"
+NO_RANK = 2**62
+
+
+def _plan(kinds: list[int], chosen: list[tuple[np.ndarray, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Rows of ``PLAN``: the ranks of a class that a pattern takes, pieces in a
+    sequence and the pattern's first sequence; -1 for the ranks left over."""
+    taken = [0] * len(kinds)
     rows, sequence = [], 0
     for pattern, times in chosen:
         for c in np.flatnonzero(pattern).tolist():
-            first, each = taken.get(c, 0), int(pattern[c])
+            first, each = taken[c], int(pattern[c])
             taken[c] = first + each * times
-            rows.append((c, first, taken[c], each, sequence))
+            rows.append((kinds[c], first, taken[c], each, sequence))
         sequence += times
-    return rows
+    return rows + [(kind, t, NO_RANK, 1, -1) for kind, t in zip(kinds, taken, strict=True)]
 
 
 def tail_cuts(total: int, capacity: int) -> list[int]:
@@ -193,13 +226,14 @@ def tail_cuts(total: int, capacity: int) -> list[int]:
 CUTS = "row long, at long, length long, sequence_id long, offset long"
 
 
-def _lay(first: int, capacity: int):
-    """The rounding rest end to end, cut where sequences end."""
+def _lay(capacity: int):
+    """Pieces end to end, cut where sequences end."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "row"], ascending=[False, True])
         ends = np.cumsum(pdf["length"].to_numpy())
         walls = np.cumsum(tail_cuts(int(ends[-1]), capacity))
+        first = (int(pdf["bucket"].iloc[0]) + 1) << 40  # beyond the patterns' numbers
         rows, s, at = [], 0, 0
         for row, end in zip(pdf["row"].tolist(), ends.tolist(), strict=True):
             begin = at
@@ -214,75 +248,65 @@ def _lay(first: int, capacity: int):
     return run
 
 
-OUTPUT = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+PIECE_COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+OUTPUT = (*PIECE_COLUMNS, "sequence_id", "offset")
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, width: int = WIDTH) -> DataFrame:
+def pack(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, width: int = WIDTH, spare: int = SPARE
+) -> DataFrame:
     """-> one row a piece: ``OUTPUT``."""
-    spark = docs.sparkSession
     cut = _encoded(docs, path, capacity, end_id)
     pieces = staged(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    zero = F.lit(0).cast("long")
     full = pieces.filter(F.col("length") == capacity).select(
-        *PIECE_COLUMNS, (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *PIECE_COLUMNS, (-1 - F.col("row")).alias("sequence_id"), zero.alias("offset")
     )
-    kind = F.ceil(F.col("length") / F.lit(width)).cast("int")
-    rests = pieces.filter(F.col("length") < capacity).withColumn("kind", kind)
+    rests = pieces.filter(F.col("length") < capacity).withColumn("kind", F.ceil(F.col("length") / F.lit(width)).cast("int"))
 
     histogram = {r["kind"]: r["n"] for r in rests.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-    kinds = np.array(sorted(histogram), np.int64)
-    demand = np.array([histogram[k] for k in kinds.tolist()], np.int64)
-    chosen = patterns_for(kinds, demand, capacity // width) if len(kinds) else []
-    rows = [(int(kinds[c]), *rest) for c, *rest in _plan(chosen)]
-    plan = spark.createDataFrame(rows, "kind int, low long, high long, each long, sequence long")
-
-    buckets = int(max(1, -(-int(demand.sum()) // BUCKET_ROWS)))
+    if not histogram:
+        return full
+    kinds = sorted(histogram)
+    demand = np.array([histogram[k] for k in kinds], np.int64)
+    chosen = patterns_for(np.array(kinds, np.int64), demand, capacity // width, spare // width)
+    # Some rows a class, whatever the table's size.
+    plan = docs.sparkSession.createDataFrame(_plan(kinds, chosen), PLAN)
+
+    buckets = int(-(-demand.sum() // BUCKET_ROWS))
     dealt = rests.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int"))
     before = Window.partitionBy("kind").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = dealt.groupBy("kind", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    offsets = sizes.select("kind", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
+    offsets = sizes.select("kind", "bucket", F.coalesce(F.sum("n").over(before), zero).alias("skip"))
     place = F.row_number().over(Window.partitionBy("kind", "bucket").orderBy("row")) - 1
     ranked = dealt.withColumn("place", place).join(offsets, ["kind", "bucket"]).withColumn("rank", F.col("skip") + F.col("place"))
-
-    # The plan has some rows a class, whatever the table's size.
-    taken = ranked.join(F.broadcast(plan), "kind", "left").filter(
-        F.col("low").isNull() | ((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
-    )
-    nth = F.expr("(rank - low) div each")
-    in_sequence = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "row")
-    packed = staged(
-        taken.filter(F.col("low").isNotNull())
-        .withColumn("sequence_id", F.col("sequence") + nth)
-        .withColumn("offset", F.coalesce(F.sum("length").over(in_sequence.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))),
-        "packed",
+    in_range = (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
+    placed = staged(
+        ranked.join(F.broadcast(plan), "kind").filter(in_range).select(
+            "row", "bucket", *PIECE_COLUMNS,
+            F.when(F.col("sequence") >= 0, F.col("sequence") + F.expr("(rank - low) div each")).alias("sequence_id"),
+        ),
+        "placed",
     )
-    rest = staged(rests.join(packed.select("row"), "row", "left_anti").drop("kind"), "rounding_rest")
-    if rest.isEmpty():
-        return full.unionByName(packed.select(*OUTPUT))
-    return full.unionByName(packed.select(*OUTPUT)).unionByName(
-        _rest_pieces(docs, rest, path, capacity, end_id, first=sum(times for _, times in chosen))
-    )
-
-
-PIECE_COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    earlier = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "row").rowsBetween(Window.unboundedPreceding, -1)
+    packed = placed.filter(F.col("sequence_id").isNotNull()).withColumn("offset", F.coalesce(F.sum("length").over(earlier), zero))
+    rest = placed.filter(F.col("sequence_id").isNull()).drop("sequence_id")
+    return full.unionByName(packed.select(*OUTPUT)).unionByName(_rest_pieces(docs, rest, path, capacity, end_id))
 
 
-def _rest_pieces(docs: DataFrame, rest: DataFrame, path: str, capacity: int, end_id: int, first: int) -> DataFrame:
-    """The rounding rest in sequences from number ``first`` on. Its rows are
-    bounded by the number of classes."""
-    cuts = rest.select("row", "length").groupBy(F.lit(0)).applyInPandas(_lay(first, capacity), CUTS)
-    whole = rest.withColumnRenamed("length", "piece_length").join(F.broadcast(cuts), "row")
+def _rest_pieces(docs: DataFrame, rest: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
+    """The pieces that no pattern takes, bucket by bucket end to end."""
+    laid = rest.select("row", "bucket", "length").groupBy("bucket").applyInPandas(_lay(capacity), CUTS)
+    whole = staged(rest.withColumnRenamed("length", "piece_length").join(laid, "row"), "rest_cuts")
     uncut = whole.filter(F.col("length") == F.col("piece_length")).select(*OUTPUT)
-    parts = staged(whole.filter(F.col("length") < F.col("piece_length")), "rest_cuts")
-    # Texts of the few cut documents are encoded again.
-    wanted = parts.select("doc_id").distinct()
-    again = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").alias("d").join(
-        F.broadcast(wanted).alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi"
-    )
-    ids = _encoded(again, path, capacity, end_id, with_ids=True).withColumnRenamed("length", "piece_length")
+    parts = whole.filter(F.col("length") < F.col("piece_length"))
+    # The texts of cut documents are encoded again for the checksums.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    wanted = parts.select(F.col("doc_id").alias("cut_id")).distinct()
+    again = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("cut_id")), "left_semi")
     key = ["doc_id", "start", "piece_length", "ids_crc32", "doc_tokens"]
-    alike = F.lit(True)
-    for c in key:
-        alike = alike & F.col(f"p.{c}").eqNullSafe(F.col(f"i.{c}"))
+    ids = _encoded(again, path, capacity, end_id, with_ids=True).withColumnRenamed("length", "piece_length")
+    alike = reduce(and_, (F.col(f"p.{c}").eqNullSafe(F.col(f"i.{c}")) for c in key))
     joined = parts.alias("p").join(ids.dropDuplicates(key).alias("i"), alike)
     raw = F.substring(F.col("i.ids"), (F.col("p.at") * 4 + 1).cast("int"), (F.col("p.length") * 4).cast("int"))
     made = joined.select(
