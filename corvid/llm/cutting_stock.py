@@ -154,15 +154,15 @@ def generate(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.n
         bound = max(bound, float(prices.clip(0) @ demand) / max(value, 1.0))
         if value <= 1 + 1e-9 or x.sum() <= bound * (1 + GAP):
             break
-        column = pattern.astype(float)
-        change = inverse @ column
+        uses = np.flatnonzero(pattern)
+        change = (inverse[:, uses] * pattern[uses]).sum(axis=1)
         ratio = np.where(change > 1e-9, x / np.where(change > 1e-9, change, 1), np.inf)
         out = int(ratio.argmin())
         if not np.isfinite(ratio[out]):
             break
         x = np.maximum(x - ratio[out] * change, 0)
         x[out] = ratio[out]
-        basis[:, out] = column
+        basis[:, out] = pattern
         if step % 200 == 199:
             inverse = np.linalg.inv(basis)
         else:

@@ -41,15 +41,19 @@ class WordIds:
     def whole(self, text: str) -> bytes:
         return array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _letters(self, word: str) -> str:
+        """A run of Latin letters in lower case; '' for any other word."""
+        low = word.lower() if word.isalpha() and max(word) <= self.LAST_LATIN else ""
+        return low if low.isalpha() and max(low) <= self.LAST_LATIN else ""
+
     def _word(self, raw: bytes) -> bytes:
         """``raw``: a word in ASCII lower case."""
         word = raw.decode()
-        if word.isalpha() and max(word) <= self.LAST_LATIN:
-            low = word.lower()
-            if low.isalpha() and max(low) <= self.LAST_LATIN:
-                spelt = low.encode().decode("latin-1").translate(self.letters)
-                return array("I", [t.id for t in self.merges(spelt)]).tobytes()
-        elif raw[-1:] in self.marks and word[:-1].isalpha():
+        low = self._letters(word)
+        if low:
+            spelt = low.encode().decode("latin-1").translate(self.letters)
+            return array("I", [t.id for t in self.merges(spelt)]).tobytes()
+        if raw[-1:] in self.marks and self._letters(word[:-1]):
             return self._of(raw[:-1]) + self.marks[raw[-1:]]
         return self.whole(word)
 

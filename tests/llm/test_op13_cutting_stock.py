@@ -1,0 +1,116 @@
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from cases import awkward, make_docs
+from corvid.llm import cutting_stock as cs
+from corvid.llm.queries import vocabulary
+from corvid.llm.word_ids import WordIds
+
+
+@pytest.fixture(scope="module")
+def path():
+    return vocabulary("word_bpe_49k.json")
+
+
+def test_words_encode_as_whole_texts_do(path):
+    lib, mine = Tokenizer.from_file(path), WordIds(path)
+    r = np.random.default_rng(2)
+    alphabet = list(" \n\tab.,'sS1éÉİßẞΣ日🎉\x1c\x85́ ") + ["<|endoftext|>", "<|ENDOFTEXT|>", "don't", "  ", "ΑΣ", "ǅ"]
+    texts = ["".join(r.choice(alphabet, r.integers(0, 30))) for _ in range(3000)] + [t for t in awkward() if t]
+    for t in texts:
+        want = lib.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(mine.encode(t.encode()), np.uint32).tolist() == want, repr(t[:60])
+
+
+def test_full_cache_changes_nothing(path):
+    small, large = WordIds(path, cache_bytes=1000), WordIds(path)
+    for t in awkward():
+        assert small.encode((t or "").encode()) == large.encode((t or "").encode())
+    assert len(small.words) <= 5
+
+
+def test_knapsack_is_best():
+    r = np.random.default_rng(1)
+    for _ in range(60):
+        sizes = np.sort(r.choice(np.arange(1, 12), 4, replace=False))
+        values, capacity = r.random(4), int(r.integers(sizes[0], 25))
+        value, copies = cs.knapsack(values, sizes, capacity)
+        every = itertools.product(*(range(capacity // s + 1) for s in sizes.tolist()))
+        best = max(np.dot(c, values) for c in every if np.dot(c, sizes) <= capacity)
+        assert copies @ sizes <= capacity and np.isclose(value, best) and np.isclose(copies @ values, best)
+
+
+def test_linear_program_reaches_its_bound():
+    r = np.random.default_rng(2)
+    for n in (1, 5, 40, 200):
+        sizes = np.sort(r.choice(np.arange(1, 300), n, replace=False))
+        demand = r.integers(1, 500, n)
+        basis, x, bound = cs.generate(sizes, demand.astype(float), 300)
+        assert (sizes @ basis <= 300).all() and np.allclose(basis @ x, demand) and (x >= 0).all()
+        assert bound <= x.sum() + 1e-6 and x.sum() <= bound * 1.01 + 1e-6
+
+
+def test_patterns_stay_within_the_demand():
+    r = np.random.default_rng(3)
+    for n in (1, 10, 120):
+        sizes = np.sort(r.choice(np.arange(1, 256), n, replace=False))
+        demand = r.integers(1, 60, n)
+        chosen = cs.patterns_for(sizes, demand, 256, 4)
+        used = sum((t * p for p, t in chosen), np.zeros(n, np.int64))
+        assert (used <= demand).all() and all(0 <= 256 - p @ sizes <= 4 for p, _ in chosen)
+
+
+@pytest.mark.parametrize("total", [1, 2, 7, 64, 65, 191, 1000])
+def test_tail_needs_no_padding(total):
+    cuts = cs.tail_cuts(total, 64)
+    assert sum(cuts) == total and all(c <= 64 and c & (c - 1) == 0 for c in cuts)
+
+
+def check(rows, got, path, capacity):
+    """Every id in one piece, sequences gapless; the share of padding."""
+    lib = Tokenizer.from_file(path)
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, []).append(np.array(lib.encode(t or "", add_special_tokens=False).ids + [1], np.uint32))
+    left = sorted((-1 if i is None else i, a, n, c, d) for i, a, n, c, d, *_ in got)
+    for i, every in texts.items():
+        spans = [p for p in left if p[0] == (-1 if i is None else i)]
+        if len(every) == 1:
+            at = 0
+            for _, start, length, crc, total in spans:
+                assert start == at and total == len(every[0])
+                assert crc == zlib.crc32(every[0][start : start + length].tobytes())
+                at += length
+            assert at == len(every[0])
+        else:
+            assert sum(p[2] for p in spans) == sum(map(len, every))
+    used = {}
+    for *_, length, _, _, sequence, offset in sorted(((g[0] or 0, *g[1:]) for g in got), key=lambda g: g[-2:]):
+        assert used.get(sequence, 0) == offset
+        used[sequence] = offset + length
+    assert max(used.values(), default=0) <= capacity
+    return sum(0 if n & (n - 1) == 0 else capacity - n for n in used.values()) / max(1, sum(used.values()))
+
+
+@pytest.mark.parametrize("capacity, width, bucket", [(64, 1, 10**5), (64, 2, 7), (2048, 2, 10**5)])
+def test_packs_every_id_once(spark, path, monkeypatch, capacity, width, bucket):
+    monkeypatch.setattr(cs, "BUCKET_ROWS", bucket)
+    texts = awkward() + ["copy of this"] * 9 + [" ".join(["word"] * (k % 50)) for k in range(120)]
+    ids = [None, 3, 3, *range(4, len(texts) + 1)]
+    got = cs.pack(make_docs(spark, texts, ids), path, capacity=capacity, width=width).collect()
+    share = check(list(zip(ids, texts, strict=True)), [tuple(r) for r in got], path, capacity)
+    assert share < 0.03
+
+
+def test_one_length_that_does_not_combine(spark, path):
+    texts = [" ".join(["stone"] * 39) for _ in range(50)]  # 40 ids of 64
+    got = cs.pack(make_docs(spark, texts), path, capacity=64, width=1).collect()
+    assert check(list(enumerate(texts)), [tuple(r) for r in got], path, 64) == 0
+
+
+def test_empty_table(spark, path):
+    assert cs.pack(make_docs(spark, []), path).collect() == []

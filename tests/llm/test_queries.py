@@ -11,7 +11,7 @@ from corvid.plans.compare import compare_frames, duckdb_connection
 
 def test_names():
     names = [*queries.queries()]
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
     assert {*names, "pipeline"} <= se.queries().keys()
 
 
