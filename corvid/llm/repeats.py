@@ -15,7 +15,8 @@ item.
    that a third of all documents share, each task that reads documents sends
    its key's group a context or, where ids do not ascend, a few.
    Values that occur more than ``frequent`` times send every window by itself,
-   keyed by all its items: a group then holds equal windows only.
+   keyed by all its items: a group then holds equal windows only. Windows that
+   are known to be repeats go out as runs whichever way they are keyed.
 3. Contexts are grouped by key; the operator orders each group's windows and
    tells which have an earlier equal (``judge``). Of equal contexts a group
    keeps the earliest as it unpacks them, and numbers alone of the others.
@@ -182,6 +183,23 @@ def _shortened(at: np.ndarray, size: np.ndarray, most: int) -> tuple[np.ndarray,
     return at, np.minimum(most, end - at)
 
 
+def _joined(contexts: list[tuple]) -> list[tuple]:
+    """Contexts in the order of their places; those known to be repeats (codes
+    None) become one run where they meet, whatever their keys: a run of windows
+    is one entry, however long the passage and however its windows are keyed."""
+    out: list[tuple] = []
+    end = None  # (document, window behind) of the last entry, if it is known
+    for context in contexts:
+        key, doc, start, n, codes = context
+        if codes is None and end == (doc, start):
+            last = out[-1]
+            out[-1] = (last[0], doc, last[2], last[3] + n, None)
+        else:
+            out.append(context)
+        end = (doc, start + n) if codes is None else None
+    return out
+
+
 def _contexts(rows: DataFrame, m: Method, tasks: int) -> DataFrame:
     """``id, row, cand`` (repeated values: value, frequent), by id -> contexts,
     packed by the task that compares their keys. A context without codes is
@@ -245,6 +263,7 @@ def _contexts(rows: DataFrame, m: Method, tasks: int) -> DataFrame:
                 before[c] = min(seen[c], before.get(c, seen[c]))
             if not out:
                 continue
+            out = _joined(out)
             key, doc, start, windows, codes = zip(*out, strict=True)
             key, doc, start, windows = (np.array(c, np.int64) for c in (key, doc, start, windows))
             known = np.array([c is None for c in codes])
