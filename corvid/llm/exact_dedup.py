@@ -80,7 +80,7 @@ def find_copies(
     if collided.isEmpty():
         recipes = recipes.withColumn("ranks", F.array().cast("array<struct<pos:int,rank:int>>"))
     else:
-        recipes = recipes.join(_ranks(cut, collided, ident), "row_id", "left").withColumn(
+        recipes = recipes.join(_ranks(cut, collided, ident), "sha", "left").withColumn(
             "ranks", F.coalesce("ranks", F.array().cast("array<struct<pos:int,rank:int>>"))
         )
     groups = recipes.groupBy("recipe", "ranks").agg(
@@ -97,31 +97,48 @@ def find_copies(
 
 
 def _ranks(cut: DataFrame, collided: DataFrame, ident) -> DataFrame:
-    """Per document the places and ranks of its chunks with a collided
-    identifier. The rank of a text is its place among the distinct texts of
-    the identifier, so a frequent chunk is ranked as one row."""
+    """Per text (by its digest: rows are not matched across scans) the places
+    and ranks of its chunks with a collided identifier. The rank of a chunk is
+    its place among the distinct chunks of the identifier, so a frequent chunk
+    is ranked as one row."""
     placed = (
-        cut.select("row_id", F.posexplode("cut").alias("pos", "chunk"))
+        cut.select(F.sha2("norm", 256).alias("sha"), F.posexplode("cut").alias("pos", "chunk"))
         .withColumn("ident", ident(F.col("chunk")))
         .join(collided, "ident", "left_semi")
+        .distinct()
     )
     texts = placed.select("ident", "chunk").distinct()
-    other = texts.select("ident", F.sha2("chunk", 256).alias("sha")).groupBy("ident").agg(
-        F.sort_array(F.collect_set("sha")).alias("shas")
+    other = texts.select("ident", F.sha2("chunk", 256).alias("chunk_sha")).groupBy("ident").agg(
+        F.sort_array(F.collect_set("chunk_sha")).alias("shas")
     )
     return (
         placed.join(other, "ident")
         .select(
-            "row_id",
+            "sha",
             F.struct("pos", F.array_position("shas", F.sha2("chunk", 256)).cast("int").alias("rank")).alias("r"),
         )
-        .groupBy("row_id")
+        .groupBy("sha")
         .agg(F.sort_array(F.collect_list("r")).alias("ranks"))
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the copies, all columns kept. ``docs`` must be a scan
-    (rows are matched by their place in it)."""
-    drop = find_copies(docs, id_col, text_col).filter("not kept").select(F.col("row_id").alias("__row"))
-    return docs.withColumn("__row", _row_id()).join(staged(drop, "copies"), "__row", "left_anti").drop("__row")
+    """``docs`` without the copies, all columns kept.
+
+    Rows are matched by their id and the digest of their text, never by their
+    place in a scan, which changes with the cores. Of rows that repeat both, any
+    one stays.
+    """
+    found = find_copies(docs, id_col, text_col).select(
+        F.col(id_col).alias("id"), F.col("text_sha256").alias("sha"), F.col(id_col).eqNullSafe(F.col("keep_id")).alias("best")
+    )
+    seen = found.groupBy("id", "sha").agg(F.count(F.lit(1)).alias("n"), F.first("best").alias("best"))
+    marked = staged(seen.filter("n > 1 OR NOT best"), "copies")
+    # The whole row travels in one field: its columns may have any names.
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("id"), F.sha2(lower_ascii(F.col(f"`{text_col}`")), 256).alias("sha")
+    )
+    same = rows["id"].eqNullSafe(marked["id"]) & (rows["sha"] == marked["sha"])
+    once = rows.join(marked, same, "left_anti")
+    again = rows.join(marked.filter("best"), same, "left_semi").dropDuplicates(["id", "sha"])
+    return once.unionByName(again).select("row.*")

@@ -19,8 +19,9 @@ aggregation for each table and sweep) shuffle nothing.
 
 Defined results: null text is empty; a text without paragraphs has the empty
 fingerprint, and two of them the likeness 1; a table of one row is its own
-next document; null ids come last in descending order, rows that repeat an id
-in the order of the scan; an empty table gives no rows; further columns are
+next document; null ids come last in descending order; rows that repeat an id
+and text are one document, returned as often, and texts of one id follow each
+other in any fixed order; an empty table gives no rows; further columns are
 ignored.
 """
 
@@ -86,33 +87,41 @@ def successors(ids: DataFrame) -> DataFrame:
 
 
 def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """-> ``row, id, n_chars, text, edited, next_digests``: the edited text has
-    the last half of the characters replaced by the next document's first as
-    many (or all)."""
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).alias("id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    """-> ``row, id, n_chars, copies, text, edited, next_digests``: the edited
+    text has the last half of the characters replaced by the next document's
+    first as many (or all).
+
+    A document is an id with a text, ``copies`` counts its rows. Rows are
+    known by the digest of both: numbers taken from a scan would differ in the
+    next one when the cores change. One exchange of the texts by that key serves
+    both of their uses.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    key = F.unhex(F.sha2(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("text")), 256))
+    counted = rows.select(key.alias("key"), "id", F.length("text").cast("long").alias("n_chars")).groupBy("key").agg(
+        F.first("id").alias("id"), F.first("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies")
     )
-    ids = staged(rows.select("row", "id", F.length("text").cast("long").alias("n_chars")), "ids")
+    # The numbers are written: whatever reads them later finds the same.
+    ids = staged(counted.withColumn("row", F.monotonically_increasing_id()), "ids")
     follow = staged(successors(ids.select("row", "id")), "follow")
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    wants = follow.join(ids.select("row", half.alias("take")), "row").select(
-        F.col("next_row").alias("row"), F.col("row").alias("to"), "take"
-    )
-    texts = rows.select("row", "text")
-    given = texts.join(wants, "row").select(
-        F.col("to").alias("row"),
+    own = ids.select("row", F.col("key").alias("to"), half.alias("take"))
+    wants = follow.join(own, "row").join(ids.select(F.col("row").alias("next_row"), "key"), "next_row")
+    texts = rows.select(key.alias("key"), "text").repartition("key")
+    given = texts.dropDuplicates(["key"]).join(wants.select("key", "to", "take"), "key").select(
+        F.col("to").alias("key"),
         F.substr("text", F.lit(1), F.col("take")).alias("head"),
         digests(F.col("text")).alias("next_digests"),
     )
     return (
-        texts.join(ids, "row")
-        .join(given, "row")
+        texts.dropDuplicates(["key"])
+        .join(ids, "key")
+        .join(given, "key")
         .select(
             "row",
             "id",
             "n_chars",
+            "copies",
             "text",
             F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half), "head").alias("edited"),
             "next_digests",
@@ -266,6 +275,7 @@ def fingerprint_edits(
         "row",
         "id",
         "n_chars",
+        "copies",
         F.sha2("edited", 256).alias("edited_sha256"),
         digests(F.col("text")).alias("own"),
         digests(F.col("edited")).alias("edited"),
@@ -303,6 +313,7 @@ def fingerprint_edits(
     return (
         table.join(_printed(base), "row", "left")
         .join(found, "row", "left")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
         .select(
             F.col("id").alias(id_col),
             "n_chars",

@@ -343,4 +343,4 @@ def near_groups(
 def drop_near(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group, all columns kept."""
     dropped = near_groups(docs, percent, id_col, text_col).filter("not kept").select(id_col)
-    return docs.join(staged(dropped, "near"), id_col, "left_anti").select(docs.columns)
+    return docs.join(staged(dropped, "near"), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,6 +6,8 @@ same as a run of such characters.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 from corvid.llm.common import once_a_process
@@ -55,19 +57,34 @@ def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], _U)
+LONG_SPAN = 256
+
+
 def span_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans: equal for equal bytes wherever they
-    stand (a polynomial over prefix sums, shifted back to the span's start)."""
-    n = len(raw)
-    up, down = _powers(1 << max(12, n.bit_length()))
-    sums = np.zeros(n + 1, _U)
-    np.cumsum(_byte_values()[np.frombuffer(raw, np.uint8)] * up[:n], out=sums[1:])
-    return mix(((sums[ends] - sums[starts]) * down[starts]) ^ mix((ends - starts).astype(_U) * _BASE))
+    stand. A span is folded 8 bytes at a time, each block through the finaliser
+    (no polynomial, whose collisions periodic texts would meet); spans of over
+    ``LONG_SPAN`` bytes are digested whole."""
+    data = np.frombuffer(raw + bytes(8), np.uint8)
+    eights = np.ndarray((len(data) - 7,), _U, buffer=data, strides=(1,))
+    size = ends - starts
+    out = mix(size.astype(_U) * _BASE + _U(1))
+    short = size <= LONG_SPAN
+    rows, at = np.flatnonzero(short & (size > 0)), 0
+    while len(rows):
+        left = size[rows] - at
+        block = eights[starts[rows] + at] & _LOW_BYTES[np.minimum(left, 8)]
+        out[rows] = mix((out[rows] ^ block) * _BASE + (block >> _U(32)))
+        rows, at = rows[left > 8], at + 8
+    for i in np.flatnonzero(~short).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
 
 
 def gram_hashes(raw: bytes, k: int) -> np.ndarray:
-    """64-bit hashes of each ``k`` consecutive bytes (``span_hashes`` of one
-    length, by slices)."""
+    """64-bit hashes of each ``k`` consecutive bytes, by slices (a polynomial over
+    prefix sums, shifted back; what agrees in it is compared byte by byte)."""
     n = len(raw) - k + 1
     if n <= 0:
         return np.zeros(0, _U)

@@ -90,7 +90,7 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, width: int, gram: int, fre
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.struct(
-            F.col(text_col).alias("text"), F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("rest")
+            F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest")
         ).alias("row"),
     )
     names = ["id", "n_words", "n_removed", "kept", "kept_sha256", "rest"]
