@@ -42,7 +42,8 @@ from corvid.llm.shingles import mix, run_hashes
 _U = np.uint64
 LONGEST_RUN = 4096  # windows in one context
 FREQUENT = 20_000
-CONTEXTS = 12_000  # repeated anchors in one group task
+CONTEXTS = 6_000  # repeated anchors in one group
+BATCH_ROWS = 2_500  # documents whose contexts a task holds at a time
 TOGETHER = 1_000  # contexts without codes that are dealt to one task
 
 
@@ -209,7 +210,7 @@ def _contexts(rows: DataFrame, m: Method, tasks: int) -> DataFrame:
 
     def run(batches):
         before: dict[tuple, tuple[int, int]] = {}
-        for batch in batches:
+        for batch in (b.slice(low, BATCH_ROWS) for b in batches for low in range(0, b.num_rows, BATCH_ROWS)):
             order = np.argsort(batch.column(0).to_numpy(), kind="stable")
             batch = batch.take(pa.array(order))
             ids = batch.column(0).to_numpy()
