@@ -25,16 +25,15 @@ TOP_H = 10
 COUNTRY = "NATION_7"
 MIN_QUANTITY = 10.0
 # Geometry: centers are the farthest-first centers of the embeddings
-# (FFT_M per part, FFT_L parts); balls use BALL_RADIUS; the objective drops
+# (FFT_M per part of about EMB_PART_ROWS points); balls use BALL_RADIUS; the objective drops
 # OUTLIERS_Z points; K2 looks at the first KZ_K + KZ_Z + 1 points.
 FFT_M = 4
-FFT_L = 4
+EMB_PART_ROWS = 125
 BALL_RADIUS = 1.3
 OUTLIERS_Z = 10
 # k-center job on the embeddings.
 KZ_K = 8
 KZ_Z = 10
-KZ_L = 4
 KZ_ALPHA = 2
 GREEDY_RADIUS = 0.1
 # k-center job on lineitem: several guesses and centers. Parts of about
@@ -89,7 +88,7 @@ def _geometry() -> dict[str, Query]:
         return embedding_points(spark, d)
 
     def centers(spark, d):
-        fft = kcenter.fft_centers(pts(spark, d), FFT_M, FFT_L)
+        fft = kcenter.fft_centers(pts(spark, d), FFT_M, None, EMB_PART_ROWS)
         return fft.select(F.col("point_id").alias("id"), "v")
 
     def dists(spark, d):
@@ -100,13 +99,13 @@ def _geometry() -> dict[str, Query]:
 
     return {
         "points": pts,
-        "fft_centers": lambda s, d: kcenter.fft_centers(pts(s, d), FFT_M, FFT_L).select(
+        "fft_centers": lambda s, d: kcenter.fft_centers(pts(s, d), FFT_M, None, EMB_PART_ROWS).select(
             "part", "c", "point_id"
         ),
         "center_weights": lambda s, d: kcenter.center_weights(
-            pts(s, d), kcenter.fft_centers(pts(s, d), FFT_M, FFT_L), FFT_L, FFT_M
+            pts(s, d), kcenter.fft_centers(pts(s, d), FFT_M, None, EMB_PART_ROWS), None, FFT_M
         ),
-        "coreset": lambda s, d: kcenter.coreset(pts(s, d), FFT_M, FFT_L).select(
+        "coreset": lambda s, d: kcenter.coreset(pts(s, d), FFT_M, None, 1, EMB_PART_ROWS).select(
             "part", "c", "ord", "point_id", "w"
         ),
         "point_distances": lambda s, d: geometry.point_distances(pts(s, d), centers(s, d)),
@@ -132,7 +131,7 @@ def _kcenter() -> dict[str, Query]:
         return embedding_points(spark, d)
 
     def core(spark, d):
-        return kcenter.coreset(pts(spark, d), KZ_K + KZ_Z + 1, KZ_L)
+        return kcenter.coreset(pts(spark, d), KZ_K + KZ_Z + 1, None, 1, EMB_PART_ROWS)
 
     def lineitem(op):
         return lambda s, d: op(lineitem_points(s, d), LI_K, LI_Z, None, LI_ALPHA, 1, LI_PART_ROWS)
@@ -145,18 +144,24 @@ def _kcenter() -> dict[str, Query]:
             kcenter.weighted_kcenter(core(s, d), KZ_K, KZ_Z, 0)
         ),
         "guess_trace": lambda s, d: kcenter.guess_trace(
-            kcenter.kcenter_outliers(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA)
+            kcenter.kcenter_outliers(pts(s, d), KZ_K, KZ_Z, None, KZ_ALPHA, 1, EMB_PART_ROWS)
         ),
         "kcenter_outliers": lambda s, d: kcenter.solution_centers(
-            kcenter.kcenter_outliers(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA)
+            kcenter.kcenter_outliers(pts(s, d), KZ_K, KZ_Z, None, KZ_ALPHA, 1, EMB_PART_ROWS)
         ).select("center_no", "point_id"),
         "coreset_lineitem": lambda s, d: kcenter.coreset(
             lineitem_points(s, d), LI_K + LI_Z + 1, None, 1, LI_PART_ROWS
         ).select("part", "c", "ord", "point_id", "v", "w"),
+        "fft_centers_lineitem": lambda s, d: kcenter.fft_centers(
+            lineitem_points(s, d), LI_K + LI_Z + 1, None, LI_PART_ROWS
+        ).select("part", "c", "point_id", "v"),
+        "center_weights_lineitem": lambda s, d: kcenter.center_weights(
+            lineitem_points(s, d), kcenter.fft_centers(lineitem_points(s, d), LI_K + LI_Z + 1, None, LI_PART_ROWS)
+        ),
         "guess_trace_lineitem": lambda s, d: kcenter.guess_trace(lineitem(kcenter.kcenter_outliers)(s, d)),
         "kcenter_outliers_lineitem": lambda s, d: kcenter.solution_centers(lineitem(kcenter.kcenter_outliers)(s, d)),
         "kcenter_report_lineitem": lineitem(kcenter.kcenter_report),
-        "kcenter_report": lambda s, d: kcenter.kcenter_report(pts(s, d), KZ_K, KZ_Z, KZ_L, KZ_ALPHA),
+        "kcenter_report": lambda s, d: kcenter.kcenter_report(pts(s, d), KZ_K, KZ_Z, None, KZ_ALPHA, 1, EMB_PART_ROWS),
     }
 
 
@@ -173,7 +178,7 @@ def oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle_sql.words_sql())
     out.update(oracle_sql.sales_sql(COUNTRY, TOP_H, MIN_QUANTITY))
-    out.update(oracle_sql.geometry_sql(FFT_M, FFT_L, KZ_K + KZ_Z + 1, BALL_RADIUS, OUTLIERS_Z))
-    out.update(oracle_sql.kcenter_sql(KZ_K, KZ_Z, KZ_L, KZ_ALPHA, GREEDY_RADIUS))
+    out.update(oracle_sql.geometry_sql(FFT_M, EMB_PART_ROWS, KZ_K + KZ_Z + 1, BALL_RADIUS, OUTLIERS_Z))
+    out.update(oracle_sql.kcenter_sql(KZ_K, KZ_Z, oracle_sql.parts_sql(KZ_K + KZ_Z + 1, EMB_PART_ROWS), KZ_ALPHA, GREEDY_RADIUS))
     out.update(oracle_sql.lineitem_sql(LI_K, LI_Z, LI_ALPHA, LI_PART_ROWS))
     return out

@@ -11,10 +11,13 @@ whose parts would exceed ``MAX_PART_ROWS`` on average fails before any part is
 loaded. The output has ``L*m`` rows.
 
 Round 2 (``weighted_kcenter``): the doubling search over the weighted coreset.
-Guesses do not depend on each other, so they are tried in ``LANES`` groups,
-each on every ``LANES``-th guess, and the first feasible guess is the answer of
-the sequential search. A group holds the coreset (its size is the caller's
-choice of L, k and z) and distances block by block.
+Guesses do not depend on each other, and the first feasible guess is the answer
+of the sequential search. The set is written once and counted. One of a single
+block (``blocks.BLOCK_ROWS`` rows) is copied to ``LANES`` groups, each trying
+every ``LANES``-th guess. A larger one stays in blocks (``greedy``): all guesses
+share one pass over the pairs of blocks, then ``k`` steps of covering and
+subtracting. Both give the same rows, bit for bit; no group holds more than two
+blocks.
 
 ``levels`` above 1 repeat round 1 on the coreset, which changes the answer and
 is therefore the caller's choice; ``kcenter_report`` tells it.
@@ -22,15 +25,15 @@ is therefore the caller's choice; ``kcenter_report`` tells it.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.operators import geometry
+from corvid.operators import blocks as bl
+from corvid.operators import geometry, greedy
 from corvid.operators import kcenter_kernels as kk
+from corvid.session import materialised
 from corvid.sources.points import with_unit_weight
 
 CORESET_SCHEMA = "part int, c int, ord long, point_id long, v array<double>, w long"
@@ -38,27 +41,30 @@ SOLUTION_SCHEMA = (
     "guess_no int, r double, feasible boolean, left_over long, total long, "
     "center_ord array<long>, center_point_id array<long>, center_v array<array<double>>"
 )
-PART_ROWS = 500_000
-MAX_PART_ROWS = 4 * PART_ROWS
+MAX_PART_ROWS = 2_000_000
 LANES = 8
 
 
-def suggest_parts(n_points: int, m: int, target_part_rows: int = PART_ROWS) -> int:
-    """Number of parts so that each holds about ``target_part_rows`` points."""
-    return max(1, math.ceil(n_points / max(target_part_rows, 2 * m)))
-
-
-def parts_column(points: DataFrame, m: int, L: int | None, part_rows: int = PART_ROWS):
-    """The number of parts as a column: ``L``, or ``suggest_parts`` of the
-    points counted by a scalar subquery. A given ``L`` is checked against that
-    count. Nothing runs before the plan does."""
+def parts_column(points: DataFrame, m: int, L: int | None, part_rows: int | None = None) -> Column:
+    """The number of parts as a column: ``L``, or as many as the points, counted
+    by a scalar subquery, need at ``part_rows`` each. Without either a part
+    holds ``sqrt(n * m)`` points (``MAX_PART_ROWS`` at most): a part and the
+    coreset of all parts are then of one size. A given ``L`` is checked against
+    the count. Nothing runs before the plan does."""
     n = points.agg(F.count(F.lit(1)).alias("n")).scalar()
     if L is None:
-        return F.greatest(F.ceil(n / F.lit(max(part_rows, 2 * m))), F.lit(1)).cast("int")
+        rows = F.lit(part_rows) if part_rows else F.least(F.ceil(F.sqrt(n * F.lit(float(m)))), F.lit(MAX_PART_ROWS))
+        return F.greatest(F.ceil(n / F.greatest(rows, F.lit(2 * m))), F.lit(1)).cast("int")
     ok = F.assert_true(n <= F.lit(L * MAX_PART_ROWS), f"parts of over {MAX_PART_ROWS} points: raise L").isNull()
     return F.when(ok, F.lit(L))
 
 
+def part_of(key: Column, parts: Column) -> Column:
+    """The part of a point: its id modulo the parts. Contiguous ids fill the
+    parts evenly; see ``lineitem_points`` for ids that are not."""
+    return F.pmod(key, parts).cast("int")
+
+
 def _list_array(M: np.ndarray) -> pa.Array:
     n, d = M.shape
     offsets = pa.array(np.arange(0, n * d + 1, d, dtype=np.int32))
@@ -92,7 +98,7 @@ def _fft_part(m: int):
 
 def _coreset_level(rows: DataFrame, m: int, parts) -> DataFrame:
     """One round-1 level over ``key, point_id, v, w`` rows."""
-    parted = rows.select(F.pmod(F.col("key"), parts).cast("int").alias("part"), "key", "point_id", "v", "w")
+    parted = rows.select(part_of(F.col("key"), parts).alias("part"), "key", "point_id", "v", "w")
     return parted.groupBy("part").applyInArrow(_fft_part(m), CORESET_SCHEMA)
 
 
@@ -104,7 +110,7 @@ def _check(m: int, L: int | None) -> None:
 
 
 def coreset(
-    points: DataFrame, m: int, L: int | None = None, levels: int = 1, part_rows: int = PART_ROWS
+    points: DataFrame, m: int, L: int | None = None, levels: int = 1, part_rows: int | None = None
 ) -> DataFrame:
     """Per part, ``m`` farthest-first centers with their weights.
 
@@ -119,40 +125,52 @@ def coreset(
     parts = parts_column(points, m, L, part_rows)
     out = _coreset_level(pts, m, parts)
     for _ in range(levels - 1):
-        parts = F.ceil(parts * F.lit(m) / F.lit(max(part_rows, 2 * m))).cast("int")
+        n = parts * F.lit(m)
+        rows = F.lit(part_rows) if part_rows else F.ceil(F.sqrt(n * F.lit(float(m))))
+        parts = F.ceil(n / F.greatest(rows, F.lit(2 * m))).cast("int")
         out = _coreset_level(out.select(F.col("ord").alias("key"), "point_id", "v", "w"), m, parts)
     return out
 
 
-def fft_centers(points: DataFrame, m: int, L: int | None = None) -> DataFrame:
-    """The traversal alone -> ``part, c, point_id, v``."""
-    return coreset(points, m, L).select("part", "c", "point_id", "v")
+def fft_centers(points: DataFrame, m: int, L: int | None = None, part_rows: int | None = None) -> DataFrame:
+    """The traversal alone -> ``part, c, point_id, v, parts`` (the number
+    of parts that the points were dealt to, in every row)."""
+    parts = parts_column(points, m, L, part_rows).alias("parts")
+    return coreset(points, m, L, 1, part_rows).select("part", "c", "point_id", "v", parts)
 
 
-def center_weights(points: DataFrame, centers: DataFrame, L: int, m: int | None = None) -> DataFrame:
+def center_weights(points: DataFrame, centers: DataFrame, L: int | None = None, m: int | None = None) -> DataFrame:
     """Weights of given per-part centers, relationally.
 
-    ``centers``: ``part, c, point_id, v``. Each part's centers are gathered
-    into one array, joined to that part's points on ``part`` (Spark chooses
-    how), and each point picks its nearest center (least distance, then least
-    ``c``). Counts are partially aggregated per task, so a center holding a
-    third of all points adds one row per task to the exchange. Centers that
-    win no point (repeated ones) keep weight 0. With ``m`` (centers per part)
-    the per-part table is asserted to hold parts under ``L`` of at most ``m``.
+    ``centers``: ``part, c, point_id, v, parts`` (``fft_centers``); the number of
+    parts is the one that the centers carry, or ``L`` where they carry none,
+    checked against every part. Each part's centers are gathered into one array, joined to that
+    part's points on ``part`` (Spark chooses how), and each point picks its
+    nearest center (least distance, then least ``c``). Counts are partially
+    aggregated per task, so a center holding a third of all points adds one row
+    per task to the exchange. Centers that win no point (repeated ones) keep
+    weight 0. With ``m`` a part must not hold more centers than that.
     """
     _check(1, L)
+    if L is None and "parts" not in centers.columns:
+        raise ValueError("centers without a column parts need L")
+    count = F.lit(L) if L is not None else F.col("parts")
     per_part = centers.groupBy("part").agg(
-        F.collect_list(F.struct(F.col("c").cast("long").alias("id"), F.col("v"), "point_id")).alias("cs")
+        F.collect_list(F.struct(F.col("c").cast("long").alias("id"), F.col("v"), "point_id")).alias("cs"),
+        F.min(count).alias("parts"),
+        F.max(count).alias("most"),
     )
+    ok = (F.col("part") >= 0) & (F.col("part") < F.col("parts")) & (F.col("parts") == F.col("most"))
     if m is not None:
-        ok = (F.size("cs") <= F.lit(m)) & (F.col("part") >= 0) & (F.col("part") < F.lit(L))
-        per_part = per_part.select(
-            "part",
-            F.when(F.assert_true(ok, "centers exceed m per part or parts exceed L").isNull(), F.col("cs")).alias("cs"),
-        )
-    pts = with_unit_weight(points).select(
-        F.pmod(F.col("point_id"), F.lit(L)).cast("int").alias("part"), "v", "w"
+        ok = ok & (F.size("cs") <= F.lit(m))
+    per_part = per_part.select(
+        "parts",
+        "part",
+        F.when(F.assert_true(ok, "centers exceed m per part or parts exceed L").isNull(), F.col("cs")).alias("cs"),
     )
+    parts = F.lit(L) if L is not None else per_part.agg(F.max("parts")).scalar()
+    per_part = per_part.select("part", "cs")
+    pts = with_unit_weight(points).select(part_of(F.col("point_id"), parts).alias("part"), "v", "w")
     # A row of weight 0 for every center: from the same gathered table, whose
     # exchange Spark reuses, so the centers' plan runs once.
     every = per_part.select("part", F.explode("cs").alias("x")).select(
@@ -209,30 +227,82 @@ def _lanes(weighted: DataFrame, lanes: int):
     return rows.select(lane.alias("lane"), "ord", "point_id", "v", "w").groupBy("lane")
 
 
-def weighted_kcenter(weighted: DataFrame, k: int, z: int, alpha: float = 0, lanes: int = LANES) -> DataFrame:
+def _written(weighted: DataFrame) -> tuple[DataFrame, int, int]:
+    """(``ord, point_id, v, w`` written once, rows, total weight)."""
+    order = F.col("ord") if "ord" in weighted.columns else F.col("point_id")
+    rows = materialised(with_unit_weight(weighted).select(order.alias("ord"), "point_id", "v", F.col("w").cast("long").alias("w")))
+    n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    return rows, n, total
+
+
+def _radii(rows: DataFrame, blocks: DataFrame, n: int, m: int, alpha: float, block_rows: int) -> list[float]:
+    """The guesses that the doubling search can need: from half the least
+    distance among the first ``m`` rows (after a first guess of 0, half the
+    least positive one) to a ball of any row that covers all."""
+    first = rows.orderBy("ord", "v").limit(m)
+    head = materialised(bl.packed(first, -(-m // block_rows)))
+    least, positive = bl.least_distances(head).first()
+    if not least and positive is None:
+        positive = bl.least_distances(blocks).first()["positive"]
+    start = rows.orderBy("ord", "v").select("v").first()["v"]
+    # Rows within d of the first row are within 2d of each other.
+    reach = 2 * rows.agg(F.max(geometry.euclidean(F.col("v"), F.lit(list(start)))).alias("d")).first()["d"]
+    radii, r = ([], least / 2) if least else ([0.0], None if positive is None else positive / 2)
+    while r is not None:
+        radii.append(r)
+        if (3 + 4 * alpha) * r >= reach:
+            # One more: distances are rounded.
+            radii.append(2 * r)
+            break
+        r = 2 * r
+    return radii
+
+
+def _solution(spark, found: list, z: int, total: int) -> DataFrame:
+    rows = [(g.number, g.r, g.left <= z, g.left, total, g.orders, g.ids, g.vectors) for g in found]
+    return spark.createDataFrame(rows, SOLUTION_SCHEMA)
+
+
+def weighted_kcenter(
+    weighted: DataFrame, k: int, z: int, alpha: float = 0, lanes: int = LANES, block_rows: int = bl.BLOCK_ROWS
+) -> DataFrame:
     """K8: doubling search on a weighted set -> one row per guess.
 
     ``weighted``: ``point_id, v`` plus optional ``w`` (default 1) and
     ``ord`` (order, default ``point_id``). Output rows: ``guess_no, r,
     feasible, left_over, total`` (all weight) and the centers chosen at that
-    guess; the last row is the first feasible guess. The set is copied to
-    every lane: pass a coreset, not raw data.
+    guess; the last row is the first feasible guess.
     """
     if k < 1 or z < 0 or lanes < 1:
         raise ValueError("need k >= 1, z >= 0 and lanes >= 1")
-    tried = _lanes(weighted, lanes).applyInArrow(_lane_solver(k, z, alpha, lanes, None), SOLUTION_SCHEMA)
+    rows, n, total = _written(weighted)
+    if n > block_rows and n >= k + z + 1:
+        blocks = materialised(bl.packed(rows, -(-n // block_rows)))
+        radii = _radii(rows, blocks, n, k + z + 1, alpha, block_rows)
+        return _solution(rows.sparkSession, greedy.cover(blocks, radii, k, z, alpha, total), z, total)
+    tried = _lanes(rows, lanes).applyInArrow(_lane_solver(k, z, alpha, lanes, None), SOLUTION_SCHEMA)
     # A row per guess: what later lanes tried beyond the first feasible goes.
-    rows = tried.agg(F.array_sort(F.collect_list(F.struct(*tried.columns))).alias("g"))
+    found = tried.agg(F.array_sort(F.collect_list(F.struct(*tried.columns))).alias("g"))
     first = F.array_min(F.transform(F.filter("g", lambda x: x["feasible"]), lambda x: x["guess_no"]))
-    kept = rows.select("g", first.alias("first")).select(F.filter("g", lambda x: x["guess_no"] <= F.col("first")).alias("g"))
+    kept = found.select("g", first.alias("first")).select(F.filter("g", lambda x: x["guess_no"] <= F.col("first")).alias("g"))
     return kept.select(F.inline("g"))
 
 
-def greedy_cover(weighted: DataFrame, k: int, radius: float, alpha: float = 0, z: int = 0) -> DataFrame:
-    """K7: up to ``k`` greedy balls at one guess ``radius`` -> one row."""
+def greedy_cover(
+    weighted: DataFrame, k: int, radius: float, alpha: float = 0, z: int = 0, block_rows: int = bl.BLOCK_ROWS
+) -> DataFrame:
+    """K7: up to ``k`` greedy balls at one guess ``radius`` -> one row.
+
+    A set of one block is solved in one task; a larger one stays in blocks,
+    each step a maximum over all of them and a subtraction of what it covers.
+    """
     if k < 1:
         raise ValueError("need k >= 1")
-    return _lanes(weighted, 1).applyInArrow(_lane_solver(k, z, alpha, 1, float(radius)), SOLUTION_SCHEMA)
+    rows, n, total = _written(weighted)
+    if n <= block_rows:
+        return _lanes(rows, 1).applyInArrow(_lane_solver(k, z, alpha, 1, float(radius)), SOLUTION_SCHEMA)
+    blocks = materialised(bl.packed(rows, -(-n // block_rows)))
+    return _solution(rows.sparkSession, greedy.cover(blocks, [float(radius)], k, z, alpha, total), z, total)
 
 
 def guess_trace(solution: DataFrame) -> DataFrame:
@@ -269,7 +339,7 @@ def solution_rows(solution: DataFrame) -> DataFrame:
 
 def kcenter_outliers(
     points: DataFrame, k: int, z: int, L: int | None = None, alpha: float = 2, levels: int = 1,
-    part_rows: int = PART_ROWS,
+    part_rows: int | None = None,
 ) -> DataFrame:
     """The two-round job -> the solution rows of ``weighted_kcenter``."""
     if k < 1 or z < 0:
@@ -279,7 +349,7 @@ def kcenter_outliers(
 
 def kcenter_report(
     points: DataFrame, k: int, z: int, L: int | None = None, alpha: float = 2, levels: int = 1,
-    part_rows: int = PART_ROWS,
+    part_rows: int | None = None,
 ) -> DataFrame:
     """One row ``n, k, z, L, levels, initial_guess, final_guess, guesses,
     left_over, objective``.

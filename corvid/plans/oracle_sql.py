@@ -130,11 +130,16 @@ LINEITEM_CTE = """pts AS MATERIALIZED (
     FROM lineitem))"""
 
 
+def parts_sql(m: int, part_rows: int) -> str:
+    """The number of parts that the number of points asks for."""
+    return f"(SELECT CAST(greatest(ceil(count(*) / {float(max(part_rows, 2 * m))!r}), 1) AS BIGINT) FROM pts)"
+
+
 def lineitem_sql(k: int, z: int, alpha: float, part_rows: int) -> dict[str, str]:
     """Oracles of the k-center job on lineitem, with as many parts as the
     number of points asks for."""
     m = k + z + 1
-    parts = f"(SELECT CAST(greatest(ceil(count(*) / {float(max(part_rows, 2 * m))!r}), 1) AS BIGINT) FROM pts)"
+    parts = parts_sql(m, part_rows)
     head = fft_ctes(m, parts, LINEITEM_CTE, "id")
     out = kcenter_sql(k, z, parts, alpha, 1.0, head=head)
     core = (
@@ -144,6 +149,8 @@ def lineitem_sql(k: int, z: int, alpha: float, part_rows: int) -> dict[str, str]
     centers = out["kcenter_outliers"].rpartition("SELECT center_no, point_id FROM")
     return {
         "coreset_lineitem": head + core,
+        "fft_centers_lineitem": head + f"SELECT part, c, point_id, v FROM ({core})",
+        "center_weights_lineitem": head + f"SELECT part, c, point_id, w FROM ({core})",
         "guess_trace_lineitem": out["guess_trace"],
         "kcenter_outliers_lineitem": centers[0]
         + "SELECT center_no, CAST(p.id AS BIGINT) AS point_id, p.v FROM"
@@ -192,8 +199,8 @@ def fft_ctes(m: int, L: int | str, points: str = POINTS_CTE, key: str = "point_i
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def geometry_sql(m: int, L: int, first_m: int, radius: float, z: int) -> dict[str, str]:
-    head = fft_ctes(m, L)
+def geometry_sql(m: int, part_rows: int, first_m: int, radius: float, z: int) -> dict[str, str]:
+    head = fft_ctes(m, parts_sql(m, part_rows))
     d_pc = dist("p.v", "c.v")
     nearest = (
         f"SELECT point_id, center_id, d FROM (SELECT p.point_id, c.id AS center_id, {d_pc} AS d,"

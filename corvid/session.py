@@ -7,6 +7,8 @@ cut lineage through the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -51,6 +53,26 @@ def shared_checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder. Where none is named, a temporary one is
+    set, but only if driver and executors are one process."""
+    found = shared_checkpoint_dir(spark)
+    if found:
+        return found
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corvid-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder: the steps of an iterative
+    job read it from there, whatever executor is lost."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and return it.
 

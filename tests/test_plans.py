@@ -61,7 +61,6 @@ def test_distance_operators_do_not_shuffle_points(spark):
     cs = pts.limit(4).select(F.col("point_id").alias("id"), "v")
     for df in (
         geo.point_distances(pts, cs),
-        geo.ball_members(pts, cs, 0.01),
         geo.uncovered_after(pts, cs, 0.01),
         geo.nearest_center_distance(pts, cs),
         geo.nearest_distance(pts, cs),

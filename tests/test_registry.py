@@ -18,7 +18,7 @@ def con():
 
 def test_every_query_has_an_oracle_and_back():
     assert set(ORACLES) == set(QUERIES)
-    assert len(QUERIES) == 41
+    assert len(QUERIES) == 43
     assert QUERIES.keys() <= se.queries().keys()
     assert ORACLES.keys() <= se.oracle_sql().keys()
 
