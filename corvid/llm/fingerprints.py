@@ -27,12 +27,13 @@ ignored.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.llm.common import parts_for, shared_dir, staged
+from corvid.llm.common import discard, parts_for, shared_dir, staged
 
 LONGEST = 200
 TABLES = 3
@@ -86,37 +87,51 @@ def successors(ids: DataFrame) -> DataFrame:
     )
 
 
+def numbered(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``id, text`` -> (``row, id, n_chars, copies``, written; ``row, text`` of
+    the same rows).
+
+    A document is an id with a text; ``copies`` counts its rows. Its number is
+    a 64-bit hash of the digest of both, drawn again (salted) until no two
+    documents share one. Numbers taken from a scan would differ in the next
+    scan when the cores change.
+    """
+    key = F.sha2(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("text")), 256)
+    for salt in itertools.count():
+        row = F.xxhash64(key, F.lit(salt))
+        ids = staged(
+            rows.select(key.alias("key"), row.alias("row"), "id", F.length("text").cast("long").alias("n_chars"))
+            .groupBy("key", "row")
+            .agg(F.first("id").alias("id"), F.first("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies")),
+            "ids",
+        )
+        if ids.groupBy("row").count().filter("count > 1").isEmpty():
+            break
+        discard(ids)
+    texts = rows.select(row.alias("row"), "text")
+    if not ids.filter("copies > 1").isEmpty():
+        texts = texts.dropDuplicates(["row"])
+    return ids.drop("key"), texts
+
+
 def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """-> ``row, id, n_chars, copies, text, edited, next_digests``: the edited
     text has the last half of the characters replaced by the next document's
-    first as many (or all).
-
-    A document is an id with a text, ``copies`` counts its rows. Rows are
-    known by the digest of both: numbers taken from a scan would differ in the
-    next one when the cores change. One exchange of the texts by that key serves
-    both of their uses.
-    """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    key = F.unhex(F.sha2(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("text")), 256))
-    counted = rows.select(key.alias("key"), "id", F.length("text").cast("long").alias("n_chars")).groupBy("key").agg(
-        F.first("id").alias("id"), F.first("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies")
-    )
-    # The numbers are written: whatever reads them later finds the same.
-    ids = staged(counted.withColumn("row", F.monotonically_increasing_id()), "ids")
+    first as many (or all). Both uses of the texts read one exchange by row."""
+    ids, texts = numbered(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
     follow = staged(successors(ids.select("row", "id")), "follow")
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    own = ids.select("row", F.col("key").alias("to"), half.alias("take"))
-    wants = follow.join(own, "row").join(ids.select(F.col("row").alias("next_row"), "key"), "next_row")
-    texts = rows.select(key.alias("key"), "text").repartition("key")
-    given = texts.dropDuplicates(["key"]).join(wants.select("key", "to", "take"), "key").select(
-        F.col("to").alias("key"),
+    wants = follow.join(ids.select("row", half.alias("take")), "row").select(
+        F.col("next_row").alias("row"), F.col("row").alias("to"), "take"
+    )
+    given = texts.join(wants, "row").select(
+        F.col("to").alias("row"),
         F.substr("text", F.lit(1), F.col("take")).alias("head"),
         digests(F.col("text")).alias("next_digests"),
     )
     return (
-        texts.dropDuplicates(["key"])
-        .join(ids, "key")
-        .join(given, "key")
+        texts.join(ids, "row")
+        .join(given, "row")
         .select(
             "row",
             "id",

@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.common import once_a_process, parts_for, staged
+from corvid.llm.word_ids import byte_letters
 
 END_ID = 2
 CAPACITY = 1024
 PER_PART = 60_000
 FAN_IN = 4
 ROUNDS = 2
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 
 
 class WordTokenizer:
@@ -44,14 +45,20 @@ class WordTokenizer:
 
     Its pattern starts a new token at each single space between two
     characters that are not white space, so a text can be cut there and each
-    distinct piece encoded once (at most ``CACHE_WORDS`` are kept). Texts with
-    other spacing are encoded whole, and so are texts with special tokens.
+    distinct piece encoded once (at most ``CACHE_WORDS`` are kept, some 200 bytes
+    each). Pieces of Latin letters go straight to the merges: the pattern would
+    leave them whole, and costs more than the merges do. Texts with other spacing
+    are encoded whole, and so are texts with special tokens.
     """
 
+    LAST_LATIN = "\u024f"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
+        self.merges = self.lib.model.tokenize
+        self.letters = byte_letters()
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.after_space: dict[str, bytes] = {}
         self.marks = {m: self._whole(m) for m in ".,"}
@@ -59,42 +66,42 @@ class WordTokenizer:
     def _whole(self, text: str) -> bytes:
         return array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, words: set[str]) -> set[str]:
-        """Put the ids of words that follow a space into ``after_space``;
-        returns those that cannot stand by themselves (empty ones and such as
-        begin with white space)."""
-        loose = {w for w in words if not w or w[0].isspace()}
+    def _one(self, word: str) -> bytes:
+        """Ids of a word that follows a space."""
+        found = self.after_space.get(word)
+        if found is not None:
+            return found
+        if word.isalpha() and max(word) <= self.LAST_LATIN:
+            spelt = (" " + word).encode().decode("latin-1").translate(self.letters)
+            return array("I", [t.id for t in self.merges(spelt)]).tobytes()
         # A letter run and a mark behind it are tokens of their own.
-        marked = {w for w in words if w[-1:] in self.marks and w[:-1].isalpha()}
-        plain = list((words - loose - marked) | {w[:-1] for w in marked}.difference(self.after_space))
-        found = self.lib.encode_batch_fast([" " + w for w in plain], add_special_tokens=False)
-        self.after_space.update((w, array("I", e.ids).tobytes()) for w, e in zip(plain, found, strict=True))
-        self.after_space.update((w, self.after_space[w[:-1]] + self.marks[w[-1]]) for w in marked)
-        return loose
+        if word[-1:] in self.marks and word[:-1].isalpha():
+            return self._one(word[:-1]) + self.marks[word[-1]]
+        return self._whole(" " + word)
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian 32-bit integers."""
+        if not text:
+            return b""
+        if any(s in text for s in self.special):
+            return self._whole(text)
+        first, *words = text.split(" ")
+        known = self.after_space
+        new = set(words).difference(known)
+        # Pieces that cannot stand by themselves: empty ones and such as begin
+        # with white space.
+        if not first or any(not w or w[0].isspace() for w in new):
+            return self._whole(text)
+        ids = {w: self._one(w) for w in new}
+        if len(known) + len(ids) <= CACHE_WORDS:
+            known.update(ids)
+            take = known.__getitem__
+        else:  # the cache is full: these are not kept
+            take = lambda w: known[w] if w in known else ids[w]
+        return self._whole(first) + b"".join(map(take, words))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        cut = [None if any(s in t for s in self.special) else t.split(" ") for t in texts]
-        words: set[str] = set()
-        for ws in cut:
-            if ws:
-                words.update(ws[1:])
-        known = len(self.after_space)
-        loose = self._learn(words.difference(self.after_space))
-        take = self.after_space.__getitem__
-        out = []
-        for t, ws in zip(texts, cut, strict=True):
-            if not t:
-                out.append(b"")
-            elif ws is None or not ws[0] or (loose and not loose.isdisjoint(ws[1:])):
-                out.append(self._whole(t))
-            else:
-                out.append(self._whole(ws[0]) + b"".join(map(take, ws[1:])))
-        if len(self.after_space) > CACHE_WORDS:
-            # The newest go: a dict gives them back last first.
-            for _ in range(len(self.after_space) - max(known, CACHE_WORDS)):
-                self.after_space.popitem()
-        return out
+        return [self.encode(t) for t in texts]
 
 
 def tokenizer(path: str) -> WordTokenizer:

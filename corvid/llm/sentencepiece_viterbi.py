@@ -42,6 +42,7 @@ from corvid.llm.common import once_a_process
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 400_000
+CACHE_UNITS = 150_000
 CHUNK_CHARS = 1 << 22
 SHORT = 40  # characters of words whose merges need no heap
 
@@ -165,29 +166,45 @@ class MergeModel(PieceModel):
         self.unused = {p.piece for p in proto.pieces if p.type == p.UNUSED}
         own = sorted((p.piece for p in proto.pieces if p.type == p.USER_DEFINED), key=len, reverse=True)
         self.whole = frozenset(own)
+        self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.units: dict[str, list[int]] = {}
         self.begin = re.compile("|".join([*map(re.escape, own), "."]), re.DOTALL).findall if own else list
         self.by_word = self.by_word and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.unused)
 
     def solve(self, text: str) -> list[int]:
-        """Ids of the normalised ``text``."""
-        if len(text) <= SHORT and not self.whole and not self.unused:
-            return self._ids(self._short(text), {})
-        return self._ids(*self._long(text))
+        """Ids of the normalised ``text``. No merge crosses two neighbours that
+        no piece has side by side, so a text is cut there first."""
+        if self.whole or self.unused:
+            return self._ids(*self._long(text))
+        inside, units, out = self.inside, self.units, []
+        cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in inside]
+        start = 0
+        for end in (*cuts, len(text)):
+            unit = text[start:end]
+            start = end
+            found = units.get(unit)
+            if found is None:
+                found = self._ids(self._short(unit) if len(unit) <= SHORT else self._long(unit)[0], {})
+                if len(units) < CACHE_UNITS:
+                    units[unit] = found
+            if len(found) == 1 and found[0] == self.unknown_id and out[-1:] == found:
+                continue  # neighbouring unknowns are one
+            out += found
+        return out
 
     def _short(self, text: str) -> list[str]:
         """The merged parts, by looking through all neighbours each time."""
-        price, none = self.price, np.inf
-        parts = list(text)
-        costs = [price.get(a + b, none) for a, b in zip(parts, parts[1:])]  # noqa: B905
+        price, none = self.price.get, np.inf
+        at = list(range(len(text) + 1))  # where parts begin, and the end
+        costs = [price(text[i : i + 2], none) for i in range(len(text) - 1)]
         while costs and (least := min(costs)) < none:
             i = costs.index(least)
-            parts[i] += parts.pop(i + 1)
-            del costs[i]
+            del at[i + 1], costs[i]
             if i < len(costs):
-                costs[i] = price.get(parts[i] + parts[i + 1], none)
+                costs[i] = price(text[at[i] : at[i + 2]], none)
             if i:
-                costs[i - 1] = price.get(parts[i - 1] + parts[i], none)
-        return parts
+                costs[i - 1] = price(text[at[i - 1] : at[i + 1]], none)
+        return [text[a:b] for a, b in zip(at, at[1:])]  # noqa: B905
 
     def _long(self, text: str) -> tuple[list[str], dict[str, tuple[str, str]]]:
         """The merged parts, by a heap of neighbours; unused pieces, and what
