@@ -65,16 +65,13 @@ def packed(rows: DataFrame, blocks: int) -> DataFrame:
     return rows.select(number, "ord", "point_id", "v", "w").groupBy("block").applyInArrow(_pack, BLOCK)
 
 
-def pairs(left: DataFrame, right: DataFrame, ordered: bool = False) -> DataFrame:
+def pairs(left: DataFrame, right: DataFrame, blocks: int, ordered: bool = False) -> DataFrame:
     """-> ``a, b, left, right``: every block of ``left`` with every one of
-    ``right`` (``ordered``: only where ``a <= b``). Each block goes to its pairs
-    by their numbers, which spread over the tasks."""
-    whole = lambda df, name: df.select("block", F.struct("*").alias(name))
-    numbers = lambda df: df.agg(F.array_sort(F.collect_list("block"))).scalar()
-    mine = whole(left, "left").select(F.col("block").alias("a"), "left", numbers(right).alias("every"))
-    yours = whole(right, "right").select(F.col("block").alias("b"), "right", numbers(left).alias("every"))
-    one = mine.select("a", "left", F.explode("every").alias("b"))
-    two = yours.select("b", "right", F.explode("every").alias("a"))
+    ``right``, numbered below ``blocks`` (``ordered``: only where ``a <= b``).
+    Each block goes to its pairs by their numbers, which spread over the tasks."""
+    every = F.sequence(F.lit(0), F.lit(blocks - 1))
+    one = left.select(F.col("block").alias("a"), F.struct("*").alias("left"), F.explode(every).alias("b"))
+    two = right.select(F.col("block").alias("b"), F.struct("*").alias("right"), F.explode(every).alias("a"))
     if ordered:
         one, two = one.filter("a <= b"), two.filter("a <= b")
     return one.join(two, ["a", "b"])
@@ -105,7 +102,7 @@ def strips(X: np.ndarray, Y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield low, kk.pairwise(X[low : low + SUB_ROWS], Y)
 
 
-def least_distances(blocks: DataFrame) -> DataFrame:
+def least_distances(packed_rows: DataFrame, blocks: int) -> DataFrame:
     """-> one row ``least, positive``: the least distance of two rows and the
     least above 0 (null where there is none)."""
 
@@ -119,6 +116,6 @@ def least_distances(blocks: DataFrame) -> DataFrame:
             positive = min(positive, float(d[d > 0].min(initial=np.inf)))
         return [{"least": least, "positive": positive}]
 
-    every = map_rows(pairs(blocks, blocks, ordered=True), run, "least double, positive double")
+    every = map_rows(pairs(packed_rows, packed_rows, blocks, ordered=True), run, "least double, positive double")
     finite = lambda c: F.when(F.min(c) < F.lit(float("inf")), F.min(c)).alias(c)
     return every.agg(finite("least"), finite("positive"))

@@ -74,8 +74,8 @@ def _added(sign: int):
     return run
 
 
-def _with_changes(state: DataFrame, near: list[float], live: list[int], sign: int) -> DataFrame:
-    changed = bl.map_rows(bl.pairs(state.drop("heavy", "fresh"), state.drop("heavy")), _ball_weights(near, live), PARTIAL)
+def _with_changes(state: DataFrame, count: int, near: list[float], live: list[int], sign: int) -> DataFrame:
+    changed = bl.map_rows(bl.pairs(state.drop("heavy", "fresh"), state.drop("heavy"), count), _ball_weights(near, live), PARTIAL)
     # A block gets one change from each other block: sums of them in between
     # keep a block's row small.
     lanes = F.pmod(F.xxhash64("change"), F.lit(16)).alias("lane")
@@ -125,15 +125,16 @@ def _begun(guesses: int):
     return run
 
 
-def cover(blocks: DataFrame, radii: list[float], k: int, z: int, alpha: float, total: int) -> list[Guess]:
-    """Up to ``k`` greedy balls for each radius (a rising list). Guesses beyond
+def cover(blocks: DataFrame, count: int, radii: list[float], k: int, z: int, alpha: float, total: int) -> list[Guess]:
+    """Up to ``k`` greedy balls for each radius (a rising list) over a set in
+    ``count`` blocks. Guesses beyond
     one that is already feasible are not pursued."""
     schema = STATE + ", open binary"
     near, far = [(1 + 2 * alpha) * r for r in radii], [(3 + 4 * alpha) * r for r in radii]
     found = [Guess(g, r, total) for g, r in enumerate(radii)]
     n = len(radii)
     state = materialised(bl.map_rows(blocks, _begun(n), schema))
-    state = materialised(_with_changes(state, near, list(range(n)), 1))
+    state = materialised(_with_changes(state, count, near, list(range(n)), 1))
     live = [g.number for g in found]
     for step in range(k + 1):
         rows = bl.map_rows(state, _heaviest(live, n), "guess int, heavy long, ord long, point_id long, v array<double>, left_over long")
@@ -154,6 +155,6 @@ def cover(blocks: DataFrame, radii: list[float], k: int, z: int, alpha: float, t
             break
         state = materialised(bl.map_rows(state, _covered({g: centers[g] for g in live}, n), schema))
         if step + 1 < k:
-            state = materialised(_with_changes(state, near, live, -1))
+            state = materialised(_with_changes(state, count, near, live, -1))
     last = min([g.number for g in found if g.left <= z], default=n - 1)
     return found[: last + 1]

@@ -36,7 +36,7 @@ from corvid.operators import kcenter_kernels as kk
 from corvid.session import materialised
 from corvid.sources.points import with_unit_weight
 
-CORESET_SCHEMA = "part int, c int, ord long, point_id long, v array<double>, w long"
+CORESET_SCHEMA = "part int, c int, ord long, point_id long, v array<double>, w long, cover double"
 SOLUTION_SCHEMA = (
     "guess_no int, r double, feasible boolean, left_over long, total long, "
     "center_ord array<long>, center_point_id array<long>, center_v array<array<double>>"
@@ -80,7 +80,8 @@ def _fft_part(m: int):
         X = X[idx]
         ids = tbl.column("point_id").to_numpy()[idx]
         w = tbl.column("w").to_numpy()[idx]
-        centers, weights = kk.farthest_first(X, w, m)
+        cover = tbl.column("cover").to_numpy()[idx]
+        centers, weights, covers = kk.farthest_first(X, w, m, cover)
         c = np.arange(m, dtype=np.int32)
         return pa.table(
             {
@@ -90,6 +91,7 @@ def _fft_part(m: int):
                 "point_id": pa.array(ids[centers].astype(np.int64)),
                 "v": _list_array(X[centers]),
                 "w": pa.array(weights),
+                "cover": pa.array(covers),
             }
         )
 
@@ -97,8 +99,8 @@ def _fft_part(m: int):
 
 
 def _coreset_level(rows: DataFrame, m: int, parts) -> DataFrame:
-    """One round-1 level over ``key, point_id, v, w`` rows."""
-    parted = rows.select(part_of(F.col("key"), parts).alias("part"), "key", "point_id", "v", "w")
+    """One round-1 level over ``key, point_id, v, w, cover`` rows."""
+    parted = rows.select(part_of(F.col("key"), parts).alias("part"), "key", "point_id", "v", "w", "cover")
     return parted.groupBy("part").applyInArrow(_fft_part(m), CORESET_SCHEMA)
 
 
@@ -114,21 +116,24 @@ def coreset(
 ) -> DataFrame:
     """Per part, ``m`` farthest-first centers with their weights.
 
-    -> ``part, c, ord, point_id, v, w``; ``ord = part*m + c`` is the coreset
-    order (part by part, centers in the order chosen). The points are shuffled
-    once. Each further level packs ``part_rows`` coreset rows to a part.
+    -> ``part, c, ord, point_id, v, w, cover``; ``ord = part*m + c`` is the coreset
+    order (part by part, centers in the order chosen). Every point that a center
+    stands for lies within ``cover`` of it, over all levels. The points are
+    shuffled once. Each further level packs ``part_rows`` coreset rows to a part.
     """
     _check(m, L)
     if levels < 1:
         raise ValueError("levels must be >= 1")
-    pts = with_unit_weight(points).select(F.col("point_id").alias("key"), "point_id", "v", "w")
+    pts = with_unit_weight(points).select(
+        F.col("point_id").alias("key"), "point_id", "v", "w", F.lit(0.0).alias("cover")
+    )
     parts = parts_column(points, m, L, part_rows)
     out = _coreset_level(pts, m, parts)
     for _ in range(levels - 1):
         n = parts * F.lit(m)
         rows = F.lit(part_rows) if part_rows else F.ceil(F.sqrt(n * F.lit(float(m))))
         parts = F.ceil(n / F.greatest(rows, F.lit(2 * m))).cast("int")
-        out = _coreset_level(out.select(F.col("ord").alias("key"), "point_id", "v", "w"), m, parts)
+        out = _coreset_level(out.select(F.col("ord").alias("key"), "point_id", "v", "w", "cover"), m, parts)
     return out
 
 
@@ -240,10 +245,10 @@ def _radii(rows: DataFrame, blocks: DataFrame, n: int, m: int, alpha: float, blo
     distance among the first ``m`` rows (after a first guess of 0, half the
     least positive one) to a ball of any row that covers all."""
     first = rows.orderBy("ord", "v").limit(m)
-    head = materialised(bl.packed(first, -(-m // block_rows)))
-    least, positive = bl.least_distances(head).first()
+    count = -(-m // block_rows)
+    least, positive = bl.least_distances(materialised(bl.packed(first, count)), count).first()
     if not least and positive is None:
-        positive = bl.least_distances(blocks).first()["positive"]
+        positive = bl.least_distances(blocks, -(-n // block_rows)).first()["positive"]
     start = rows.orderBy("ord", "v").select("v").first()["v"]
     # Rows within d of the first row are within 2d of each other.
     reach = 2 * rows.agg(F.max(geometry.euclidean(F.col("v"), F.lit(list(start)))).alias("d")).first()["d"]
@@ -277,9 +282,10 @@ def weighted_kcenter(
         raise ValueError("need k >= 1, z >= 0 and lanes >= 1")
     rows, n, total = _written(weighted)
     if n > block_rows and n >= k + z + 1:
-        blocks = materialised(bl.packed(rows, -(-n // block_rows)))
+        count = -(-n // block_rows)
+        blocks = materialised(bl.packed(rows, count))
         radii = _radii(rows, blocks, n, k + z + 1, alpha, block_rows)
-        return _solution(rows.sparkSession, greedy.cover(blocks, radii, k, z, alpha, total), z, total)
+        return _solution(rows.sparkSession, greedy.cover(blocks, count, radii, k, z, alpha, total), z, total)
     tried = _lanes(rows, lanes).applyInArrow(_lane_solver(k, z, alpha, lanes, None), SOLUTION_SCHEMA)
     # A row per guess: what later lanes tried beyond the first feasible goes.
     found = tried.agg(F.array_sort(F.collect_list(F.struct(*tried.columns))).alias("g"))
@@ -301,8 +307,9 @@ def greedy_cover(
     rows, n, total = _written(weighted)
     if n <= block_rows:
         return _lanes(rows, 1).applyInArrow(_lane_solver(k, z, alpha, 1, float(radius)), SOLUTION_SCHEMA)
-    blocks = materialised(bl.packed(rows, -(-n // block_rows)))
-    return _solution(rows.sparkSession, greedy.cover(blocks, [float(radius)], k, z, alpha, total), z, total)
+    count = -(-n // block_rows)
+    blocks = materialised(bl.packed(rows, count))
+    return _solution(rows.sparkSession, greedy.cover(blocks, count, [float(radius)], k, z, alpha, total), z, total)
 
 
 def guess_trace(solution: DataFrame) -> DataFrame:
@@ -351,15 +358,18 @@ def kcenter_report(
     points: DataFrame, k: int, z: int, L: int | None = None, alpha: float = 2, levels: int = 1,
     part_rows: int | None = None,
 ) -> DataFrame:
-    """One row ``n, k, z, L, levels, initial_guess, final_guess, guesses,
-    left_over, objective``.
+    """One row ``n, k, z, L, levels, coreset_radius, initial_guess,
+    final_guess, guesses, left_over, objective``. Every point lies within
+    ``coreset_radius`` of the coreset row that stands for it, so the coreset
+    changes no distance by more than that.
 
     Two passes over the points: the coreset, and the objective against the
     final centers. The solution is one row of a scalar subquery that the
     distances and the report share, so it is found once; ``n`` is its total
     weight (every point is counted once there).
     """
-    solution = kcenter_outliers(points, k, z, L, alpha, levels, part_rows)
+    core = materialised(coreset(points, k + z + 1, L, levels, part_rows))
+    solution = weighted_kcenter(core, k, z, alpha)
     found = solution.agg(
         F.min_by("r", "guess_no").alias("initial_guess"),
         F.max_by("r", "guess_no").alias("final_guess"),
@@ -379,6 +389,7 @@ def kcenter_report(
         F.lit(z).alias("z"),
         parts_column(points, k + z + 1, L, part_rows).alias("L"),
         F.lit(levels).alias("levels"),
+        core.agg(F.max("cover")).scalar().alias("coreset_radius"),
         one["initial_guess"].alias("initial_guess"),
         one["final_guess"].alias("final_guess"),
         one["guesses"].alias("guesses"),

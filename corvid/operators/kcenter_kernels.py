@@ -82,14 +82,18 @@ def order_rows(key: np.ndarray, X: np.ndarray) -> np.ndarray:
     return idx
 
 
-def farthest_first(X: np.ndarray, w: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Farthest-first traversal to ``m`` centers plus their weights.
+def farthest_first(
+    X: np.ndarray, w: np.ndarray, m: int, cover: np.ndarray | float = 0.0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Farthest-first traversal to ``m`` centers, their weights and covers.
 
     Starts at row 0; each next center is the first row of greatest distance
     to the centers so far, or row 0 again when every row is already at
     distance 0 (too few distinct rows). A row's weight goes to its nearest
     center, the earliest one on ties, so repeated centers weigh 0. One
-    distance pass per center gives both the traversal and the weights.
+    distance pass per center gives both the traversal and the weights. A
+    center's cover is a radius that holds all it stands for: the greatest
+    distance to a row of its own plus that row's ``cover``.
     """
     n = X.shape[0]
     XT = columns(X)
@@ -105,7 +109,9 @@ def farthest_first(X: np.ndarray, w: np.ndarray, m: int) -> tuple[np.ndarray, np
             best = int(np.argmax(min_d))
             centers[t + 1] = best if min_d[best] > 0 else 0
     weights = np.bincount(owner, weights=w.astype(np.float64), minlength=m).astype(np.int64)
-    return centers, weights
+    covers = np.zeros(m)
+    np.maximum.at(covers, owner, min_d + cover)
+    return centers, weights, covers
 
 
 FULL_ROWS = 4096  # up to here the distances are kept between steps and guesses

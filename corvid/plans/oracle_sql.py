@@ -328,6 +328,8 @@ def kcenter_sql(
     report = (
         "SELECT (SELECT CAST(count(*) AS BIGINT) FROM pts) AS n,"
         f" CAST({k} AS INTEGER) AS k, CAST({z} AS INTEGER) AS z, CAST({L} AS INTEGER) AS L, CAST(1 AS INTEGER) AS levels,"
+        f" (SELECT max(d) FROM (SELECT min({dist('p.v', 'cv.v')}) AS d FROM ppts p JOIN fft f ON p.part = f.part"
+        " JOIN pts cv ON cv.point_id = f.cid GROUP BY p.point_id)) AS coreset_radius,"
         " t.initial_guess, t.final_guess, t.guesses,"
         f" (SELECT left_over FROM a2_left WHERE g = {first2}) AS left_over,"
         f" (SELECT min(d) FROM ({farthest})) AS objective FROM ({trace2}) t"

@@ -78,7 +78,7 @@ def test_a_row_is_never_in_a_group_of_more_than_two_blocks(spark, monkeypatch):
         return []
 
     blocks = bl.packed(frame(spark, point_rows(5, 200)).withColumnRenamed("point_id", "ord").selectExpr("ord", "ord AS point_id", "v", "w"), 20)
-    pairs = bl.pairs(blocks, blocks)
+    pairs = bl.pairs(blocks, blocks, 20)
     assert pairs.count() == 400
     assert pairs.agg({"a": "max"}).first()[0] == 19
     assert blocks.agg({"rows": "sum"}).first()[0] == 200
@@ -90,9 +90,9 @@ def test_least_distances(spark):
     rows = point_rows(6, 70, digits=2)
     df = frame(spark, rows).selectExpr("point_id AS ord", "point_id", "v", "w")
     every = [distance(a[1], b[1]) for i, a in enumerate(rows) for b in rows[:i]]
-    got = bl.least_distances(bl.packed(df, 6)).first()
+    got = bl.least_distances(bl.packed(df, 6), 6).first()
     assert got["least"] == min(every) and got["positive"] == min(d for d in every if d > 0)
-    assert tuple(bl.least_distances(bl.packed(df.limit(1), 1)).first()) == (None, None)
+    assert tuple(bl.least_distances(bl.packed(df.limit(1), 1), 1).first()) == (None, None)
 
 
 @pytest.mark.parametrize("radius", [0.0, 0.1, 0.5, 3.0, 1e12])
@@ -170,3 +170,32 @@ def test_center_weights_take_the_parts_of_the_centers(spark):
         assert got == want and sum(got.values()) == 500
     with pytest.raises(ValueError):
         kcenter.center_weights(points, centers.drop("parts"))
+
+
+@pytest.mark.parametrize("m", [2, 20, 55, 90])
+def test_initial_radius_over_blocks(spark, m):
+    rows = point_rows(11, 90, digits=3)
+    points = frame(spark, rows)
+    want = min(distance(a[1], b[1]) for i, a in enumerate(rows[:m]) for b in rows[:i]) / 2
+    for size in (4096, 8):
+        assert geometry.initial_radius(points, m, size).first()["r0"] == want
+
+
+def test_covers_hold_what_centers_stand_for(spark):
+    rows = [(i, v) for i, v, _ in point_rows(12, 240, digits=3)]
+    points = spark.createDataFrame(rows, "point_id long, v array<double>")
+    for levels in (1, 2):
+        core = kcenter.coreset(points, 5, None, levels, 30).collect()
+        near = [min((distance(v, c["v"]) for c in core)) for _, v in rows]
+        assert max(near) <= max(c["cover"] for c in core) + 1e-12
+        if levels == 1:
+            own = {}
+            for c in core:
+                own.setdefault(c["part"], []).append(c)
+            parts = max(own) + 1
+            exact = [min((distance(v, c["v"]), c["c"]) for c in own[i % parts]) for i, v in rows]
+            for c in core:
+                mine = [d for (i, _), (d, k) in zip(rows, exact, strict=True) if i % parts == c["part"] and k == c["c"]]
+                assert c["cover"] == max(mine, default=0.0)
+    report = kcenter.kcenter_report(points, 3, 1, part_rows=30).first()
+    assert report["coreset_radius"] == max(c["cover"] for c in kcenter.coreset(points, 5, None, 1, 30).collect())

@@ -76,7 +76,7 @@ def test_distance_operators_do_not_shuffle_points(spark):
         "word_count_rand_group", "word_count_partition", "distinct_words", "avg_word_length",
         "transactions", "sales_filtered", "product_customer", "product_customer_count",
         "popularity_grouped", "popularity_reduced", "top_products", "products_listing",
-        "top_products_by_country", "points", "initial_radius")]
+        "top_products_by_country", "points")]
 )
 def test_no_python_outside_kcenter_kernels(spark, name):
     assert not uses_python_udf(se.queries()[name](spark, SF_SMALL))
