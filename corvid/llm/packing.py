@@ -37,7 +37,7 @@ CAPACITY = 1024
 PER_PART = 60_000
 FAN_IN = 4
 ROUNDS = 2
-CACHE_WORDS = 250_000
+CACHE_WORDS = 350_000
 
 
 class WordTokenizer:
@@ -62,22 +62,28 @@ class WordTokenizer:
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.after_space: dict[str, bytes] = {}
         self.marks = {m: self._whole(m) for m in ".,"}
+        self.line_end = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _one(self, word: str) -> bytes:
-        """Ids of a word that follows a space."""
-        found = self.after_space.get(word)
-        if found is not None:
-            return found
+    def _made(self, word: str, space: str) -> bytes:
+        """Ids of a word behind ``space`` (one or none)."""
         if word.isalpha() and max(word) <= self.LAST_LATIN:
-            spelt = (" " + word).encode().decode("latin-1").translate(self.letters)
+            spelt = (space + word).encode().decode("latin-1").translate(self.letters)
             return array("I", [t.id for t in self.merges(spelt)]).tobytes()
-        # A letter run and a mark behind it are tokens of their own.
+        # A letter run and a mark behind it are tokens of their own, and so is
+        # one line end between characters that are not white space.
         if word[-1:] in self.marks and word[:-1].isalpha():
-            return self._one(word[:-1]) + self.marks[word[-1]]
-        return self._whole(" " + word)
+            return self._one(word[:-1], space) + self.marks[word[-1]]
+        head, end, tail = word.partition("\n")
+        if end and head and tail and not (head[-1].isspace() or tail[0].isspace()):
+            return self._one(head, space) + self.line_end + self._one(tail, "")
+        return self._whole(space + word)
+
+    def _one(self, word: str, space: str) -> bytes:
+        found = self.after_space.get(word) if space else None
+        return self._made(word, space) if found is None else found
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian 32-bit integers."""
@@ -92,13 +98,13 @@ class WordTokenizer:
         # with white space.
         if not first or any(not w or w[0].isspace() for w in new):
             return self._whole(text)
-        ids = {w: self._one(w) for w in new}
+        ids = {w: self._made(w, " ") for w in new}
         if len(known) + len(ids) <= CACHE_WORDS:
             known.update(ids)
             take = known.__getitem__
         else:  # the cache is full: these are not kept
             take = lambda w: known[w] if w in known else ids[w]
-        return self._whole(first) + b"".join(map(take, words))
+        return self._one(first, "") + b"".join(map(take, words))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         return [self.encode(t) for t in texts]

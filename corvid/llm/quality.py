@@ -346,12 +346,14 @@ def keep_good(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFra
     """``docs`` (``doc_id, text, lang, source``, further columns kept) without
     the rejected ones: one narrow pass after the fit, no join."""
     model = train(docs, labels)
+    # Columns go by place: their names may be any.
+    at = [docs.columns.index(c) for c in ("text", "lang", "source")]
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
     def run(batches):
         for batch in batches:
-            at = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            rows = zip(*(at[c].to_pylist() for c in ("text", "lang", "source")), strict=True)
+            rows = zip(*(batch.column(i).to_pylist() for i in at), strict=True)
             good = [model.text is None or model.scores(t or "", a or "", b or "")[2] >= keep for t, a, b in rows]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
