@@ -1,5 +1,12 @@
 """The corpus pipeline: quality filter, exact dedup, near dedup, substring
-dedup and packing, each stage over all that its predecessor kept."""
+dedup and packing, each stage over all that its predecessor kept.
+
+Defined results of every stage: null and empty texts, very long texts, rows that
+repeat an id or a whole row, null ids, null languages and sources, empty tables
+and further columns of any name pass without error; the first four stages
+return the columns of their input, in order. What each does with such rows is
+said below.
+"""
 
 from __future__ import annotations
 
@@ -14,27 +21,38 @@ NEAR_PERCENT = 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier keeps."""
+    """Documents that the co-trained classifier keeps, every row judged by
+    itself. Null text, language and source are judged as empty and returned as
+    null; repeated rows are judged alike; without labels of both kinds every
+    document stays."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (of the largest id) of each group of equal texts."""
+    """One document (of the largest id) of each group of equal texts. Null
+    counts as empty, so of all empty texts one stays; a null id is smaller than
+    any other; of rows that repeat id and text any one stays."""
     return exact_dedup.drop_copies(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (of the least id) of each group of near duplicates."""
+    """One document (of the least id) of each group of near duplicates. Texts
+    without words and rows with a null id are linked with nothing and stay; rows
+    of one id stay or go together."""
     return near_dedup.drop_near(docs, NEAR_PERCENT)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a document of a smaller id has."""
+    """Texts without the passages that a document of a smaller id has; no row
+    goes. Null stays null; a text that loses all its words is empty; rows of one
+    id count as one document; rows with a null id stay whole."""
     return suffix_tree.drop_repeats(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces placed in sequences."""
+    """Token pieces placed in sequences. Null and empty texts are the end id
+    alone; repeated rows and null ids are packed as documents of their own;
+    further columns are not returned."""
     return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json")))
 
 
