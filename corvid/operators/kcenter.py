@@ -236,6 +236,10 @@ def _written(weighted: DataFrame) -> tuple[DataFrame, int, int]:
     """(``ord, point_id, v, w`` written once, rows, total weight)."""
     order = F.col("ord") if "ord" in weighted.columns else F.col("point_id")
     rows = materialised(with_unit_weight(weighted).select(order.alias("ord"), "point_id", "v", F.col("w").cast("long").alias("w")))
+    return _counted(rows)
+
+
+def _counted(rows: DataFrame) -> tuple[DataFrame, int, int]:
     n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first()
     return rows, n, total
 
@@ -280,7 +284,13 @@ def weighted_kcenter(
     """
     if k < 1 or z < 0 or lanes < 1:
         raise ValueError("need k >= 1, z >= 0 and lanes >= 1")
-    rows, n, total = _written(weighted)
+    return _search(*_written(weighted), k, z, alpha, lanes, block_rows)
+
+
+def _search(
+    rows: DataFrame, n: int, total: int, k: int, z: int, alpha: float, lanes: int = LANES, block_rows: int = bl.BLOCK_ROWS
+) -> DataFrame:
+    """The search over a written set of ``n`` rows and ``total`` weight."""
     if n > block_rows and n >= k + z + 1:
         count = -(-n // block_rows)
         blocks = materialised(bl.packed(rows, count))
@@ -368,8 +378,10 @@ def kcenter_report(
     distances and the report share, so it is found once; ``n`` is its total
     weight (every point is counted once there).
     """
+    if k < 1 or z < 0:
+        raise ValueError("need k >= 1 and z >= 0")
     core = materialised(coreset(points, k + z + 1, L, levels, part_rows))
-    solution = weighted_kcenter(core, k, z, alpha)
+    solution = _search(*_counted(core.select("ord", "point_id", "v", "w")), k, z, alpha)
     found = solution.agg(
         F.min_by("r", "guess_no").alias("initial_guess"),
         F.max_by("r", "guess_no").alias("final_guess"),
