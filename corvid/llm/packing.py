@@ -101,10 +101,10 @@ class WordTokenizer:
         ids = {w: self._made(w, " ") for w in new}
         if len(known) + len(ids) <= CACHE_WORDS:
             known.update(ids)
-            take = known.__getitem__
-        else:  # the cache is full: these are not kept
-            take = lambda w: known[w] if w in known else ids[w]
-        return self._one(first, "") + b"".join(map(take, words))
+            return self._one(first, "") + b"".join(map(known.__getitem__, words))
+        # The cache is full: these are not kept.
+        found = known.get
+        return self._one(first, "") + b"".join([found(w) or ids[w] for w in words])
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         return [self.encode(t) for t in texts]

@@ -114,3 +114,9 @@ def test_one_length_that_does_not_combine(spark, path):
 
 def test_empty_table(spark, path):
     assert cs.pack(make_docs(spark, []), path).collect() == []
+
+
+def test_words_without_ids_and_a_full_cache(path):
+    lib, mine = Tokenizer.from_file(path), WordIds(path, cache_bytes=1000)
+    for t in (" ", "a   b", "one two three four five six     seven", "  x"):
+        assert np.frombuffer(mine.encode(t.encode()), np.uint32).tolist() == lib.encode(t, add_special_tokens=False).ids
