@@ -112,12 +112,16 @@ def test_a_shared_passage_is_no_hot_task(spark, module, dtype, monkeypatch):
         packs = repeats._contexts(rows, method, 20).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    size = [0] * 20
+    size, seen = [0] * 20, 0
+    windows = len(values.codes) - method.width + 1
+    keys = []
     for p in packs:
         size[p["task"]] += int.from_bytes(p["packed"][:8], "little")
-    windows = len(values.codes) - method.width + 1
-    assert sum(size) == n * windows and max(size) < 2 * sum(size) / 20
-    keys = [k for p in packs for k in repeats._unpacked(p["packed"], method.width, np.dtype(dtype).itemsize)[0]]
+        live, *_, counts, _, known = repeats._unpacked(p["packed"], method.width, np.dtype(dtype).itemsize)
+        keys += live
+        seen += sum(counts) + int(known[2].sum())
+    # Every window arrives; a document's known ones are a single run.
+    assert seen == n * windows and sum(size) == windows + n - 1 and max(size) < sum(size) / 4
     assert len(keys) == len(set(keys)) == windows
 
 
