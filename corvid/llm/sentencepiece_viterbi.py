@@ -41,8 +41,8 @@ from corvid.llm.common import once_a_process
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 400_000
-CACHE_UNITS = 150_000
+CACHE_WORDS = 350_000
+CACHE_UNITS = 100_000
 CHUNK_CHARS = 1 << 22
 SHORT = 40  # characters of words whose merges need no heap
 
@@ -127,27 +127,24 @@ class PieceModel:
 
     solve = viterbi
 
-    def _packed(self, word: str) -> bytes:
-        """The word's ids as 32-bit integers, solved once while it is kept."""
-        found = self.cache.get(word)
-        if found is None:
-            found = array("i", self.solve(word)).tobytes()
-            if len(self.cache) < CACHE_WORDS:
-                self.cache[word] = found
-        return found
-
     def encode(self, text: str) -> bytes:
-        """Ids of a raw text as 32-bit integers."""
+        """Ids of a raw text as 32-bit integers; a word is solved once while it
+        is kept."""
         norm = self.lib.normalize(text) if text else ""
         if not norm:
             return b""
         if not self.by_word:
             return array("i", self.solve(norm)).tobytes()
-        return b"".join(map(self._packed, re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", norm)))
+        words = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", norm)
+        known = self.cache
+        new = {w: array("i", self.solve(w)).tobytes() for w in set(words).difference(known)}
+        if len(known) + len(new) <= CACHE_WORDS:
+            known.update(new)
+            return b"".join(map(known.__getitem__, words))
+        return b"".join([known[w] if w in known else new[w] for w in words])
 
     def decode(self, ids) -> str:
-        raw = self.raw
-        out = b"".join([raw[i] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
+        out = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return out[1:] if self.dummy_prefix and out.startswith(" ") else out
 
 
@@ -315,7 +312,11 @@ def decode(encoded: DataFrame, model_path: str, out_col: str = "decoded") -> Dat
             k = whole.schema.get_field_index("ids")
             sizes = pc.fill_null(pc.list_value_length(whole.column(k)), 0).to_numpy(zero_copy_only=False) * 4
             for batch in _slices(whole, sizes):
-                texts = [m.decode(x or ()) for x in batch.column(k).to_pylist()]
+                column = batch.column(k)
+                ids = column.flatten().to_numpy().tolist()
+                size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+                ends = np.cumsum(size).tolist()
+                texts = [m.decode(ids[a:b]) for a, b in zip([0, *ends], ends)]  # noqa: B905
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out_col]
                 )
