@@ -149,7 +149,10 @@ def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     name = f"fingerprints_{uuid.uuid4().hex}"
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}"
     df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
-    return df.sparkSession.table(name)
+    out = df.sparkSession.table(name)
+    # The frame knows its files; the name is no longer needed.
+    df.sparkSession.sql(f"DROP TABLE {name}")
+    return out
 
 
 def _cells(keys: DataFrame, by: list[str], salt: int) -> DataFrame:

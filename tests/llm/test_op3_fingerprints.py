@@ -53,3 +53,10 @@ def test_successors_cross_ranges(spark):
     got = {r["row"]: r["next_row"] for r in fp.successors(rows).collect()}
     order = [r for r, _ in sorted(((k, k * 7919 % 100003) for k in range(500)), key=lambda x: -x[1])]
     assert got == {a: b for a, b in zip(order, order[1:] + order[:1], strict=True)}
+
+
+def test_no_table_is_left_in_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    out = fp.fingerprint_edits(make_docs(spark, ["one. two.", "three. four.\nfive"]))
+    assert out.count() == 2
+    assert {t.name for t in spark.catalog.listTables()} == before
