@@ -7,9 +7,10 @@ import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,10 +72,20 @@ def text_total(docs: DataFrame, text: str = "text") -> tuple[int, int]:
 
 
 def once_a_process(key: Any, make: Callable[[], Any]) -> Any:
-    """``make()``, kept as long as the Python worker lives. Tasks get this
-    package's functions by value, each with globals of its own, so what tasks
-    share (a loaded vocabulary, say) is kept in a module made for it."""
+    """``make()``, kept as long as the Python worker lives or until another key
+    is asked for: a worker that goes on to the next stage holds no vocabulary or
+    table of the last. Tasks get this package's functions by value, each with
+    globals of its own, so what tasks share is kept in a module made for it."""
     kept = sys.modules.setdefault("_corvid_kept", types.ModuleType("_corvid_kept")).__dict__
     if key not in kept:
+        kept.clear()
+        pa.default_memory_pool().release_unused()
         kept[key] = make()
     return kept[key]
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices: Python objects of some rows at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)

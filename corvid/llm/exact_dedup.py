@@ -139,6 +139,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("id"), F.sha2(lower_ascii(F.col(f"`{text_col}`")), 256).alias("sha")
     )
     same = rows["id"].eqNullSafe(marked["id"]) & (rows["sha"] == marked["sha"])
-    once = rows.join(marked, same, "left_anti")
-    again = rows.join(marked.filter("best"), same, "left_semi").dropDuplicates(["id", "sha"])
-    return once.unionByName(again).select("row.*")
+    kept = rows.join(marked, same, "left_anti")
+    repeated = marked.filter("best")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(rows.join(repeated, same, "left_semi").dropDuplicates(["id", "sha"]))
+    return kept.select("row.*")

@@ -37,7 +37,7 @@ CAPACITY = 1024
 PER_PART = 60_000
 FAN_IN = 4
 ROUNDS = 2
-CACHE_WORDS = 350_000
+CACHE_WORDS = 200_000
 
 
 class WordTokenizer:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import staged
+from corvid.llm.common import slices, staged
 
 LABELLED = 15_000
 POOL = 6_000
@@ -328,7 +328,7 @@ def score(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
     """-> ``doc_id, p_text, p_meta, score, kept``, a row per document."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             docs_, texts, langs, sources = (c for c in batch.columns)
             out = [
                 model.scores(t, a, b)
@@ -351,7 +351,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFra
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = zip(*(batch.column(i).to_pylist() for i in at), strict=True)
             good = [model.text is None or model.scores(t or "", a or "", b or "")[2] >= keep for t, a, b in rows]
             yield batch.filter(pa.array(good, pa.bool_()))
