@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import math
 import sys
-import tempfile
 import types
 import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.session import shared_checkpoint_dir
+from corvid.session import shared_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -24,21 +23,6 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(F.coalesce(col, F.lit("")), UPPER, UPPER.lower())
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Where it is unset, a temporary folder is set as checkpoint folder, but
-    only under a local master: on a cluster the setting is required.
-    """
-    found = shared_checkpoint_dir(spark)
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corvid-ckpt-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts
     the lineage, and a lost executor costs no recomputation."""
