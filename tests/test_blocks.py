@@ -199,3 +199,39 @@ def test_covers_hold_what_centers_stand_for(spark):
                 assert c["cover"] == max(mine, default=0.0)
     report = kcenter.kcenter_report(points, 3, 1, part_rows=30).first()
     assert report["coreset_radius"] == max(c["cover"] for c in kcenter.coreset(points, 5, None, 1, 30).collect())
+
+
+def test_only_blocks_at_the_edge_of_a_ball_are_compared(spark):
+    from corvid.operators import greedy
+
+    rows = [(i, [float(i), float(i % 3)], 1) for i in range(1000)]
+    df = frame(spark, rows).selectExpr("point_id AS ord", "point_id", "v", "w").localCheckpoint()
+    blocks = bl.near_packed(df, 1000, 50).localCheckpoint()
+    sizes = [r["rows"] for r in blocks.collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 50
+    boxes = greedy.Boxes(*bl.boxes(blocks))
+    near = [20.0, 300.0]
+    fresh = np.array([[r, r] for _, r in sorted((r["block"], r["rows"]) for r in blocks.collect())])
+    pairs, each = boxes.met(near, [0, 1], fresh)
+    assert 0 < len(pairs) < len(sizes) ** 2 / 2 and each
+    want = kcenter.weighted_kcenter(frame(spark, rows), 3, 20).collect()
+    assert kcenter.weighted_kcenter(frame(spark, rows), 3, 20, block_rows=50).collect() == want
+
+
+@pytest.mark.parametrize("d", [1, 5])
+def test_any_number_of_centers_in_groups(spark, monkeypatch, d):
+    for name in ("GROUP_POINTS", "GROUP_CENTERS", "NEAR_ROWS"):
+        monkeypatch.setattr(geometry, name, 7)
+    points = frame(spark, point_rows(13, 60, d))
+    points = points.unionByName(points.limit(5))  # ids repeat
+    centers = points.selectExpr("point_id + 1000 AS id", "v").limit(25)
+    for op in (geometry.point_distances, geometry.nearest_center_distance, geometry.nearest_distance):
+        want = sorted(map(tuple, op(points, centers).collect()))
+        assert sorted(map(tuple, op(points, centers, None).collect())) == want
+    nothing = centers.limit(0)
+    assert geometry.point_distances(points, nothing, None).count() == 0
+    assert {tuple(r)[1:] for r in geometry.nearest_center_distance(points, nothing, None).collect()} == {(None, None)}
+    more = spark.range(geometry.MAX_CENTERS + 1).selectExpr("id", "array(cast(id AS double)) AS v")
+    one = spark.range(1).selectExpr("id AS point_id", "array(1D) AS v")
+    monkeypatch.undo()
+    assert tuple(geometry.nearest_center_distance(one, more, None).first()) == (0, 1, 0.0)
