@@ -235,3 +235,13 @@ def test_any_number_of_centers_in_groups(spark, monkeypatch, d):
     one = spark.range(1).selectExpr("id AS point_id", "array(1D) AS v")
     monkeypatch.undo()
     assert tuple(geometry.nearest_center_distance(one, more, None).first()) == (0, 1, 0.0)
+
+
+def test_center_weights_are_found_part_by_part(spark):
+    rows = [(i, v) for i, v, _ in point_rows(14, 90)]
+    points = spark.createDataFrame(rows, "point_id long, v array<double>")
+    centers = kcenter.fft_centers(points, 40, 3)  # parts of 30 points: centers repeat
+    found = kcenter.center_weights(points, centers)
+    assert "Join" not in plan_text(found, "simple") and "collect_list" not in plan_text(found, "simple")
+    want = {(r["part"], r["c"]): (r["point_id"], r["w"]) for r in kcenter.coreset(points, 40, 3).collect()}
+    assert {(r["part"], r["c"]): (r["point_id"], r["w"]) for r in found.collect()} == want
