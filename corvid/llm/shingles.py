@@ -126,7 +126,7 @@ class Words:
         self.first = np.searchsorted(self.starts, self.begin)
 
 
-def text_slices(texts: list[str | None], most: int = 1 << 20):
+def text_slices(texts: list[str | None], most: int = 1 << 18):
     """(from, to) ranges of texts with about ``most`` characters (or one text)."""
     at, size = 0, 0
     for i, t in enumerate(texts):

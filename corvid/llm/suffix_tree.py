@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvid.llm import repeats
+from corvid.llm.common import slices
 from corvid.llm.shingles import Words, run_hashes, text_slices
 
 WIDTH = 13
@@ -96,7 +97,7 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, width: int, gram: int, fre
     names = ["id", "n_words", "n_removed", "kept", "kept_sha256", "rest"]
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             n, gone, kept, sha = [], [], [], []
             for (a, b, c), text in zip(_kept(batch, width), repeats.text_of(batch.column(1)), strict=True):
                 n.append(a), gone.append(b), sha.append(hashlib.sha256(c).hexdigest())
