@@ -6,6 +6,7 @@ import pytest
 
 from corvid.operators import blocks as bl
 from corvid.operators import geometry, kcenter
+from corvid.operators import kcenter_kernels as kk
 from corvid.plans.inspect import plan_text
 
 
@@ -245,3 +246,45 @@ def test_center_weights_are_found_part_by_part(spark):
     assert "Join" not in plan_text(found, "simple") and "collect_list" not in plan_text(found, "simple")
     want = {(r["part"], r["c"]): (r["point_id"], r["w"]) for r in kcenter.coreset(points, 40, 3).collect()}
     assert {(r["part"], r["c"]): (r["point_id"], r["w"]) for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("d", [1, 3, 64])
+@pytest.mark.parametrize("scale", [1e-160, 1e-30, 1.0, 1e6, 1e150, 1e250])
+def test_matrix_products_settle_what_the_exact_distances_say(d, scale):
+    r = np.random.default_rng(15)
+    X, Y = r.normal(size=(300, d)), r.normal(size=(200, d))
+    X[:40], Y[40:60] = Y[:40], Y[:20]  # equal rows: ties and distances of 0
+    X[40:60] += 1e4  # far rows loosen the bounds of the others
+    Y[100:110] = X[100:110] * (1 + 2.0**-52)
+    X, Y = X * scale, Y * scale
+    want = kk.pairwise(X, Y)
+    least, at = kk.nearest_rows(X, Y)
+    assert (least == want.min(axis=1)).all() and (at == want.argmin(axis=1)).all()
+    some = [float(x) for x in want.reshape(-1)[::7001]]  # edges that some pairs lie on
+    for radius in [-1.0, 0.0, float("inf"), *some, *np.nextafter(some, 0).tolist(), 2 * float(want.max())]:
+        found = np.concatenate([inside for _, inside in kk.within(X, Y, radius)])
+        assert (found == (want <= radius)).all()
+
+
+def test_points_near_centers_are_not_all_measured_one_by_one(monkeypatch):
+    """Of the pairs of unit vectors only those that rounding leaves open are."""
+    r = np.random.default_rng(16)
+    X = r.normal(size=(2000, 64))
+    X /= np.linalg.norm(X, axis=1)[:, None]
+    measured, some, every = [], kk.some_distances, kk.pairwise
+    monkeypatch.setattr(kk, "some_distances", lambda A, B, i, j: measured.append(len(i)) or some(A, B, i, j))
+    monkeypatch.setattr(kk, "pairwise", lambda A, B, *a: measured.append(len(A) * len(B)) or every(A, B, *a))
+    kk.nearest_rows(X, X[:500])
+    list(kk.within(X, X[:500], 1.3))
+    assert 0 < sum(measured) < len(X) * 500 / 100
+
+
+def test_groups_hold_few_coordinates_of_long_vectors(spark, monkeypatch):
+    monkeypatch.setattr(geometry, "GROUP_VALUES", 64)
+    points = frame(spark, point_rows(17, 40, 16))
+    centers = points.selectExpr("point_id AS id", "v")
+    assert points.agg(geometry._room("v", geometry.NEAR_ROWS)).first()[0] == 10
+    found = {r["point_id"]: (r["center_id"], r["d"]) for r in geometry.nearest_center_distance(points, centers, None).collect()}
+    assert found == {i: (i, 0.0) for i, _, _ in point_rows(17, 40, 16)}
+    weights = geometry.ball_weights(points, centers, 0.0).collect()
+    assert {r["center_id"]: r["ball_weight"] for r in weights} == {i: w for i, _, w in point_rows(17, 40, 16)}
