@@ -10,10 +10,12 @@ said below.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from corvid.llm import exact_dedup, near_dedup, packing, quality, suffix_tree
-from corvid.llm.common import staged
+from corvid.llm.common import small_batches, staged
 from corvid.llm.queries import vocabulary
 from corvid.sources.tables import table
 
@@ -56,12 +58,25 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json")))
 
 
+def written(stage):
+    """The stage with its result written and read again, all of its jobs run
+    with small Arrow batches: the setting holds when a plan is made, so it would
+    not reach a result that is left to its reader."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with small_batches(spark):
+            return staged(stage(spark, docs, sf_dir), stage.__name__)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality classifier", quality_stage),
-    ("exact dedup", exact_stage),
-    ("MinHash near-dedup", near_stage),
-    ("substring dedup", substring_stage),
-    ("best-fit packing", packing_stage),
+    ("quality classifier", written(quality_stage)),
+    ("exact dedup", written(exact_stage)),
+    ("MinHash near-dedup", written(near_stage)),
+    ("substring dedup", written(substring_stage)),
+    ("best-fit packing", written(packing_stage)),
 ]
 
 # A co-trained classifier, connected components and packing are no SQL.
@@ -71,6 +86,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = staged(stage(spark, docs, sf_dir), f"stage{number}")
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
     return docs

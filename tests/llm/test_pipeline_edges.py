@@ -1,9 +1,11 @@
 """Every pipeline stage with awkward rows and empty tables."""
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as cp
 from cases import awkward
+from corvid.llm import common
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, `a.b` int, row long, __row string, spans int"
 
@@ -60,3 +62,22 @@ def test_empty_tables_pass_every_stage(spark, tables):
     for _, stage in cp.STAGES:
         docs = cp.staged(stage(spark, docs, path), "empty")
         assert docs.count() == 0
+
+
+@pytest.mark.parametrize("own", [None, "7", "5000", "0"])
+def test_stages_send_few_rows_at_a_time(spark, own):
+    """Whoever reads a stage's result, its texts went to Python in small batches."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    stage = cp.written(lambda s, docs, d: docs.mapInArrow(sizes, "n long"))
+    if own:
+        spark.conf.set(common.BATCH_CONF, own)
+    try:
+        found = [r["n"] for r in stage(spark, spark.range(0, 3000, 1, 1), "").collect()]
+        assert spark.conf.get(common.BATCH_CONF, None) == own
+    finally:
+        spark.conf.unset(common.BATCH_CONF)
+    assert sum(found) == 3000 and max(found) == (7 if own == "7" else common.BATCH_ROWS)
