@@ -15,7 +15,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from corvid.llm import exact_dedup, near_dedup, packing, quality, suffix_tree
-from corvid.llm.common import small_batches, staged
+from corvid.llm.common import discard, small_batches, staged
 from corvid.llm.queries import vocabulary
 from corvid.sources.tables import table
 
@@ -58,23 +58,38 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json")))
 
 
+CODEC = "zstd"  # of texts that lie in the shared folder
+
+
+def read_by_plan(stage):
+    """The stage with its own jobs run with small Arrow batches. Its result is
+    left to its reader: a plan that sends nothing to Python, so no copy of the
+    texts is kept for it."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with small_batches(spark):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def written(stage):
     """The stage with its result written and read again, all of its jobs run
     with small Arrow batches: the setting holds when a plan is made, so it would
     not reach a result that is left to its reader."""
 
     @wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        with small_batches(spark):
-            return staged(stage(spark, docs, sf_dir), stage.__name__)
+    def write_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return staged(stage(spark, docs, sf_dir), stage.__name__, CODEC)
 
-    return run_stage
+    return read_by_plan(write_stage)
 
 
 STAGES = [
     ("quality classifier", written(quality_stage)),
-    ("exact dedup", written(exact_stage)),
-    ("MinHash near-dedup", written(near_stage)),
+    ("exact dedup", read_by_plan(exact_stage)),
+    ("MinHash near-dedup", read_by_plan(near_stage)),
     ("substring dedup", written(substring_stage)),
     ("best-fit packing", written(packing_stage)),
 ]
@@ -84,8 +99,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
+    """All stages over ``documents``; each result is written and read again, and
+    deleted when the next one is written."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        out = stage(spark, docs, sf_dir)
+        if "staged_path" not in vars(out):
+            out = staged(out, stage.__name__, CODEC)
+        if "staged_path" in vars(docs):
+            discard(docs)
+        docs = out
     return docs

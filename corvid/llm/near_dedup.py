@@ -309,6 +309,15 @@ def near_groups(
     trees: int = TREES, node: int = NODE, depth: int = DEPTH, block: int = BLOCK,
 ) -> DataFrame:
     """-> ``<id_col>, n_shingles, component_id, kept``."""
+    return _near_groups(docs, percent, id_col, text_col, trees, node, depth, block)[0]
+
+
+def _near_groups(
+    docs: DataFrame, percent: int, id_col: str, text_col: str,
+    trees: int = TREES, node: int = NODE, depth: int = DEPTH, block: int = BLOCK,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of ``near_groups``, and the large staged tables that they are
+    read from."""
     threshold = percent / 100
     sketch = staged(sketches(docs, id_col, text_col, threshold, trees), "sketches")
     known = sketch.filter("digest is not null and id is not null")
@@ -332,15 +341,18 @@ def near_groups(
     found = classes.select("digest", F.col("id").alias("node")).join(links, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component")
     )
-    return sketch.join(found, "digest", "left").select(
+    groups = sketch.join(found, "digest", "left").select(
         F.col("id").alias(id_col),
         "n_shingles",
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"),
     )
+    return groups, [sketch, classes]
 
 
 def drop_near(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group, all columns kept."""
-    dropped = near_groups(docs, percent, id_col, text_col).filter("not kept").select(id_col)
-    return docs.join(staged(dropped, "near"), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    groups, used = _near_groups(docs, percent, id_col, text_col)
+    dropped = staged(groups.filter("not kept").select(id_col), "near")
+    discard(*used)
+    return docs.join(dropped, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,11 +1,15 @@
 """Every pipeline stage with awkward rows and empty tables."""
 
+import os
+import random
+
 import pyarrow as pa
 import pytest
 
 import corpus_pipeline as cp
 from cases import awkward
 from corvid.llm import common
+from corvid.plans.inspect import uses_python_udf
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, `a.b` int, row long, __row string, spans int"
 
@@ -81,3 +85,38 @@ def test_stages_send_few_rows_at_a_time(spark, own):
     finally:
         spark.conf.unset(common.BATCH_CONF)
     assert sum(found) == 3000 and max(found) == (7 if own == "7" else common.BATCH_ROWS)
+
+
+def shared_bytes(spark) -> dict[str, int]:
+    """Bytes of each table in the shared folder."""
+    top = common.shared_dir(spark).removeprefix("file:")
+    os.makedirs(top, exist_ok=True)
+    return {t: sum(os.path.getsize(f"{top}/{t}/{f}") for f in os.listdir(f"{top}/{t}")) for t in os.listdir(top)}
+
+
+def long_rows(n=60):
+    r = random.Random(5)
+    return [(i, " ".join(f"{r.getrandbits(48):x}" for _ in range(1500)), "en", "s") for i in range(n)]
+
+
+def test_exact_and_near_stages_keep_no_copy_of_the_texts(spark, tables):
+    """Their results are plans without Python; what they keep is small."""
+    path, docs = tables([]), table(spark, long_rows())
+    size = sum(len(t) for _, t, _, _ in long_rows())
+    stages = dict(cp.STAGES)
+    for name in ("exact dedup", "MinHash near-dedup"):
+        before = shared_bytes(spark)
+        out = stages[name](spark, docs, path)
+        assert not uses_python_udf(out), name
+        assert out.count() == 60
+        assert sum(n for t, n in shared_bytes(spark).items() if t not in before) < size / 5, name
+
+
+def test_run_keeps_only_the_last_result(spark, tables):
+    path = tables([])
+    table(spark, rows()).write.parquet(f"{path}/documents.parquet")
+    before = shared_bytes(spark)
+    out = cp.run(spark, path)
+    kept = [t.split("-")[0] for t in shared_bytes(spark) if t not in before and "_stage-" in t]
+    assert kept == ["packing_stage"]
+    assert out.filter("piece = 0").count() > 0
