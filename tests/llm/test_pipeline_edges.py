@@ -91,7 +91,7 @@ def shared_bytes(spark) -> dict[str, int]:
     """Bytes of each table in the shared folder."""
     top = common.shared_dir(spark).removeprefix("file:")
     os.makedirs(top, exist_ok=True)
-    return {t: sum(os.path.getsize(f"{top}/{t}/{f}") for f in os.listdir(f"{top}/{t}")) for t in os.listdir(top)}
+    return {t: sum(os.path.getsize(f"{top}/{t}/{f}") for f in os.listdir(f"{top}/{t}")) for t in os.listdir(top) if os.path.isdir(f"{top}/{t}")}
 
 
 def long_rows(n=60):
