@@ -2,6 +2,7 @@
 distance operators without a bound on centers."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corvid.operators import blocks as bl
@@ -288,3 +289,62 @@ def test_groups_hold_few_coordinates_of_long_vectors(spark, monkeypatch):
     assert found == {i: (i, 0.0) for i, _, _ in point_rows(17, 40, 16)}
     weights = geometry.ball_weights(points, centers, 0.0).collect()
     assert {r["center_id"]: r["ball_weight"] for r in weights} == {i: w for i, _, w in point_rows(17, 40, 16)}
+
+
+def shuffled(df):
+    """Rows that the exchanges of a plan that has run wrote."""
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            rows += node.metrics().get("shuffleRecordsWritten").get().value()
+        children = node.children()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            todo += [children.apply(i) for i in range(children.size())]
+    return rows
+
+
+def test_no_row_is_copied_to_its_pairs(spark, monkeypatch):
+    """However many groups or packs points and centers make, a point is shuffled once."""
+    for name in ("GROUP_POINTS", "GROUP_CENTERS"):
+        monkeypatch.setattr(geometry, name, 7)
+    monkeypatch.setattr(geometry, "PACK_VALUES", 14, raising=False)
+    points = spark.createDataFrame(point_rows(18, 60), "point_id long, v array<double>, w long")
+    centers = points.selectExpr("point_id AS id", "v").limit(25)
+    found = geometry.point_distances(points, centers, None)
+    assert len(found.collect()) == 60 * 25
+    assert 0 < shuffled(found) <= 60 + 25
+
+
+@pytest.mark.parametrize("values", [1 << 19, 12])  # one pack of centers, or some
+def test_all_pairs_of_null_and_repeated_rows(spark, monkeypatch, values):
+    monkeypatch.setattr(geometry, "PACK_VALUES", values, raising=False)
+    rows = [(i if i % 5 else None, v) for i, v, _ in point_rows(19, 30, 4)] * 2
+    points = spark.createDataFrame(rows, "point_id long, v array<double>")
+    centers = points.selectExpr("point_id AS id", "v").limit(11)
+    own = [tuple(r) for r in centers.collect()]
+    found = [tuple(r) for r in geometry.point_distances(points, centers, None).collect()]
+    order = lambda x: tuple((y is not None, y) for y in x)
+    assert sorted(found, key=order) == sorted(((i, j, distance(v, c)) for i, v in rows for j, c in own), key=order)
+    other = centers.selectExpr("id", "array(1D, 2D) AS v")
+    with pytest.raises(Exception, match="different dimensions"):
+        geometry.point_distances(points, other, None).collect()
+
+
+def test_pairs_of_packs_go_out_a_few_at_a_time(monkeypatch):
+    for name, size in (("BATCH_PAIRS", 7), ("GROUP_POINTS", 5), ("GROUP_CENTERS", 3)):
+        monkeypatch.setattr(geometry, name, size)
+    X, C = (np.array([v for _, v, _ in point_rows(seed, n, 3)]) for seed, n in ((20, 7), (21, 4)))
+    packs = [[[5, None, *range(5)]], [X.tobytes()], [[*range(3), None]], [C.tobytes()]]
+    kinds = [pa.list_(pa.int64()), pa.binary()] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(packs, kinds, strict=True)], names=list("abcd"))
+    found = list(geometry._all_distances([batch]))
+    assert [len(b) for b in found] == [6, 6, 3, 5, 6, 2]
+    want = [(i, j, distance(x, c)) for i, x in zip(packs[0][0], X, strict=True) for j, c in zip(packs[2][0], C, strict=True)]
+    order = lambda x: tuple((y is not None, y) for y in x)
+    assert sorted((tuple(r.values()) for b in found for r in b.to_pylist()), key=order) == sorted(want, key=order)
