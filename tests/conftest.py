@@ -4,6 +4,10 @@ import tempfile
 
 import pytest
 
+# Before numpy loads: in this process its BLAS threads hang in linalg.inv (op13)
+# after the tests of other operators. Spark's Python workers have one thread, too.
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
